@@ -79,8 +79,13 @@ def _celsius(spark, sf):
     return pix.to_celsius(pix.qa_mask(fx.pixels(spark, sf)))
 
 
+def _regions(spark, sf):
+    """Grid cells of the regions as a table of known size."""
+    return sources.settle(pix.region_cells(fx.regions(spark, sf)), "region-cells")
+
+
 def _zone_composite(spark, sf):
-    return pix.zone_composite(_celsius(spark, sf), fx.regions(spark, sf), PIXEL_YEARS)
+    return pix.zone_composite(_celsius(spark, sf), _regions(spark, sf), PIXEL_YEARS)
 
 
 # -- sources and sinks ---------------------------------------------------------------------------
@@ -214,7 +219,7 @@ def pixel_period_mean(spark, sf):
 
 def zonal_mean(spark, sf):
     composite = pix.monthly_composite(_celsius(spark, sf), PIXEL_YEARS, fill=None)
-    return stable(pix.zonal_mean(composite, fx.regions(spark, sf), "rural"), "LST_Day_C", "LST_Night_C")
+    return stable(pix.zonal_mean(composite, _regions(spark, sf), "rural"), "LST_Day_C", "LST_Night_C")
 
 
 SERIES = ["LST_Day_Urban", "LST_Day_Rural", "LST_Night_Urban", "UHI_Index"]
@@ -302,7 +307,7 @@ def queries() -> dict[str, Query]:
             pix.zonal_series(_zone_composite(spark, sf), PIXEL_YEARS), *SERIES),
         "zonal_series_filled": zonal_series_filled,
         "zonal_per_image": lambda spark, sf: stable(
-            pix.zonal_per_image(_celsius(spark, sf), fx.regions(spark, sf)), "LST_Urban", "LST_Rural", "UHI_Index"),
+            pix.zonal_per_image(_celsius(spark, sf), _regions(spark, sf)), "LST_Urban", "LST_Rural", "UHI_Index"),
     }
 
 

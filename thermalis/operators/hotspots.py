@@ -9,6 +9,9 @@ from thermalis.functions.numbers import mean_of
 
 UHI, URBAN = "UHI_Index", "LST_Day_Urban"
 
+# Stands for a null city in join keys.
+NO_CITY = "\u0000"
+
 # Output column -> (measure, share in ten-thousandths, digits).
 LEVELS = {
     "p50_uhi": (UHI, 5000, 4),
@@ -51,43 +54,40 @@ def _value_counts(obs):
     spread over its values, and one scan with map-side counting is enough.
     """
     digits = {m: d for m, _, d in LEVELS.values()}
-    rows = obs.select("city", rnd(UHI, digits[UHI]).alias(UHI), rnd(URBAN, digits[URBAN]).alias(URBAN))
-    by_value = rows.groupingSets([["city", UHI], ["city", URBAN]], "city", UHI, URBAN).agg(
+    rows = obs.select(F.coalesce("city", F.lit(NO_CITY)).alias("key"), rnd(UHI, digits[UHI]).alias(UHI),
+                      rnd(URBAN, digits[URBAN]).alias(URBAN))
+    by_value = rows.groupingSets([["key", UHI], ["key", URBAN]], "key", UHI, URBAN).agg(
         F.count("*").alias("n"), F.grouping(UHI).alias("_other"))
     return (by_value
-            .select("city", F.when(F.col("_other") == 0, F.lit(UHI)).otherwise(F.lit(URBAN)).alias("measure"),
+            .select("key", F.when(F.col("_other") == 0, F.lit(UHI)).otherwise(F.lit(URBAN)).alias("measure"),
                     F.coalesce(UHI, URBAN).alias("value"), "n")
             .filter(F.col("value").isNotNull())
             .withColumn("degree", F.rint("value")))
 
 
 def _exact_thresholds(obs):
+    """Running counts in two steps, so that no window holds more than one degree of one city.
+
+    Whole degrees first (some hundred rows per city, whatever the number of observations), then
+    the at most 10^4 rounded values within each degree.
+    """
     counts = _value_counts(obs)
-    running = (Window.partitionBy("city", "measure").orderBy("degree")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # Whole degrees first: a few hundred rows per city, whatever the number of observations.
-    degrees = (counts.groupBy("city", "measure", "degree").agg(F.sum("n").alias("n"))
-               .withColumn("upto", F.sum("n").over(running))
-               .withColumn("total", F.sum("n").over(Window.partitionBy("city", "measure"))))
-    levels = F.array(*[F.struct(F.lit(name).alias("level"), F.lit(m).alias("of"), F.lit(p).alias("share"))
-                       for name, (m, p, _) in LEVELS.items()])
-    wanted = (degrees.withColumn("wanted", F.explode(levels))
-              .filter(F.col("wanted.of") == F.col("measure"))
-              .withColumn("position", F.expr("(total * wanted.share + 9999) div 10000"))
-              .filter((F.col("position") <= F.col("upto")) & (F.col("position") > F.col("upto") - F.col("n")))
-              .select("city", "measure", "degree", F.col("wanted.level").alias("level"),
-                      (F.col("position") - F.col("upto") + F.col("n")).alias("position")))
-    # Then the single values of the degree that holds the position, at most 10^4 of them.
-    within = (Window.partitionBy("city", "level").orderBy("value")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"w.{k}")) for k in ("city", "measure", "degree")]
-    hits = (counts.alias("c").join(wanted.alias("w"), same)
-            .select("c.city", "w.level", "w.position", "c.value", "c.n")
-            .withColumn("upto", F.sum("n").over(within))
-            .filter((F.col("position") <= F.col("upto")) & (F.col("position") > F.col("upto") - F.col("n"))))
-    return hits.groupBy("city").agg(*[
-        F.max(F.when(F.col("level") == name, F.col("value"))).alias(name) for name in LEVELS
-    ])
+    per_city = Window.partitionBy("key", "measure")
+    to_here = Window.unboundedPreceding, Window.currentRow
+    degrees = (counts.groupBy("key", "measure", "degree").agg(F.sum("n").alias("m"))
+               .withColumn("before", F.sum("m").over(per_city.orderBy("degree").rowsBetween(*to_here)) - F.col("m"))
+               .withColumn("total", F.sum("m").over(per_city)))
+    within = Window.partitionBy("key", "measure", "degree").orderBy("value").rowsBetween(*to_here)
+    ranked = (counts.join(degrees, ["key", "measure", "degree"])
+              .withColumn("upto", F.col("before") + F.sum("n").over(within)))
+
+    def pick(name, measure, share):
+        position = F.expr(f"(total * {share} + 9999) div 10000")
+        here = (position <= F.col("upto")) & (position > F.col("upto") - F.col("n"))
+        return F.max(F.when((F.col("measure") == measure) & here, F.col("value"))).alias(name)
+
+    found = ranked.groupBy("key").agg(*[pick(name, m, share) for name, (m, share, _) in LEVELS.items()])
+    return found.select(F.nullif("key", F.lit(NO_CITY)).alias("city"), *LEVELS)
 
 
 def with_thresholds(obs: DataFrame, limits: DataFrame) -> DataFrame:

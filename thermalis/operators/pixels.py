@@ -12,6 +12,7 @@ from thermalis.functions.numbers import mean_of
 RAW_BANDS = {"LST_Day_1km": "LST_Day_C", "LST_Night_1km": "LST_Night_C"}
 DAY, NIGHT = RAW_BANDS.values()
 EARTH_M = 6371008.8
+CELL_DEG = 0.25
 
 
 def select_period(px: DataFrame, start: str, end: str, bands=None) -> DataFrame:
@@ -44,13 +45,6 @@ def period_mean(px: DataFrame) -> DataFrame:
     return px.groupBy("lon", "lat").agg(F.avg(DAY).alias("mean_day_c"))
 
 
-def _month_list(years):
-    """Array of all (year, month) of the years, both ends included."""
-    months = F.sequence(F.lit(1), F.lit(12))
-    return F.flatten(F.transform(F.sequence(F.lit(years[0]), F.lit(years[1])),
-                                 lambda y: F.transform(months, lambda m: F.struct(y.alias("year"), m.alias("month")))))
-
-
 def _in_years(px: DataFrame, years) -> DataFrame:
     return select_period(px, f"{years[0]}-01-01", f"{years[1] + 1}-01-01")
 
@@ -66,18 +60,20 @@ def _means(rows: DataFrame, *keys) -> DataFrame:
 def monthly_composite(px: DataFrame, years: tuple[int, int], fill: float | None = MISSING_C) -> DataFrame:
     """Mean per pixel and month; a month without any image is the constant ``fill`` everywhere.
 
-    The months without images are at most twelve a year, found by one aggregation and used as
-    a scalar: only those are filled, and the pixel-months that exist are never joined.
+    The months without images, at most twelve a year, come from one aggregation as a scalar: only
+    those are filled, and the pixel-months that exist are never joined.
     """
     rows = _with_months(_in_years(px, years))
     composite = _means(rows, "lon", "lat", "year", "month")
     if fill is None:
         return composite
-    present = rows.select("year", "month").distinct().agg(F.collect_set(F.struct("year", "month")))
-    gaps = F.array_except(_month_list(years), present.scalar())
+    wanted = F.array(*[F.lit(y * 100 + m) for y in range(years[0], years[1] + 1) for m in range(1, 13)])
+    gaps = (rows.select((F.col("year") * 100 + F.col("month")).alias("ym")).distinct()
+            .agg(F.array_except(wanted, F.collect_set("ym"))))
     filled = (rows.select("lon", "lat").distinct()
-              .withColumn("gap", F.explode(gaps))
-              .select("lon", "lat", "gap.year", "gap.month", F.lit(fill).alias(DAY), F.lit(fill).alias(NIGHT)))
+              .withColumn("gap", F.explode(gaps.scalar()))
+              .select("lon", "lat", F.expr("gap div 100").cast("int").alias("year"),
+                      (F.col("gap") % 100).alias("month"), F.lit(fill).alias(DAY), F.lit(fill).alias(NIGHT)))
     return composite.unionByName(filled)
 
 
@@ -89,7 +85,7 @@ def _distance_m(lon: Column, lat: Column, lon2: Column, lat2: Column) -> Column:
     return F.asin(F.sqrt(half)) * F.lit(2 * EARTH_M)
 
 
-def _cells_of(regions: DataFrame, buffer_m: float, cell: float) -> DataFrame:
+def region_cells(regions: DataFrame, buffer_m: float = RING_M, cell: float = CELL_DEG) -> DataFrame:
     """Each region once per grid cell that its buffered rectangle touches."""
     pad = F.lit(buffer_m / EARTH_M * 57.29577951308232 * 1.001)
     far = F.greatest(F.abs("y0"), F.abs("y1")) + pad
@@ -103,18 +99,20 @@ def _cells_of(regions: DataFrame, buffer_m: float, cell: float) -> DataFrame:
             .withColumn("cy", span(F.col("y0") - pad, F.col("y1") + pad)))
 
 
-def zones(px: DataFrame, regions: DataFrame, buffer_m: float = RING_M, cell: float = 0.25) -> DataFrame:
+def zones(px: DataFrame, regions: DataFrame, buffer_m: float = RING_M, cell: float = CELL_DEG) -> DataFrame:
     """Rows of px once per city they belong to, with zone 'urban' (in the rectangle) or 'rural' (in the ring).
 
     The spatial test runs as a hash join on grid cells: a pixel has one cell, a region some.
-    Catalyst broadcasts the regions if they are small; otherwise AQE splits hot cells.
+    ``regions`` may also be the settled ``region_cells`` of the same buffer and cell: Catalyst then
+    knows their size and broadcasts them if small enough; otherwise AQE splits hot cells.
     """
+    covered = regions if "cx" in regions.columns else region_cells(regions, buffer_m, cell)
     lon, lat = F.col("lon"), F.col("lat")
     near = _distance_m(lon, lat, F.greatest(F.least(lon, F.col("x1")), F.col("x0")),
                        F.greatest(F.least(lat, F.col("y1")), F.col("y0")))
     inside = lon.between(F.col("x0"), F.col("x1")) & lat.between(F.col("y0"), F.col("y1"))
-    cells = px.withColumns({"cx": F.floor(lon / cell), "cy": F.floor(lat / cell)})
-    return (cells.join(_cells_of(regions, buffer_m, cell), ["cx", "cy"])
+    return (px.withColumns({"cx": F.floor(lon / cell), "cy": F.floor(lat / cell)})
+            .join(covered, ["cx", "cy"])
             .withColumn("zone", F.when(inside, F.lit("urban")).when(near <= buffer_m, F.lit("rural")))
             .filter(F.col("zone").isNotNull())
             .select(*px.columns, "city", "zone"))
@@ -167,8 +165,8 @@ def zonal_series(composite: DataFrame, years: tuple[int, int], fill: float | Non
     sizes = (composite.select("city", "zone", "lon", "lat").distinct()
              .groupBy("city").agg(F.count_if(F.col("zone") == "urban").alias("px_urban"),
                                   F.count_if(F.col("zone") == "rural").alias("px_rural")))
-    grid = (sizes.withColumn("ym", F.explode(_month_list(years)))
-            .select("city", "px_urban", "px_rural", "ym.year", "ym.month"))
+    grid = (sizes.withColumn("year", F.explode(F.sequence(F.lit(years[0]), F.lit(years[1]))))
+            .withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12)))))
 
     def filled(name, zone):
         pixels, n = F.col(f"px_{zone}"), F.coalesce(f"n_{name}", F.lit(0))

@@ -1,10 +1,10 @@
 from thermalis.plans.pipelines import (
-    Forecast, build_observations, core_analysis, forecast_pipeline, hotspot_analysis,
+    Forecast, alert_reports, build_observations, core_analysis, forecast_pipeline, hotspot_analysis,
     pixels_to_observations, publish, serving_views, settled_cells, settled_thresholds, temporal_analysis,
 )
 
 __all__ = [
-    "Forecast", "build_observations", "core_analysis", "forecast_pipeline", "hotspot_analysis",
+    "Forecast", "alert_reports", "build_observations", "core_analysis", "forecast_pipeline", "hotspot_analysis",
     "pixels_to_observations", "publish", "serving_views", "settled_cells", "settled_thresholds",
     "temporal_analysis",
 ]

@@ -19,7 +19,9 @@ from thermalis.operators import serving as srv
 from thermalis.operators import temporal as tmp
 from thermalis.operators.ingest import clean
 from thermalis.schema import SERVED
-from thermalis.sources import read_obs, read_raw, sample_export, settle, write_obs, write_result
+from thermalis.sources import (
+    read_obs, read_raw, read_result, sample_export, settle, write_obs, write_result,
+)
 
 Results = dict[str, DataFrame]
 
@@ -50,16 +52,21 @@ def settled_thresholds(obs: DataFrame) -> DataFrame:
     return settle(hot.thresholds(obs), "thresholds")
 
 
-def hotspot_analysis(obs: DataFrame, limit_c: float = EXTREME_HEAT_C) -> Results:
-    """Thresholds, alerts and their reports, extreme heat, top events."""
-    limits = settled_thresholds(obs)
-    alerts = hot.hotspots(obs, limits)
+def alert_reports(alerts: DataFrame) -> Results:
+    """Both alert reports from one pass over the alerts."""
     pooled = settle(hot.hotspot_cells(alerts), "alert-cells")
     return {
-        "uhi_thresholds": limits,
-        "hotspot_alerts": alerts,
         "hotspot_summary": hot.hotspot_summary(pooled),
         "monthly_hotspot_freq": hot.hotspot_monthly(pooled),
+    }
+
+
+def hotspot_analysis(obs: DataFrame, limit_c: float = EXTREME_HEAT_C) -> Results:
+    """Thresholds, alerts, extreme heat and top events; ``alert_reports`` continues from the alerts."""
+    limits = settled_thresholds(obs)
+    return {
+        "uhi_thresholds": limits,
+        "hotspot_alerts": hot.hotspots(obs, limits),
         "extreme_heat_events": hot.extreme_heat(obs, limit_c),
         "top_uhi_events": hot.top_events(obs),
     }
@@ -136,7 +143,8 @@ def pixels_to_observations(px: DataFrame, regions: DataFrame, years: tuple[int,
                            fill: float | None = MISSING_C) -> DataFrame:
     """Raw pixels of whole years to monthly rows per city, as the raw exports hold them."""
     masked = pix.to_celsius(pix.qa_mask(px))
-    composite = settle(pix.zone_composite(masked, regions, years), "composite")
+    covered = settle(pix.region_cells(regions), "region-cells")
+    composite = settle(pix.zone_composite(masked, covered, years), "composite")
     return pix.zonal_series(composite, years, fill)
 
 
@@ -156,6 +164,7 @@ def publish(spark: SparkSession, raw_path, obs_path: str, out: str, fmt: str = "
         **{name: future.results[name] for name in ("test_predictions", "uhi_forecast_2025_2030")},
     }
     for name, table in tables.items():
-        if name != "hotspot_summary":
-            write_result(table, f"{out}/{name}", fmt)
+        write_result(table, f"{out}/{name}", fmt)
+    reports = alert_reports(read_result(spark, out, "hotspot_alerts", fmt))
+    write_result(reports["monthly_hotspot_freq"], f"{out}/monthly_hotspot_freq", fmt)
     return future.model

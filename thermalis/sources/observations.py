@@ -51,26 +51,37 @@ def _before(column, value):
     return F.col(column).isNotNull() if value is None else F.col(column) < F.lit(value)
 
 
+def _cut(tied: DataFrame, column: str, n: int):
+    """The value of column in which the n-th row falls, with its rows and the rows up to its end."""
+    groups = tied.groupBy(column).agg(F.count("*").alias("n"))
+    # Every group counts at least one row, so the first n groups reach the n-th row.
+    first = groups.orderBy(F.asc_nulls_last(column)).limit(n)
+    to_here = Window.orderBy(F.asc_nulls_last(column)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (first.withColumn("upto", F.sum("n").over(to_here))
+            .filter(F.col("upto") >= n).orderBy("upto").first())
+
+
 def sample_export(obs: DataFrame, n: int = 500_000) -> DataFrame:
     """The first n rows by city, date and measures.
 
-    The (city, date) in which the n-th row falls is found from counts and fetched as one row. Rows
-    before it are a plain filter that reaches the scan, so that no task ever holds the n rows;
-    only the rows of that one city-day are sorted.
+    The n-th row is located column by column: grouped counts tell the city in which it falls, then
+    the date, and so on until a group ends exactly there. Only these few values come to the
+    driver. The result is a union of filters that reach the scan, so that the rows stay spread
+    over tasks, however many share a city or a day.
     """
-    keys = [F.asc_nulls_last("city"), F.asc_nulls_last("date")]
-    # Every group counts at least one row, so the first n groups always reach the n-th row.
-    groups = obs.groupBy("city", "date").agg(F.count("*").alias("n")).orderBy(*keys).limit(n)
-    # The window runs over at most n grouped rows.
-    upto = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = (groups.withColumn("upto", F.sum("n").over(upto))
-           .filter(F.col("upto") >= n).orderBy("upto").first())
-    obs = obs.select(*OBSERVATIONS.names)
-    if cut is None:
-        return obs
-    city_tie = _same("city", cut.city)
-    head = obs.filter(_before("city", cut.city) | (city_tie & _before("date", cut.date)))
-    rest = (obs.filter(city_tie & _same("date", cut.date))
-            .orderBy(*[F.asc_nulls_last(c) for c in ROW_ORDER[2:]])
-            .limit(n - (cut.upto - cut.n)))
-    return head.unionByName(rest)
+    tied, left, parts = obs.select(*OBSERVATIONS.names), n, []
+    for column in ROW_ORDER:
+        cut = _cut(tied, column, left)
+        if cut is None:  # fewer rows than asked for
+            break
+        parts.append(tied.filter(_before(column, cut[column])))
+        tied = tied.filter(_same(column, cut[column]))
+        left -= cut.upto - cut.n
+        if left == cut.n:
+            break
+    else:  # the rows that are left equal each other
+        copies = F.explode(F.sequence(F.lit(1), F.lit(left)))
+        tied = tied.limit(1).withColumn("_copy", copies).drop("_copy")
+    for part in parts:
+        tied = tied.unionByName(part)
+    return tied
