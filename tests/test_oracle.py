@@ -15,7 +15,10 @@ def con():
 
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query(spark, con, name):
-    text, good = check.compare(spark, con, name, SF)
+    df = entry.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    text, good = check.compare(con, name, df)
     assert good, text
 
 

@@ -46,6 +46,12 @@ def _approx_thresholds(obs, accuracy):
     return found.select("city", *columns)
 
 
+def _degree(value):
+    """Whole degrees as a number that is never null; infinities and NaN go to the ends."""
+    end = F.when(value < 0, F.lit(-(2 ** 63))).otherwise(F.lit(2 ** 63 - 1))
+    return F.coalesce(F.rint(value).try_cast("bigint"), end)
+
+
 def _value_counts(obs):
     """Occurrences of each rounded value per city and measure.
 
@@ -62,7 +68,7 @@ def _value_counts(obs):
             .select("key", F.when(F.col("_other") == 0, F.lit(UHI)).otherwise(F.lit(URBAN)).alias("measure"),
                     F.coalesce(UHI, URBAN).alias("value"), "n")
             .filter(F.col("value").isNotNull())
-            .withColumn("degree", F.rint("value")))
+            .withColumn("degree", _degree(F.col("value"))))
 
 
 def _exact_thresholds(obs):
@@ -78,8 +84,9 @@ def _exact_thresholds(obs):
                .withColumn("before", F.sum("m").over(per_city.orderBy("degree").rowsBetween(*to_here)) - F.col("m"))
                .withColumn("total", F.sum("m").over(per_city)))
     within = Window.partitionBy("key", "measure", "degree").orderBy("value").rowsBetween(*to_here)
-    ranked = (counts.join(degrees, ["key", "measure", "degree"])
-              .withColumn("upto", F.col("before") + F.sum("n").over(within)))
+    ranked = (counts.withColumn("upto", F.sum("n").over(within))
+              .join(degrees, ["key", "measure", "degree"])
+              .withColumn("upto", F.col("before") + F.col("upto")))
 
     def pick(name, measure, share):
         position = F.expr(f"(total * {share} + 9999) div 10000")
