@@ -70,3 +70,16 @@ def test_top_events_break_ties_by_date(obs_of):
 def test_extreme_heat_is_strict(obs_of):
     obs = obs_of([("a", "2003-01-01", 45.0, 1.0, None, 1.0), ("a", "2003-01-02", 45.01, 1.0, None, 1.0)])
     assert [r.LST_Day_Urban for r in hot.extreme_heat(obs).collect()] == [45.01]
+
+
+@pytest.mark.parametrize("k", [1, 3, 10, 50])
+def test_floors_do_not_change_the_top_events(obs_of, k):
+    random.seed(k)
+    rows = [(c, f"{y}-{m:02d}-{d:02d}", float(d), 1.0, None, round(random.gauss(0, 2), 1))
+            for c in ("a", "b", None) for y in (2003, 2004) for m in range(1, 13) for d in (1, 2, 3, 4)]
+    rows += year("few", [5.0, 4.0]) + [("few", "2004-01-01", 1.0, 1.0, 1.0, None)]
+    rows += year("nan", [float("nan")] * 3 + [1.0] * 60)
+    obs = obs_of(rows)
+    plain, pruned = hot.top_events(obs, k), hot.top_events(obs, k, hot.event_floors(obs, k))
+    assert plain.columns == pruned.columns
+    assert plain.exceptAll(pruned).isEmpty() and pruned.exceptAll(plain).isEmpty()

@@ -16,6 +16,19 @@ def rnd(value, digits: int) -> Column:
     return F.coalesce(exact, value)
 
 
+def rnd_rows(value, digits: int) -> Column:
+    """The same result as ``rnd``, for columns of whole tables.
+
+    Away from a tie, and for values small enough that the product keeps its decimals, plain
+    arithmetic finds the nearest step; only the rest takes the slower decimal.
+    """
+    value = F.col(value) if isinstance(value, str) else value
+    steps = F.lit(10.0 ** digits)
+    scaled = value * steps
+    no_tie = F.abs(scaled - F.floor(scaled) - 0.5) > 1e-5
+    return F.when((F.abs(value) < 1e5) & no_tie, F.floor(scaled + 0.5) / steps).otherwise(rnd(value, digits))
+
+
 def mean_of(total, n) -> Column:
     """total / n, null where n is 0."""
     return F.try_divide(total, n)

@@ -3,9 +3,9 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from thermalis.functions import rnd, severity
+from thermalis.functions import mean_of, rnd, rnd_rows, severity
 from thermalis.functions.fixed import EXTREME_HEAT_C
-from thermalis.functions.numbers import mean_of
+from thermalis.operators.aggregates import as_cells
 
 UHI, URBAN = "UHI_Index", "LST_Day_Urban"
 
@@ -60,8 +60,8 @@ def _value_counts(obs):
     spread over its values, and one scan with map-side counting is enough.
     """
     digits = {m: d for m, _, d in LEVELS.values()}
-    rows = obs.select(F.coalesce("city", F.lit(NO_CITY)).alias("key"), rnd(UHI, digits[UHI]).alias(UHI),
-                      rnd(URBAN, digits[URBAN]).alias(URBAN))
+    rows = obs.select(F.coalesce("city", F.lit(NO_CITY)).alias("key"),
+                      *[rnd_rows(m, d).alias(m) for m, d in digits.items()])
     by_value = rows.groupingSets([["key", UHI], ["key", URBAN]], "key", UHI, URBAN).agg(
         F.count("*").alias("n"), F.grouping(UHI).alias("_other"))
     return (by_value
@@ -111,8 +111,8 @@ def hotspots(obs: DataFrame, limits: DataFrame | None = None) -> DataFrame:
     return (with_thresholds(obs, limits)
             .filter(F.col(UHI) > F.col("p90_uhi"))
             .select("city", "date", "year", "month",
-                    rnd(URBAN, 2).alias("urban_temp_c"), rnd("LST_Day_Rural", 2).alias("rural_temp_c"),
-                    rnd(UHI, 4).alias("uhi_index"), F.col("p90_uhi").alias("threshold_p90"),
+                    rnd_rows(URBAN, 2).alias("urban_temp_c"), rnd_rows("LST_Day_Rural", 2).alias("rural_temp_c"),
+                    rnd_rows(UHI, 4).alias("uhi_index"), F.col("p90_uhi").alias("threshold_p90"),
                     severity(F.col(UHI), F.col("p90_uhi")).alias("severity")))
 
 
@@ -151,8 +151,28 @@ def extreme_heat(obs: DataFrame, limit_c: float = EXTREME_HEAT_C) -> DataFrame:
     return obs.filter(F.col(URBAN) > F.lit(float(limit_c)))
 
 
-def top_events(obs: DataFrame, k: int = 10) -> DataFrame:
-    """The k highest observations per city; ties go to the earlier date, then the lower measures."""
+def event_floors(source: DataFrame, k: int = 10) -> DataFrame:
+    """Per city the k-th highest monthly maximum, from observations or cells.
+
+    k months reach it, so at least k observations do: lower ones are not among the k highest.
+    A city with fewer than k months has no row here.
+    """
+    order = Window.partitionBy("city").orderBy(F.desc("max_uhi"))
+    return (as_cells(source).filter(F.col("max_uhi").isNotNull())
+            .withColumn("place", F.row_number().over(order)).filter(F.col("place") == k)
+            .select(F.col("city").alias("floor_city"), F.col("max_uhi").alias("floor")))
+
+
+def top_events(obs: DataFrame, k: int = 10, floors: DataFrame | None = None) -> DataFrame:
+    """The k highest observations per city; ties go to the earlier date, then the lower measures.
+
+    Without floors every input split is sorted. Settled ``event_floors`` of the same k (or a higher one)
+    drop nearly all rows before the sort.
+    """
+    columns = obs.columns
+    if floors is not None:
+        obs = (obs.join(floors, F.col("city").eqNullSafe(F.col("floor_city")), "left")
+               .filter(F.col("floor").isNull() | (F.col(UHI) >= F.col("floor"))).select(*columns))
     ties = [F.asc_nulls_first(c) for c in ("date", URBAN, "LST_Day_Rural", "LST_Night_Urban")]
     order = Window.partitionBy("city").orderBy(F.desc_nulls_last(UHI), *ties)
     return obs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

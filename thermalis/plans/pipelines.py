@@ -61,14 +61,23 @@ def alert_reports(alerts: DataFrame) -> Results:
     }
 
 
-def hotspot_analysis(obs: DataFrame, limit_c: float = EXTREME_HEAT_C) -> Results:
-    """Thresholds, alerts, extreme heat and top events; ``alert_reports`` continues from the alerts."""
+def settled_floors(source: DataFrame, k: int = 10) -> DataFrame:
+    return settle(hot.event_floors(source, k), "floors")
+
+
+def hotspot_analysis(obs: DataFrame, cells: DataFrame | None = None, limit_c: float = EXTREME_HEAT_C,
+                     k: int = 10) -> Results:
+    """Thresholds, alerts, extreme heat and top events; ``alert_reports`` continues from the alerts.
+
+    Settled cells, if at hand, spare a scan.
+    """
     limits = settled_thresholds(obs)
+    floors = settled_floors(obs if cells is None else cells, k)
     return {
         "uhi_thresholds": limits,
         "hotspot_alerts": hot.hotspots(obs, limits),
         "extreme_heat_events": hot.extreme_heat(obs, limit_c),
-        "top_uhi_events": hot.top_events(obs),
+        "top_uhi_events": hot.top_events(obs, k, floors),
     }
 
 
@@ -159,7 +168,7 @@ def publish(spark: SparkSession, raw_path, obs_path: str, out: str, fmt: str = "
     tables = {
         "uhi_all_clean": sample_export(obs),
         **core_analysis(source),
-        **hotspot_analysis(obs),
+        **hotspot_analysis(obs, source),
         **temporal,
         **{name: future.results[name] for name in ("test_predictions", "uhi_forecast_2025_2030")},
     }

@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 def scratch_root(spark: SparkSession) -> str:
     """Folder named by spark.checkpoint.dir; a local temporary one only in local mode."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="thermalis-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if root is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="thermalis-"))
+        root = context.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
