@@ -56,8 +56,7 @@ def _features(spark, sf):
 
 
 def _alerts(spark, sf):
-    obs = fx.obs(spark, sf)
-    return hot.hotspots(obs, plans.settled_thresholds(obs))
+    return hot.hotspots(fx.obs(spark, sf))
 
 
 def _inputs(spark, sf):
@@ -181,11 +180,6 @@ def hotspot_stream(spark, sf):
     return spark.read.schema(alerts.schema).parquet(out)
 
 
-def top_events(spark, sf):
-    obs = fx.obs(spark, sf)
-    return hot.top_events(obs, 10, plans.settled_floors(obs))
-
-
 # -- model ---------------------------------------------------------------------------------------
 
 _fitted: dict[tuple[str, str], plans.Forecast] = {}
@@ -261,7 +255,7 @@ def queries() -> dict[str, Query]:
         "hotspot_monthly": lambda spark, sf: hot.hotspot_monthly(_alerts(spark, sf)),
         "hotspot_stream": hotspot_stream,
         "extreme_heat": _on_obs(hot.extreme_heat),
-        "top_events": top_events,
+        "top_events": _on_obs(hot.top_events),
         "yoy": lambda spark, sf: tmp.yoy(_yearly_base(spark, sf)),
         "trend_rate": lambda spark, sf: tmp.trend_rate(_yearly_base(spark, sf)),
         "moving_avg": lambda spark, sf: tmp.moving_avg(_yearly_base(spark, sf)),

@@ -41,11 +41,11 @@ def test_extreme_heat_reaches_the_scan(spark, tmp_path):
     assert "NATION_1" in plan(df).split("PartitionFilters")[1].split("]")[0]
 
 
-def test_thresholds_scan_once(spark):
-    df = hot.thresholds(fx.obs(spark, SF))
-    df.collect()
-    final = plan(df).split("== Initial Plan ==")[0]
-    assert "ReusedExchange" in final and final.count("lineitem.parquet") == 1
+def test_threshold_values_are_pruned_before_the_shuffle(spark):
+    obs = fx.obs(spark, SF)
+    text = plan(hot.thresholds(obs, targets=settle(hot.threshold_targets(obs), "targets")))
+    scan = text.split("Exchange hashpartitioning")[-1]
+    assert "partial_count" in scan and "BroadcastHashJoin [key" in scan and text.count("lineitem.parquet") == 1
 
 
 def test_zones_join_is_a_hash_join(spark):

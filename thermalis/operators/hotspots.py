@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from thermalis.functions import mean_of, rnd, rnd_rows, severity
 from thermalis.functions.fixed import EXTREME_HEAT_C
 from thermalis.operators.aggregates import as_cells
+from thermalis.sources.durable import settle
 
 UHI, URBAN = "UHI_Index", "LST_Day_Urban"
 
@@ -23,13 +24,17 @@ LEVELS = {
 }
 
 
-def thresholds(obs: DataFrame, exact: bool = True, accuracy: int = 10000) -> DataFrame:
+def thresholds(obs: DataFrame, exact: bool = True, accuracy: int = 10000,
+               targets: DataFrame | None = None) -> DataFrame:
     """Rounded percentiles per city (the smallest value that covers the share).
 
-    The approximate form merges one sketch per city and input split in a single task per city;
-    the exact form has no such hot spot and is the default.
+    The exact form reads the observations twice, shuffles only counts and has no hot task. Its
+    first reading, ``threshold_targets``, is settled here unless given. The approximate form reads once,
+    but merges one sketch per city and input split in a single task per city.
     """
-    return _exact_thresholds(obs) if exact else _approx_thresholds(obs, accuracy)
+    if not exact:
+        return _approx_thresholds(obs, accuracy)
+    return _values_at(obs, settle(threshold_targets(obs), "targets") if targets is None else targets)
 
 
 def _approx_thresholds(obs, accuracy):
@@ -46,55 +51,53 @@ def _approx_thresholds(obs, accuracy):
     return found.select("city", *columns)
 
 
-def _degree(value):
-    """Whole degrees as a number that is never null; infinities and NaN go to the ends."""
-    end = F.when(value < 0, F.lit(-(2 ** 63))).otherwise(F.lit(2 ** 63 - 1))
-    return F.coalesce(F.rint(value).try_cast("bigint"), end)
+def _by_measure(obs):
+    """One row per observation and measure, with the value's bin of 0.1 °C."""
+    pairs = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in (UHI, URBAN)])
+    rows = (obs.select(F.coalesce("city", F.lit(NO_CITY)).alias("key"), F.inline(pairs))
+            .filter(F.col("value").isNotNull()))
+    value = F.col("value")
+    # Values beyond the range of the bins share the first or last, NaN the last.
+    return rows.withColumn("bin", F.when(F.isnan(value), F.lit(2 ** 63 - 1)).otherwise(F.floor(value * 10)))
 
 
-def _value_counts(obs):
-    """Occurrences of each rounded value per city and measure.
+def threshold_targets(obs: DataFrame) -> DataFrame:
+    """The bins that hold a wanted percentile, with its position among the values of the bin.
 
-    Rounding keeps the order, so percentiles of the rounded values are the rounded percentiles.
-    The table therefore grows with the range of temperatures, not with the rows, a hot city is
-    spread over its values, and one scan with map-side counting is enough.
+    Counts per bin are few, whatever the number of observations, and a hot city is counted on the map
+    side. The result has at most one row per city and percentile.
     """
-    digits = {m: d for m, _, d in LEVELS.values()}
-    rows = obs.select(F.coalesce("city", F.lit(NO_CITY)).alias("key"),
-                      *[rnd_rows(m, d).alias(m) for m, d in digits.items()])
-    by_value = rows.groupingSets([["key", UHI], ["key", URBAN]], "key", UHI, URBAN).agg(
-        F.count("*").alias("n"), F.grouping(UHI).alias("_other"))
-    return (by_value
-            .select("key", F.when(F.col("_other") == 0, F.lit(UHI)).otherwise(F.lit(URBAN)).alias("measure"),
-                    F.coalesce(UHI, URBAN).alias("value"), "n")
-            .filter(F.col("value").isNotNull())
-            .withColumn("degree", _degree(F.col("value"))))
-
-
-def _exact_thresholds(obs):
-    """Running counts in two steps, so that no window holds more than one degree of one city.
-
-    Whole degrees first (some hundred rows per city, whatever the number of observations), then
-    the at most 10^4 rounded values within each degree.
+    counts = _by_measure(obs).groupBy("key", "measure", "bin").agg(F.count("*").alias("n"))
+    city = Window.partitionBy("key", "measure")
+    upto = F.sum("n").over(city.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    levels = F.array(*[F.struct(F.lit(name).alias("level"), F.lit(m).alias("of"), F.lit(share).alias("share"))
+                       for name, (m, share, _) in LEVELS.items()])
+    # The position of a share among all values, counted from the start of the bin.
+    wanted = (counts.withColumns({"before": upto - F.col("n"), "total": F.sum("n").over(city)})
+              .withColumn("want", F.explode(levels)).filter(F.col("want.of") == F.col("measure"))
+              .withColumn("position", F.expr("(total * want.share + 9999) div 10000") - F.col("before"))
+              .filter((F.col("position") > 0) & (F.col("position") <= F.col("n"))))
+    return wanted.groupBy("key", "measure", "bin").agg(
+        F.collect_list(F.struct(F.col("want.level").alias("level"), "position")).alias("wanted"))
+
+
+def _values_at(obs, targets):
+    """The rounded values at the target positions.
+
+    Only values in a target bin are counted, by their rounded value: rounding keeps the order, so
+    the rounded percentile is a percentile of the rounded values, of which a bin has at most 1000.
     """
-    counts = _value_counts(obs)
-    per_city = Window.partitionBy("key", "measure")
-    to_here = Window.unboundedPreceding, Window.currentRow
-    degrees = (counts.groupBy("key", "measure", "degree").agg(F.sum("n").alias("m"))
-               .withColumn("before", F.sum("m").over(per_city.orderBy("degree").rowsBetween(*to_here)) - F.col("m"))
-               .withColumn("total", F.sum("m").over(per_city)))
-    within = Window.partitionBy("key", "measure", "degree").orderBy("value").rowsBetween(*to_here)
-    ranked = (counts.withColumn("upto", F.sum("n").over(within))
-              .join(degrees, ["key", "measure", "degree"])
-              .withColumn("upto", F.col("before") + F.col("upto")))
-
-    def pick(name, measure, share):
-        position = F.expr(f"(total * {share} + 9999) div 10000")
-        here = (position <= F.col("upto")) & (position > F.col("upto") - F.col("n"))
-        return F.max(F.when((F.col("measure") == measure) & here, F.col("value"))).alias(name)
-
-    found = ranked.groupBy("key").agg(*[pick(name, m, share) for name, (m, share, _) in LEVELS.items()])
-    return found.select(F.nullif("key", F.lit(NO_CITY)).alias("city"), *LEVELS)
+    value = F.when(F.col("measure") == UHI, rnd_rows("value", 4)).otherwise(rnd_rows("value", 2))
+    keys = "key", "measure", "bin"
+    counts = (_by_measure(obs).join(targets.select(*keys), list(keys))
+              .groupBy(*keys, value.alias("value")).agg(F.count("*").alias("n")))
+    order = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (counts.withColumn("upto", F.sum("n").over(order))
+             .join(targets, list(keys)).select("key", "value", "n", "upto", F.inline("wanted"))
+             .filter((F.col("position") <= F.col("upto")) & (F.col("position") > F.col("upto") - F.col("n"))))
+    wide = found.groupBy("key").agg(*[
+        F.max(F.when(F.col("level") == name, F.col("value"))).alias(name) for name in LEVELS])
+    return wide.select(F.nullif("key", F.lit(NO_CITY)).alias("city"), *LEVELS)
 
 
 def with_thresholds(obs: DataFrame, limits: DataFrame) -> DataFrame:
@@ -107,7 +110,7 @@ def with_thresholds(obs: DataFrame, limits: DataFrame) -> DataFrame:
 
 def hotspots(obs: DataFrame, limits: DataFrame | None = None) -> DataFrame:
     """Observations strictly above their city's 90th percentile, with a severity."""
-    limits = thresholds(obs) if limits is None else limits
+    limits = settle(thresholds(obs), "thresholds") if limits is None else limits
     return (with_thresholds(obs, limits)
             .filter(F.col(UHI) > F.col("p90_uhi"))
             .select("city", "date", "year", "month",
@@ -166,13 +169,12 @@ def event_floors(source: DataFrame, k: int = 10) -> DataFrame:
 def top_events(obs: DataFrame, k: int = 10, floors: DataFrame | None = None) -> DataFrame:
     """The k highest observations per city; ties go to the earlier date, then the lower measures.
 
-    Without floors every input split is sorted. Settled ``event_floors`` of the same k (or a higher one)
-    drop nearly all rows before the sort.
+    ``event_floors`` of the same k (or a higher one) drop nearly all rows before the sort; they are
+    settled here unless given.
     """
-    columns = obs.columns
-    if floors is not None:
-        obs = (obs.join(floors, F.col("city").eqNullSafe(F.col("floor_city")), "left")
-               .filter(F.col("floor").isNull() | (F.col(UHI) >= F.col("floor"))).select(*columns))
+    floors = settle(event_floors(obs, k), "floors") if floors is None else floors
+    obs = (obs.join(floors, F.col("city").eqNullSafe(F.col("floor_city")), "left")
+           .filter(F.col("floor").isNull() | (F.col(UHI) >= F.col("floor"))).select(*obs.columns))
     ties = [F.asc_nulls_first(c) for c in ("date", URBAN, "LST_Day_Rural", "LST_Night_Urban")]
     order = Window.partitionBy("city").orderBy(F.desc_nulls_last(UHI), *ties)
     return obs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
