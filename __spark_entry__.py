@@ -197,6 +197,15 @@ def _from_model(name: str) -> Query:
     return lambda spark, sf: _forecast(spark, sf).results[name]
 
 
+def ml_scored_rows(spark, sf):
+    """The rows that the model scored, without its predictions."""
+    return _forecast(spark, sf).results["test_predictions"].drop("predicted_uhi")
+
+
+def ml_forecast_rows(spark, sf):
+    return _forecast(spark, sf).results["uhi_forecast_2025_2030"].drop("predicted_uhi")
+
+
 def split_counts(spark, sf):
     train, test = feat.time_split(_features(spark, sf))
     sides = train.select(F.lit("train").alias("side")).unionByName(test.select(F.lit("test").alias("side")))
@@ -274,6 +283,8 @@ def queries() -> dict[str, Query]:
         "evaluate": lambda spark, sf: fc.evaluate(_naive(spark, sf)),
         "prediction_errors": lambda spark, sf: fc.prediction_errors(_naive(spark, sf)),
         "ml_test_predictions": _from_model("test_predictions"),
+        "ml_scored_rows": ml_scored_rows,
+        "ml_forecast_rows": ml_forecast_rows,
         "ml_metrics": _from_model("metrics"),
         "ml_prediction_errors": _from_model("prediction_errors"),
         "ml_feature_importance": _from_model("feature_importance"),

@@ -195,6 +195,11 @@ FROM features WHERE year <= 2022 GROUP BY city""",
  {r('1-sum((avg_uhi-prediction)*(avg_uhi-prediction))/(var_pop(avg_uhi)*count(*))', 4)} AS r2 FROM naive""",
     "prediction_errors": f"""SELECT city, year, month, avg_uhi AS actual, {r('prediction', 4)} AS predicted,
  {r('abs(avg_uhi-prediction)', 4)} AS error FROM naive""",
+    # A row with a null input is not scored.
+    "ml_scored_rows": """SELECT city, year, month, avg_uhi AS actual_uhi FROM features WHERE year >= 2023
+ AND avg_urban_lst IS NOT NULL AND avg_rural_lst IS NOT NULL AND avg_night_lst IS NOT NULL""",
+    "ml_forecast_rows": """SELECT city, year, month FROM inputs
+WHERE avg_urban_lst IS NOT NULL AND avg_rural_lst IS NOT NULL AND avg_night_lst IS NOT NULL""",
     "filter_result": f"SELECT * FROM yearly WHERE {CITY_IN} AND {YEAR_IN}",
     "filter_city": f"SELECT * FROM decades WHERE {CITY_IN}",
     "filter_options": """SELECT *, option = 'city' AND place <= 5 AS preselected FROM (

@@ -4,7 +4,7 @@ import random
 import pytest
 
 from thermalis.operators import hotspots as hot
-from thermalis.plans import alert_reports, hotspot_analysis
+from thermalis.plans import hotspot_analysis
 
 from conftest import rows_of
 
@@ -53,8 +53,7 @@ def test_negative_threshold_makes_every_hotspot_critical(obs_of):
 
 def test_reports_of_alerts(obs_of):
     obs = obs_of(year("a", [0.0] * 18 + [3.0, 9.0]) + year("b", [1.0] * 9 + [1.3]))
-    results = hotspot_analysis(obs)
-    reports = alert_reports(results["hotspot_alerts"])
+    results = reports = hotspot_analysis(obs)
     assert rows_of(reports["hotspot_summary"], "city", "severity", "event_count", "avg_uhi", "avg_temp") == [
         ("a", "CRITICAL", 2, 6.0, 36.0), ("b", "HIGH", 1, 1.3, 31.3)]
     assert rows_of(reports["monthly_hotspot_freq"], "city", "month", "hotspot_count") == [("a", 1, 2), ("b", 1, 1)]

@@ -24,7 +24,7 @@ def core(spark, a):
 
 
 def hotspots(spark, a):
-    write_all(plans.hotspot_analysis(sources.read_obs(spark, a.obs)), a.out, a.format)
+    write_all(plans.hotspot_tables(sources.read_obs(spark, a.obs)), a.out, a.format)
     reports = plans.alert_reports(sources.read_result(spark, a.out, "hotspot_alerts", a.format))
     write_all({"monthly_hotspot_freq": reports["monthly_hotspot_freq"]}, a.out, a.format)
 

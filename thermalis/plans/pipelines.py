@@ -65,12 +65,9 @@ def settled_floors(source: DataFrame, k: int = 10) -> DataFrame:
     return settle(hot.event_floors(source, k), "floors")
 
 
-def hotspot_analysis(obs: DataFrame, cells: DataFrame | None = None, limit_c: float = EXTREME_HEAT_C,
-                     k: int = 10) -> Results:
-    """Thresholds, alerts, extreme heat and top events; ``alert_reports`` continues from the alerts.
-
-    Settled cells, if at hand, spare a scan.
-    """
+def hotspot_tables(obs: DataFrame, cells: DataFrame | None = None, limit_c: float = EXTREME_HEAT_C,
+                   k: int = 10) -> Results:
+    """Thresholds, alerts, extreme heat and top events. Settled cells, if at hand, spare a scan."""
     limits = settled_thresholds(obs)
     floors = settled_floors(obs if cells is None else cells, k)
     return {
@@ -81,6 +78,16 @@ def hotspot_analysis(obs: DataFrame, cells: DataFrame | None = None, limit_c: fl
     }
 
 
+def hotspot_analysis(obs: DataFrame, cells: DataFrame | None = None, limit_c: float = EXTREME_HEAT_C,
+                     k: int = 10) -> Results:
+    """The hotspot tables and the reports of the alerts.
+
+    A job that writes the alerts anyway takes ``alert_reports`` from the written table instead.
+    """
+    tables = hotspot_tables(obs, cells, limit_c, k)
+    return {**tables, **alert_reports(tables["hotspot_alerts"])}
+
+
 def temporal_analysis(source: DataFrame) -> Results:
     """Change, trend, seasons by decade, peak months and moving averages, from observations or cells."""
     source = source if "n_rows" in source.columns else settled_cells(source)
@@ -168,7 +175,7 @@ def publish(spark: SparkSession, raw_path, obs_path: str, out: str, fmt: str = "
     tables = {
         "uhi_all_clean": sample_export(obs),
         **core_analysis(source),
-        **hotspot_analysis(obs, source),
+        **hotspot_tables(obs, source),
         **temporal,
         **{name: future.results[name] for name in ("test_predictions", "uhi_forecast_2025_2030")},
     }
