@@ -10,7 +10,7 @@ import check  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = check.session()
+    session = check.session(partitions=3)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -6,6 +6,7 @@ from thermalis import fixtures as fx
 from thermalis.__main__ import main
 from thermalis.operators import hotspots as hot
 from thermalis.operators import pixels as pix
+from thermalis.plans import build_observations
 from thermalis.schema import RESULTS
 from thermalis.sources import load_results, read_obs, settle, write_obs
 from thermalis.sources.durable import scratch_root
@@ -75,3 +76,13 @@ def test_all_jobs(spark, tmp_path):
         assert a.columns == b.columns and a.count() == b.count() > 0, key
         assert a.exceptAll(b).isEmpty(), key
     assert steps["all_clean"].count() == len(rows) and steps["forecast"].count() == 3 * 72
+
+
+def test_pixel_job(spark, tmp_path):
+    px = spark.sql("""SELECT TIMESTAMP_NTZ '2003-03-01' AS t, lon, 18.5D AS lat, 0 AS QC_Day, dn AS LST_Day_1km, 14000 AS LST_Night_1km
+                      FROM VALUES (73.8D, 15000), (73.7D, 14900) v(lon, dn)""")
+    px.write.parquet(str(tmp_path / "px"))
+    main(["pixels", "--raw", str(tmp_path / "px"), "--out", str(tmp_path / "raw"), "--first-year", "2003", "--last-year", "2003"])
+    obs = build_observations(spark, str(tmp_path / "raw"), sentinel=-9999.0).collect()
+    assert [(r.city, str(r.date), round(r.LST_Day_Urban, 2), round(r.UHI_Index, 2)) for r in obs] == [
+        ("Pune", "2003-03-01", 26.85, 2.0)]

@@ -20,6 +20,7 @@ def test_change_goes_by_row(spark):
 def test_trend_needs_five_years_and_survives_a_constant(spark):
     rows = [("few", 2000 + i, float(i)) for i in range(4)] + [("flat", 2000 + i, 0.3) for i in range(6)]
     rows += [("null", 2000 + i, None if i == 0 else 1.0) for i in range(5)]
+    rows += [(None, 2000 + i, float(i)) for i in range(6)]
     got = tmp.trend_rate(base(spark, rows)).collect()
     assert [(r.city, r.slope_per_year, r.r_squared, r.trend) for r in got] == [("flat", 0.0, 0.0, "Cooling")]
 

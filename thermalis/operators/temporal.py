@@ -23,9 +23,12 @@ def yoy(yearly_base: DataFrame) -> DataFrame:
 
 
 def trend_rate(yearly_base: DataFrame, min_years: int = 5) -> DataFrame:
-    """Least-squares slope per city over its yearly means; cities with too few years drop out."""
+    """Least-squares slope per city over its yearly means.
+
+    Cities with too few years drop out, as do rows without a city.
+    """
     x, y = F.col("year").cast("double"), F.col("avg_uhi")
-    fits = yearly_base.filter(y.isNotNull()).groupBy("city").agg(
+    fits = yearly_base.filter(F.col("city").isNotNull() & y.isNotNull()).groupBy("city").agg(
         F.count("*").alias("years"),
         F.regr_slope(y, x).alias("slope"),
         F.when(F.var_pop(y) == 0, F.lit(0.0)).otherwise(F.regr_r2(y, x)).alias("r2"),
