@@ -84,7 +84,8 @@ def _regions(spark, sf):
 
 
 def _zone_composite(spark, sf):
-    return pix.zone_composite(_celsius(spark, sf), _regions(spark, sf), PIXEL_YEARS)
+    covered = _regions(spark, sf)
+    return pix.zone_composite(pix.clipped(_celsius(spark, sf), covered), covered, PIXEL_YEARS)
 
 
 # -- sources and sinks ---------------------------------------------------------------------------

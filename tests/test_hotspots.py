@@ -2,7 +2,10 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from thermalis import fixtures as fx
+from thermalis.functions import rnd
 from thermalis.operators import hotspots as hot
 from thermalis.plans import hotspot_analysis
 
@@ -83,3 +86,16 @@ def test_floors_do_not_change_the_top_events(obs_of, k):
     plain, pruned = hot.top_events(obs, k, no_floors), hot.top_events(obs, k)
     assert plain.columns == pruned.columns
     assert plain.exceptAll(pruned).isEmpty() and pruned.exceptAll(plain).isEmpty()
+
+
+def test_approximate_thresholds_are_near_the_rank(spark):
+    obs = fx.obs(spark, "/root/testdata/sf0.01").select("city", rnd("UHI_Index", 4).alias("v"), "LST_Day_Urban")
+    limits = hot.thresholds(obs.withColumnRenamed("v", "UHI_Index"), exact=False)
+    ranks = obs.join(limits, "city").groupBy("city").agg(
+        F.count("*").alias("n"), *[f(F.when(c(F.col("v"), F.col(name)), 1)).alias(f"{name}_{side}")
+                                   for name in ("p50_uhi", "p75_uhi", "p90_uhi", "p95_uhi") for side, f, c in (
+                                       ("below", F.count, lambda v, t: v < t), ("upto", F.count, lambda v, t: v <= t))])
+    for r in ranks.collect():
+        for share in (50, 75, 90, 95):
+            position = math.ceil(r.n * share / 100)
+            assert r[f"p{share}_uhi_below"] - 5 <= position <= r[f"p{share}_uhi_upto"] + 5

@@ -111,3 +111,17 @@ def test_collection_stats(spark):
     px = pixels_of(spark, [(d, 0.0, 0.0, 0, 1, 1) for d in ("2003-01-09", "2003-01-01", "2003-01-01")])
     got = pix.collection_stats(px).first()
     assert got.images == 2 and str(got.first_date) == "2003-01-01"
+
+
+def test_clipping_reaches_the_scan_and_keeps_the_zones(spark, regions, tmp_path):
+    random.seed(5)
+    spots = [(random.uniform(9, 12), random.uniform(19, 22)) for _ in range(800)] + [(100.0, 20.0), (10.1, 80.0)]
+    spark.createDataFrame(spots, "lon double, lat double").write.parquet(str(tmp_path / "px"))
+    px = spark.read.parquet(str(tmp_path / "px"))
+    for cell in (0.05, 0.25):
+        covered = pix.region_cells(regions.filter("city <> 'south'"), cell=cell)
+        near = pix.clipped(px, covered, cell)
+        assert 0 < near.count() < 800 and "GreaterThanOrEqual(lon," in near._jdf.queryExecution().toString()
+        assert rows_of(pix.zones(near, covered, cell=cell), "lon", "lat", "city", "zone") == rows_of(
+            pix.zones(px, covered, cell=cell), "lon", "lat", "city", "zone")
+    assert pix.clipped(px, covered.limit(0)).isEmpty()

@@ -8,7 +8,7 @@ from thermalis.functions.fixed import EXTREME_HEAT_C
 from thermalis.operators.aggregates import as_cells
 from thermalis.sources.durable import settle
 
-UHI, URBAN = "UHI_Index", "LST_Day_Urban"
+MEASURED = UHI, URBAN = "UHI_Index", "LST_Day_Urban"
 
 # Stands for a null city in join keys.
 NO_CITY = "\u0000"
@@ -52,8 +52,8 @@ def _approx_thresholds(obs, accuracy):
 
 
 def _by_measure(obs):
-    """One row per observation and measure, with the value's bin of 0.1 °C."""
-    pairs = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in (UHI, URBAN)])
+    """One row per observation and measure (by number), with the value's bin of 0.1 °C."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("measure"), F.col(m).alias("value")) for i, m in enumerate(MEASURED)])
     rows = (obs.select(F.coalesce("city", F.lit(NO_CITY)).alias("key"), F.inline(pairs))
             .filter(F.col("value").isNotNull()))
     value = F.col("value")
@@ -70,8 +70,9 @@ def threshold_targets(obs: DataFrame) -> DataFrame:
     counts = _by_measure(obs).groupBy("key", "measure", "bin").agg(F.count("*").alias("n"))
     city = Window.partitionBy("key", "measure")
     upto = F.sum("n").over(city.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    levels = F.array(*[F.struct(F.lit(name).alias("level"), F.lit(m).alias("of"), F.lit(share).alias("share"))
-                       for name, (m, share, _) in LEVELS.items()])
+    levels = F.array(*[
+        F.struct(F.lit(name).alias("level"), F.lit(MEASURED.index(m)).alias("of"), F.lit(share).alias("share"))
+        for name, (m, share, _) in LEVELS.items()])
     # The position of a share among all values, counted from the start of the bin.
     wanted = (counts.withColumns({"before": upto - F.col("n"), "total": F.sum("n").over(city)})
               .withColumn("want", F.explode(levels)).filter(F.col("want.of") == F.col("measure"))
@@ -87,7 +88,7 @@ def _values_at(obs, targets):
     Only values in a target bin are counted, by their rounded value: rounding keeps the order, so
     the rounded percentile is a percentile of the rounded values, of which a bin has at most 1000.
     """
-    value = F.when(F.col("measure") == UHI, rnd_rows("value", 4)).otherwise(rnd_rows("value", 2))
+    value = F.when(F.col("measure") == MEASURED.index(UHI), rnd_rows("value", 4)).otherwise(rnd_rows("value", 2))
     keys = "key", "measure", "bin"
     counts = (_by_measure(obs).join(targets.select(*keys), list(keys))
               .groupBy(*keys, value.alias("value")).agg(F.count("*").alias("n")))

@@ -99,6 +99,19 @@ def region_cells(regions: DataFrame, buffer_m: float = RING_M, cell: float = CEL
             .withColumn("cy", span(F.col("y0") - pad, F.col("y1") + pad)))
 
 
+def clipped(px: DataFrame, covered: DataFrame, cell: float = CELL_DEG) -> DataFrame:
+    """Pixels in the box around all region cells.
+
+    The box comes to the driver as one row, so that the filter is of literals and skips files and row groups of
+    a table that is sorted or split by place.
+    """
+    box = covered.agg(F.min("cx"), F.max("cx"), F.min("cy"), F.max("cy")).first()
+    if box[0] is None:  # no region
+        return px.filter(F.lit(False))
+    west, east, south, north = ((edge + step) * cell for edge, step in zip(box, (-1, 2, -1, 2)))
+    return px.filter(F.col("lon").between(west, east) & F.col("lat").between(south, north))
+
+
 def zones(px: DataFrame, regions: DataFrame, buffer_m: float = RING_M, cell: float = CELL_DEG) -> DataFrame:
     """Rows of px once per city they belong to, with zone 'urban' (in the rectangle) or 'rural' (in the ring).
 

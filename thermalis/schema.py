@@ -28,7 +28,7 @@ COORDS = _table(city=S, lat=D, lon=D)
 _CANONICAL = dict(date=DT, month=I, day_of_year=I, LST_Day_Urban=D, LST_Day_Rural=D,
                   LST_Night_Urban=D, UHI_Index=D, city=S, year=I)
 
-# Published result tables: name -> schema.
+# Published result tables, name -> schema.
 RESULTS = {
     "uhi_all_clean": OBSERVATIONS,
     "uhi_monthly": _table(city=S, year=I, month=I, avg_uhi=D, avg_urban_lst=D, avg_rural_lst=D,
@@ -59,7 +59,7 @@ RESULTS = {
     "uhi_forecast_2025_2030": _table(city=S, year=I, month=I, predicted_uhi=D),
 }
 
-# Short names under which a reader asks for published tables.
+# Short names under which a reader asks for published tables.
 SERVED = {
     "all_clean": "uhi_all_clean",
     "monthly": "uhi_monthly",
