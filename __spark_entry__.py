@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from oracle_queries import CITIES, PIXEL_YEARS, YEARS, oracle_sql  # noqa: E402
+from oracle_queries import CITIES, PIXEL_YEARS, YEARS  # noqa: E402
+from oracle_queries import oracle_sql as library_sql  # noqa: E402
 from thermalis import fixtures as fx  # noqa: E402
 from thermalis import plans, sources, streaming  # noqa: E402
 from thermalis.functions import rnd  # noqa: E402
@@ -29,6 +30,14 @@ from thermalis.operators import pixels as pix  # noqa: E402
 from thermalis.operators import serving as srv  # noqa: E402
 from thermalis.operators import temporal as tmp  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from thermalis.llm import registry as corpus_queries
+except ModuleNotFoundError as missing:  # the folders may be taken out, and with them their queries
+    if missing.name not in ("corpus_pipeline", "thermalis.llm"):
+        raise
+    corpus_pipeline = corpus_queries = None
+
 __all__ = ["entry", "oracle_sql", "queries"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -238,7 +247,7 @@ def zonal_series_filled(spark, sf):
     return stable(plans.pixels_to_observations(fx.pixels(spark, sf), fx.regions(spark, sf), PIXEL_YEARS), *SERIES)
 
 
-def queries() -> dict[str, Query]:
+def library_queries() -> dict[str, Query]:
     return {
         "ingest_clean": ingest_clean,
         "ingest_year_month": ingest_year_month,
@@ -322,6 +331,19 @@ def queries() -> dict[str, Query]:
     }
 
 
+def queries() -> dict[str, Query]:
+    if corpus_queries is None:
+        return library_queries()
+    return library_queries() | corpus_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+
+
+def oracle_sql() -> dict[str, str]:
+    if corpus_queries is None:
+        return library_sql()
+    whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return library_sql() | corpus_queries.ORACLE_SQL | whole
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Heat alerts on the smallest tables."""
     return _alerts(spark, SMOKE_DIR)
