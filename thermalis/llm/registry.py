@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from thermalis.llm import bpe, exact_dedup, sharding, urls, warc
+from thermalis.llm import bpe, exact_dedup, sharding, substring_dedup, urls, warc
 from thermalis.llm.common import documents, pages
 
 
@@ -15,6 +15,11 @@ def op3_warc_chunks(spark, sf_dir):
     return warc.round_trip(pages(spark, sf_dir))
 
 
+def op4_super_kmers(spark, sf_dir):
+    found = substring_dedup.remove_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_byte_bpe(spark, sf_dir):
     return bpe.round_trip(documents(spark, sf_dir), vocabulary())
 
@@ -36,6 +41,7 @@ def op10_streaming_dedup(spark, sf_dir):
 
 QUERIES = {
     "op3_warc_chunks": op3_warc_chunks,
+    "op4_super_kmers": op4_super_kmers,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_kd_sharding": op8_kd_sharding,
     "op9_url_regression": op9_url_regression,
