@@ -82,8 +82,8 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     # Full bytes of all rows that share a digest, once; the keeper's are compared with the rest.
     shared = state.where("group_size > 1")
     hits = settle(rows.join(shared, "digest"), "dedup-hits")
-    keeper = (hits.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest")
-              .agg(F.max("content").alias("kept_content")))
+    keeper = settle(hits.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest")
+                    .agg(F.max("content").alias("kept_content")), "dedup-keepers")
     other = hits.join(keeper, "digest").where("content != kept_content").select("id", "digest", "content")
     other = settle(other, "dedup-collisions")
     regrouped = other.groupBy("digest", "content").agg(F.max("id").alias("other_id"), F.count(F.lit(1)).alias("other_size"))
