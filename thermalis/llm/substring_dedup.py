@@ -15,7 +15,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
+from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
 from thermalis.llm.common import bounded_batches, mix, text_bytes, word_hashes
 
@@ -24,7 +24,7 @@ SEED = 5
 #: A minimiser of more documents is hot.
 HOT = 2000
 #: Text bytes of a home, and the fewest homes, so that small inputs use all cores too.
-HOME_BYTES = 12 << 20
+HOME_BYTES = 8 << 20
 LEAST_HOMES = 48
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -76,21 +76,21 @@ def shared_minimisers(docs: DataFrame, window: int, seed: int, hot: int) -> Data
 
 
 def travelling(docs: DataFrame, shared: DataFrame, window: int, seed: int) -> DataFrame:
-    """home, bucket, words, least, most: each home's super-k-mers with the smallest and largest document that has them."""
+    """home, mini, bucket, words, least, most: each home's super-k-mers with the smallest and largest document that has them."""
     def run(texts, minis):
         hot = dict(zip(minis.column("mini").to_pylist(), minis.column("hot").to_pylist()))
-        strings: dict[tuple[int, bytes], list[int]] = {}
+        strings: dict[tuple[int, int, bytes], list[int]] = {}
         for key, words in documents(texts):
             if key is None:
                 continue
-            for mini, start, end in zip(*super_kmers(words, window, seed)):
-                mini = int(mini)
+            minis_of, starts, ends = super_kmers(words, window, seed)
+            for mini, start, end in zip(minis_of.tolist(), starts, ends):
                 if mini not in hot:
                     continue
                 cut = [(i, i + 1) for i in range(start, end)] if hot[mini] else [(start, end)]
                 for a, b in cut:
                     packed = b" ".join(words[a:b + window - 1])
-                    at = (signed(xxh3_64_intdigest(packed)) if hot[mini] else mini, packed)
+                    at = (mini, signed(xxh3_64_intdigest(packed)) if hot[mini] else mini, packed)
                     both = strings.get(at)
                     if both is None:
                         strings[at] = [key, key]
@@ -98,68 +98,76 @@ def travelling(docs: DataFrame, shared: DataFrame, window: int, seed: int) -> Da
                         both[0], both[1] = min(both[0], key), max(both[1], key)
         home = texts.column("home")[0].as_py() if len(texts) else None
         return pa.table({"home": pa.array([home] * len(strings), pa.int32()),
-                         "bucket": pa.array([k[0] for k in strings], pa.int64()),
-                         "words": pa.array([k[1] for k in strings], pa.binary()),
+                         "mini": pa.array([k[0] for k in strings], pa.int64()),
+                         "bucket": pa.array([k[1] for k in strings], pa.int64()),
+                         "words": pa.array([k[2] for k in strings], pa.binary()),
                          "least": pa.array([v[0] for v in strings.values()], pa.int64()),
                          "most": pa.array([v[1] for v in strings.values()], pa.int64())})
 
     return (docs.groupBy("home").cogroup(shared.groupBy("home"))
-            .applyInArrow(run, "home int, bucket long, words binary, least long, most long"))
+            .applyInArrow(run, "home int, mini long, bucket long, words binary, least long, most long"))
 
 
 def counted(strings: DataFrame, window: int) -> DataFrame:
-    """home, words, firsts: for each string with a window from a smaller document, every window's smallest document."""
+    """home, mini, key, firsts: for each string with a window from a smaller document, every window's smallest document.
+
+    key is the string's 128-bit hash, enough to tell the strings of one home and minimiser apart.
+    """
     def windows(packed):
         words = packed.split(b" ")
         return [b" ".join(words[i:i + window]) for i in range(len(words) - window + 1)]
 
     def judged(rows):
-        if len(rows) == 1 and rows[0][2] == rows[0][3]:
+        if len(rows) == 1 and rows[0][3] == rows[0][4]:
             return
-        cut = [windows(r[1]) for r in rows]
-        entries = sorted((w, r[2]) for r, parts in zip(rows, cut) for w in parts)
+        cut = [windows(r[2]) for r in rows]
         first: dict[bytes, int] = {}
-        for w, doc in entries:
+        for w, doc in sorted((w, r[3]) for r, parts in zip(rows, cut) for w in parts):
             first.setdefault(w, doc)
-        for (home, words, _, most), parts in zip(rows, cut):
+        for (home, mini, words, _, most), parts in zip(rows, cut):
             firsts = [first[w] for w in parts]
             if min(firsts) < most:
-                yield home, words, firsts
+                yield home, mini, xxh3_128_digest(words), firsts
 
     def run(batches):
         bucket, held = None, []
 
         def packed(rows):
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()),
-                 pa.array([r[2] for r in rows], pa.list_(pa.int64()))], names=["home", "words", "firsts"])
+            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+                                              names=["home", "mini", "key", "firsts"])
 
         for batch in batches:
             found = []
-            for home, key, words, least, most in zip(*(c.to_pylist() for c in batch.columns)):
+            for home, mini, key, words, least, most in zip(*(c.to_pylist() for c in batch.columns)):
                 if key != bucket:
                     found.extend(judged(held))
                     bucket, held = key, []
-                held.append((home, words, least, most))
+                held.append((home, mini, words, least, most))
             yield packed(found)
         yield packed(list(judged(held)))
 
     return (strings.repartition("bucket").sortWithinPartitions("bucket")
-            .mapInArrow(run, "home int, words binary, firsts array<long>"))
+            .mapInArrow(run, "home int, mini long, key binary, firsts array<long>"))
 
 
 def cleaned(docs: DataFrame, marks: DataFrame, window: int, seed: int) -> DataFrame:
     """doc, n_words, n_removed, kept (the words that stay, joined by spaces)."""
     def run(texts, marks):
-        first = dict(zip(marks.column("words").to_pylist(), marks.column("firsts").to_pylist()))
+        first = dict(zip(marks.column("key").to_pylist(), marks.column("firsts").to_pylist()))
+        marked = set(marks.column("mini").to_pylist())
         n_words, n_removed, kept = [], [], []
         for key, words in documents(texts):
             gone = np.zeros(len(words) + 1, np.int64)
             if key is not None and first:
-                for _, start, end in zip(*super_kmers(words, window, seed)):
-                    docs_of = first.get(b" ".join(words[start:end + window - 1]))
+                minis, starts, ends = super_kmers(words, window, seed)
+                for mini, start, end in zip(minis.tolist(), starts, ends):
+                    if mini not in marked:
+                        continue
+                    docs_of = first.get(xxh3_128_digest(b" ".join(words[start:end + window - 1])))
                     if docs_of is None:  # a hot minimiser's windows travel alone
-                        docs_of = [first.get(b" ".join(words[i:i + window]), (key,))[0] for i in range(start, end)]
+                        docs_of = [first.get(xxh3_128_digest(b" ".join(words[i:i + window])), (key,))[0]
+                                   for i in range(start, end)]
                     for i, doc in enumerate(docs_of, start):
                         if doc < key:
                             gone[i] += 1
