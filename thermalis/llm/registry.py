@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from thermalis.llm import bpe, exact_dedup, sharding, substring_dedup, urls, warc
+from thermalis.llm import bpe, decontam, exact_dedup, packing, quality, sharding, substring_dedup, urls, warc
 from thermalis.llm.common import documents, pages
 
 
@@ -11,6 +11,19 @@ def vocabulary() -> bpe.Vocabulary:
     return bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def table(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def trusted(spark, sf_dir):
+    """Documents that the labels call good."""
+    return table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+
+
+def op2_kneser_ney_quality(spark, sf_dir):
+    return quality.classify(documents(spark, sf_dir), trusted(spark, sf_dir))
+
+
 def op3_warc_chunks(spark, sf_dir):
     return warc.round_trip(pages(spark, sf_dir))
 
@@ -20,6 +33,16 @@ def op4_super_kmers(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_packed_tokens(spark, sf_dir):
+    vocab = vocabulary()
+    packed = packing.write_packed(packing.pack(documents(spark, sf_dir), vocab.ranks, vocab.pattern, end=len(vocab.ranks)))
+    return packed.withColumn("ids_sha256", F.sha2("ids", 256)).drop("ids")
+
+
+def op6_template_decontamination(spark, sf_dir):
+    return decontam.verdicts(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op7_byte_bpe(spark, sf_dir):
     return bpe.round_trip(documents(spark, sf_dir), vocabulary())
 
@@ -40,8 +63,11 @@ def op10_streaming_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_kneser_ney_quality": op2_kneser_ney_quality,
     "op3_warc_chunks": op3_warc_chunks,
     "op4_super_kmers": op4_super_kmers,
+    "op5_packed_tokens": op5_packed_tokens,
+    "op6_template_decontamination": op6_template_decontamination,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_kd_sharding": op8_kd_sharding,
     "op9_url_regression": op9_url_regression,

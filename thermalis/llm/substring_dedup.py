@@ -12,20 +12,17 @@ sends a string once, however many of its documents have it.
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
 from thermalis.llm.common import bounded_batches, mix, text_bytes, word_hashes
+from thermalis.llm.travel import home_of, number_of_homes, rows_at_home, sent_home
 
 WINDOW = 13
 SEED = 5
 #: A minimiser of more documents is hot.
 HOT = 2000
-#: Text bytes of a home, and the fewest homes, so that small inputs use all cores too.
-HOME_BYTES = 8 << 20
-LEAST_HOMES = 48
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -80,9 +77,10 @@ def travelling(docs: DataFrame, shared: DataFrame, window: int, seed: int) -> Da
     def run(texts, minis):
         hot = dict(zip(minis.column("mini").to_pylist(), minis.column("hot").to_pylist()))
         strings: dict[tuple[int, int, bytes], list[int]] = {}
-        for key, words in documents(texts):
+        for key, text in rows_at_home(texts):
             if key is None:
                 continue
+            words = text.split()
             minis_of, starts, ends = super_kmers(words, window, seed)
             for mini, start, end in zip(minis_of.tolist(), starts, ends):
                 if mini not in hot:
@@ -156,8 +154,10 @@ def cleaned(docs: DataFrame, marks: DataFrame, window: int, seed: int) -> DataFr
     def run(texts, marks):
         first = dict(zip(marks.column("key").to_pylist(), marks.column("firsts").to_pylist()))
         marked = set(marks.column("mini").to_pylist())
-        n_words, n_removed, kept = [], [], []
-        for key, words in documents(texts):
+        keys, n_words, n_removed, kept = [], [], [], []
+        for key, text in rows_at_home(texts):
+            words = text.split()
+            keys.append(key)
             gone = np.zeros(len(words) + 1, np.int64)
             if key is not None and first:
                 minis, starts, ends = super_kmers(words, window, seed)
@@ -176,41 +176,13 @@ def cleaned(docs: DataFrame, marks: DataFrame, window: int, seed: int) -> DataFr
             n_words.append(len(words))
             n_removed.append(int(len(words) - stays.sum()))
             kept.append(b" ".join([w for w, s in zip(words, stays.tolist()) if s]))
-        return pa.table({"doc": texts.column("doc"), "n_words": pa.array(n_words, pa.int64()),
+        return pa.table({"doc": pa.array(keys, pa.int64()), "n_words": pa.array(n_words, pa.int64()),
                          "n_removed": pa.array(n_removed, pa.int64()), "kept": pa.array(kept, pa.binary())})
 
     return (docs.groupBy("home").cogroup(marks.groupBy("home"))
             .applyInArrow(run, "doc long, n_words long, n_removed long, kept binary"))
 
 
-def squeezed(docs: DataFrame) -> DataFrame:
-    """The rows with compressed content, for their way home."""
-    def run(batches):
-        squeeze = zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
-            small = pa.array([squeeze(t) for t in batch.column(1).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), small, batch.column(2)], names=["doc", "content", "home"])
-
-    return docs.select("doc", "content", "home").mapInArrow(run, "doc long, content binary, home int")
-
-
-def documents(texts: pa.Table):
-    """Identifier and words of each squeezed row."""
-    unpack = zstandard.ZstdDecompressor().decompress
-    for key, text in zip(texts.column("doc").to_pylist(), texts.column("content")):
-        yield key, unpack(text.as_py()).split()
-
-
-def homes(docs: DataFrame, id_column: str, content: Column) -> DataFrame:
-    """doc, content, home."""
-    total = docs.agg(F.sum(F.octet_length(content))).first()[0] or 0
-    n = max(LEAST_HOMES, -(-total // HOME_BYTES))
-    key = F.coalesce(F.xxhash64(F.col(id_column).cast("long")), F.xxhash64(content))
-    spread = F.when(F.col(id_column).isNull(), F.xxhash64(content)).otherwise(key)
-    return docs.select(F.col(id_column).cast("long").alias("doc"), content.alias("content"),
-                       F.pmod(spread, F.lit(n)).cast("int").alias("home"))
-
-
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW,
                    seed: int = SEED, hot: int = HOT) -> DataFrame:
     """id, n_words, n_removed, kept: a row per input row.
@@ -221,8 +193,10 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     id are one document: they take nothing from each other. Other columns are left out.
     """
     bounded_batches(docs.sparkSession)
-    rows = homes(docs, id_column, text_bytes(text_column))
-    packed = squeezed(rows)
+    content, key = text_bytes(text_column), F.col(id_column).cast("long")
+    home = home_of(key, content, number_of_homes(docs, content))
+    rows = docs.select(home.alias("home"), key.alias("doc"), content.alias("content"))
+    packed = sent_home(rows)
     strings = travelling(packed, shared_minimisers(rows, window, seed, hot), window, seed)
     found = cleaned(packed, counted(strings, window), window, seed)
     return found.withColumnRenamed("doc", id_column)
