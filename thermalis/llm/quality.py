@@ -18,6 +18,8 @@ ORDER = 3
 #: Bits of a character in a packed n-gram.
 BITS = 21
 START, END = 2, 3
+#: Bits of a home's number.
+HOME = 24
 #: One of so many trusted documents sets the fences and is not counted.
 HELD_OUT = 5
 #: The fence lies so many times the distance from the median to this quantile above the median.
@@ -35,7 +37,8 @@ def trigrams(text: str) -> np.ndarray:
 
 
 def home_counts(packs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """home, lang, gram, n: every trigram of a home with its count in counted documents, which may be 0."""
+    """lang, gram, counted: every trigram of a home; counted is its count in counted documents, which may be 0, times
+    2**HOME plus the home. One number, so that all readers need the same columns and share one exchange."""
     def run(texts, trusted):
         counted = set(trusted.column("id").to_pylist())
         by_lang: dict[str, list] = {}
@@ -48,14 +51,13 @@ def home_counts(packs: DataFrame, trusted: DataFrame) -> DataFrame:
             grams, where = np.unique(np.concatenate([g for _, g in docs]), return_inverse=True)
             weight = np.repeat([float(c) for c, _ in docs], [len(g) for _, g in docs])
             n = np.bincount(where, weight, len(grams)).astype(np.int64)
-            parts.append(pa.table({"home": pa.array([home] * len(grams), pa.int32()),
-                                   "lang": pa.array([lang] * len(grams), pa.string()),
-                                   "gram": pa.array(grams), "n": pa.array(n)}))
-        schema = pa.schema([("home", pa.int32()), ("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
+            parts.append(pa.table({"lang": pa.array([lang] * len(grams), pa.string()), "gram": pa.array(grams),
+                                   "counted": pa.array((n << HOME) + home)}))
+        schema = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("counted", pa.int64())])
         return pa.concat_tables(parts) if parts else schema.empty_table()
 
     return (packs.groupBy("home").cogroup(trusted.groupBy("home"))
-            .applyInArrow(run, "home int, lang string, gram long, n long"))
+            .applyInArrow(run, "lang string, gram long, counted long"))
 
 
 def discount(count: Column) -> Column:
@@ -146,11 +148,11 @@ def perplexities(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id",
     known = trusted.select(key.alias("id")).where("id IS NOT NULL").distinct()
     known = known.withColumn("held_out", F.pmod(F.xxhash64("id"), F.lit(HELD_OUT)) == 0)
     counted = known.where("NOT held_out").select(home_of(F.col("id"), None, n).alias("home"), "id")
-    # Counting and answering read one exchange of the homes' trigrams.
     at_shards = home_counts(packs, counted).repartition("lang", "gram")
-    model = interpolated(at_shards.groupBy("lang", "gram").agg(F.sum("n").alias("c")))
+    model = interpolated(at_shards.groupBy("lang", "gram").agg(F.sum(F.shiftright("counted", HOME)).alias("c")))
+    home = F.col("counted").bitwiseAND(F.lit((1 << HOME) - 1)).cast("int").alias("home")
     answers = (at_shards.join(model, ["lang", "gram"])
-               .select("home", "lang", "gram", (-F.log2("p")).alias("bits")))
+               .select(home, "lang", "gram", (-F.log2("p")).alias("bits")))
     found = scored(packs, answers)
     marks = known.select(F.col("id").alias("k_id"), "held_out")
     return (found.join(marks, F.col("id") == F.col("k_id"), "left")

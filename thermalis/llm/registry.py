@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from thermalis.llm import bpe, decontam, exact_dedup, packing, quality, sharding, substring_dedup, urls, warc
+from thermalis.llm import bpe, decontam, exact_dedup, ngram_join, packing, quality, sharding, substring_dedup, urls, warc
 from thermalis.llm.common import documents, pages
 
 
@@ -20,6 +20,10 @@ def trusted(spark, sf_dir):
     return table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
 
 
+def op1_ngram_jaccard(spark, sf_dir):
+    return ngram_join.cluster(documents(spark, sf_dir))
+
+
 def op2_kneser_ney_quality(spark, sf_dir):
     return quality.classify(documents(spark, sf_dir), trusted(spark, sf_dir))
 
@@ -63,6 +67,7 @@ def op10_streaming_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_kneser_ney_quality": op2_kneser_ney_quality,
     "op3_warc_chunks": op3_warc_chunks,
     "op4_super_kmers": op4_super_kmers,
