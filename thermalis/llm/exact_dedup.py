@@ -105,11 +105,12 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 def dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """docs with one row of each group of equal texts, all columns as they are; of repeated rows one stays, any one."""
-    found = settle(exact_groups(docs, id_column, text_column), "dedup-report")
-    found = found.select(F.col(id_column).alias("dedup_id"), F.col("digest").alias("dedup_digest"), "group_size", "kept")
+    found = exact_groups(docs, id_column, text_column).where("group_size > 1")
+    found = settle(found.select(F.col(id_column).alias("dedup_id"), F.col("digest").alias("dedup_digest"),
+                                F.col("kept").alias("dedup_kept")), "dedup-report")
     marked = docs.withColumn("dedup_digest_of", sha256(text_bytes(text_column)))
     same = docs[id_column].eqNullSafe(F.col("dedup_id")) & (F.col("dedup_digest_of") == F.col("dedup_digest"))
-    # Only keepers of several rows can be repeated; the other rows need no shuffle for that.
-    once = marked.join(found.where("kept AND group_size > 1"), same, "left_semi").dropDuplicates([id_column, "dedup_digest_of"])
-    alone = marked.join(found.where("group_size > 1"), same, "left_anti")
-    return alone.unionByName(once).select(*docs.columns)
+    rest = marked.join(found, same, "left").where("dedup_kept IS NULL OR dedup_kept")
+    # Only keepers of groups can be repeated rows.
+    once = rest.where("dedup_kept").dropDuplicates([id_column, "dedup_digest_of"])
+    return rest.where("dedup_kept IS NULL").unionByName(once).select(*docs.columns)
