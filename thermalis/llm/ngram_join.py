@@ -88,7 +88,7 @@ def prefixes(rows: DataFrame, k: int, part: int, whole: int, last: list[int]) ->
 
 
 def whole_sets(rows: DataFrame, wanted: DataFrame, k: int, bits: int) -> DataFrame:
-    """rep, tokens for the wanted documents; a bit map of fixed size spares most others."""
+    """rep, tokens for the wanted documents and some others: a bit map of fixed size spares most of them."""
     low = (1 << bits) - 1
     words = (wanted.select(F.xxhash64("rep").bitwiseAND(F.lit(low)).alias("place"))
              .groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(place & 63 AS INT))")).alias("mask")))
@@ -107,8 +107,7 @@ def whole_sets(rows: DataFrame, wanted: DataFrame, k: int, bits: int) -> DataFra
                  pa.array([shingles(texts[i].as_py(), k).view(np.int64) for i in keep], pa.list_(pa.int64()))], names=["rep", "tokens"])
 
     placed = rows.where("doc IS NOT NULL").select("doc", "content", F.xxhash64("doc").bitwiseAND(F.lit(low)).alias("place"))
-    found = placed.mapInArrow(run, "rep long, tokens array<long>")
-    return settle(found.join(wanted, "rep", "left_semi"), "shingle-sets")
+    return settle(placed.mapInArrow(run, "rep long, tokens array<long>"), "shingle-sets")
 
 
 def can_link(part: int, whole: int) -> Column:
@@ -118,8 +117,10 @@ def can_link(part: int, whole: int) -> Column:
             & ((part + whole) * overlap >= part * (F.col("n") + F.col("b_n"))))
 
 
-def linked(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
-    """The pairs a, b whose sets have whole * intersection >= part * union."""
+def linked(pairs: DataFrame, rows: DataFrame, k: int, part: int, whole: int) -> DataFrame:
+    """The pairs a, b of a settled table whose sets have whole * intersection >= part * union."""
+    ends = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
+    sets = whole_sets(rows, ends, k, MAP_BITS)
     both = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("tokens").alias("a_tokens")), "a")
             .join(sets.select(F.col("rep").alias("b"), F.col("tokens").alias("b_tokens")), "b"))
     common = F.size(F.array_intersect("a_tokens", "b_tokens"))
@@ -161,14 +162,17 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     sets = prefixes(rows, k, part, whole, frequent(rows, k))
     known = sets.where("doc IS NOT NULL AND n > 0")
     classes = settle(known.groupBy("digest").agg(F.min("doc").alias("rep")), "shingle-classes")
-    entries = settle(known.join(classes, "digest").where("doc = rep")
-                     .select("rep", "n", F.posexplode("first").alias("at", "token")), "shingle-index")
-    pivots = (entries.groupBy("token").agg(F.min(F.struct("n", "rep", "at")).alias("pivot"), F.count(F.lit(1)).alias("m"))
+    copies = settle(known.select("doc", "digest").join(classes, "digest").where("doc != rep").select("doc"), "shingle-copies")
+    # Most shingles are in one document only: find the others by counts before anything else travels.
+    shared = known.select(F.explode("first").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
+    entries = known.select(F.col("doc").alias("rep"), F.col("n").cast("int").alias("n"), F.posexplode("first").alias("at", "token"))
+    lists = settle(entries.join(shared, "token"), "shingle-index")
+    lists = lists.join(copies, F.col("rep") == F.col("doc"), "left_anti")
+    pivots = (lists.groupBy("token").agg(F.min(F.struct("n", "rep", "at")).alias("pivot"), F.count(F.lit(1)).alias("m"))
               .where("m > 1").select("token", F.col("pivot.n").alias("b_n"), F.col("pivot.rep").alias("b"), F.col("pivot.at").alias("b_at")))
-    lists = settle(entries.join(pivots, "token"), "shingle-lists")
-    held = whole_sets(rows, settle(lists.select("rep").distinct(), "shingle-wanted"), k, MAP_BITS)
+    lists = settle(lists.join(pivots, "token"), "shingle-lists")
     compared = settle(lists.where(can_link(part, whole) & (F.col("rep") != F.col("b"))).select(F.col("rep").alias("a"), "b").distinct(), "pivot-pairs")
-    stars = settle(linked(compared, held, part, whole), "pivot-links")
+    stars = settle(linked(compared, rows, k, part, whole), "pivot-links")
     labels = components(spark, stars)
     # What is left are pairs of different components in one list; size blocks of equal ratio meet themselves and the next.
     step = math.log(whole / part) if part < whole else 1.0
@@ -183,7 +187,8 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
                    & ((F.col("n") < F.col("b_n")) | ((F.col("n") == F.col("b_n")) & (F.col("rep") < F.col("b")))))
             .select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct())
     seen = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = settle(linked(left.join(seen, ["a", "b"], "left_anti"), held, part, whole), "rest-links")
+    left = settle(left.join(seen, ["a", "b"], "left_anti"), "rest-pairs")
+    more = settle(linked(left, rows, k, part, whole), "rest-links")
     if not more.isEmpty():
         labels = components(spark, stars.unionByName(more))
     found = (sets.select("doc", "n", "digest").join(classes, "digest", "left")
