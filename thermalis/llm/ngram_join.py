@@ -117,6 +117,14 @@ def can_link(part: int, whole: int) -> Column:
             & ((part + whole) * overlap >= part * (F.col("n") + F.col("b_n"))))
 
 
+def promising(common: DataFrame, part: int, whole: int) -> DataFrame:
+    """The pairs a, b that can still link; a row per indexed shingle that both have, which is all of them."""
+    pairs = common.groupBy("a", "b", "n", "b_n").agg(F.count(F.lit(1)).alias("m"), F.max("at").alias("at"), F.max("b_at").alias("b_at"))
+    # Whatever else is common comes after the last indexed one.
+    overlap = F.col("m") + F.least(F.col("n") - F.col("at"), F.col("b_n") - F.col("b_at")) - 1
+    return pairs.where((part + whole) * overlap >= part * (F.col("n") + F.col("b_n"))).select("a", "b")
+
+
 def linked(pairs: DataFrame, rows: DataFrame, k: int, part: int, whole: int) -> DataFrame:
     """The pairs a, b of a settled table whose sets have whole * intersection >= part * union."""
     ends = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
@@ -172,7 +180,10 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
               .where("m > 1").select("token", F.col("pivot.n").alias("b_n"), F.col("pivot.rep").alias("b"), F.col("pivot.at").alias("b_at")))
     lists = settle(lists.join(pivots, "token"), "shingle-lists")
     compared = settle(lists.where(can_link(part, whole) & (F.col("rep") != F.col("b"))).select(F.col("rep").alias("a"), "b").distinct(), "pivot-pairs")
-    stars = settle(linked(compared, rows, k, part, whole), "pivot-links")
+    places = lists.select("token", "rep", "n", "at")
+    common = (compared.join(places.withColumnRenamed("rep", "a"), "a")
+              .join(places.select("token", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("at").alias("b_at")), ["b", "token"]))
+    stars = settle(linked(settle(promising(common, part, whole), "pivot-candidates"), rows, k, part, whole), "pivot-links")
     labels = components(spark, stars)
     # What is left are pairs of different components in one list; size blocks of equal ratio meet themselves and the next.
     step = math.log(whole / part) if part < whole else 1.0
@@ -185,7 +196,8 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     left = (marked.join(other, ["token", "block"])
             .where((F.col("component") != F.col("b_component")) & can_link(part, whole)
                    & ((F.col("n") < F.col("b_n")) | ((F.col("n") == F.col("b_n")) & (F.col("rep") < F.col("b")))))
-            .select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct())
+            .select(F.col("rep").alias("a"), "b", "n", "at", "b_n", "b_at"))
+    left = promising(left, part, whole).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     seen = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     left = settle(left.join(seen, ["a", "b"], "left_anti"), "rest-pairs")
     more = settle(linked(left, rows, k, part, whole), "rest-links")
