@@ -255,7 +255,7 @@ def library_queries() -> dict[str, Query]:
         "obs_roundtrip": obs_roundtrip,
         "by_city_roundtrip": by_city_roundtrip,
         "results_roundtrip": results_roundtrip,
-        "sample_export": _on_obs(sources.sample_export),
+        "clean_export": _on_obs(sources.clean_export),
         "row_counts": row_counts,
         "sql_views": sql_views,
         "city_counts": _on_obs(agg.city_counts),
@@ -307,14 +307,14 @@ def library_queries() -> dict[str, Query]:
         "kpis": _on_obs(lambda obs: srv.kpis(agg.rankings(obs))),
         "map_points": lambda spark, sf: srv.map_points(agg.rankings(fx.obs(spark, sf)), fx.coords(spark, sf)),
         "month_heatmap": lambda spark, sf: stable(
-            srv.month_heatmap(agg.monthly(fx.obs(spark, sf)), years=YEARS), *srv.MONTH_NAMES),
+            srv.month_heatmap(agg.monthly(fx.obs(spark, sf))), *srv.MONTH_NAMES),
         "seasonal_ordered": _on_obs(lambda obs: srv.seasonal_ordered(agg.seasonal(obs))),
         "peak_table": _on_obs(lambda obs: srv.peak_table(tmp.peak_month(obs))),
         "history_forecast": lambda spark, sf: stable(
             srv.history_forecast(agg.yearly(fx.obs(spark, sf)), _projected(spark, sf), years=YEARS), "uhi"),
-        "alert_counts": lambda spark, sf: srv.alert_counts(_alerts(spark, sf), years=YEARS),
-        "alerts_head": lambda spark, sf: srv.alerts_head(_alerts(spark, sf)),
-        "extreme_head": _on_obs(lambda obs: srv.extreme_head(hot.extreme_heat(obs))),
+        "alert_counts": lambda spark, sf: srv.alert_counts(_alerts(spark, sf)),
+        "alerts_head": lambda spark, sf: srv.alerts_head(_alerts(spark, sf), 100),
+        "extreme_head": _on_obs(lambda obs: srv.extreme_head(hot.extreme_heat(obs), 50)),
         "pixel_period": lambda spark, sf: pix.select_period(
             fx.pixels(spark, sf), "1998-04-01", "1998-05-01", ["LST_Day_1km"]),
         "pixel_clean": _celsius,

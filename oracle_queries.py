@@ -143,8 +143,7 @@ SELECT 'yearly', count(*) FROM yearly UNION ALL SELECT 'seasonal', count(*) FROM
 SELECT 'decade', count(*) FROM decades UNION ALL SELECT 'rankings', count(*) FROM rankings UNION ALL
 SELECT name, 0 FROM (VALUES ('all_clean'), ('rate_of_change'), ('hotspots'), ('extreme_heat'), ('peak_months'),
  ('moving_avg'), ('forecast'), ('test_predictions'), ('seasonal_evolution'), ('yoy_trends')) v(name)""",
-    "sample_export": """SELECT * FROM obs ORDER BY city, date, UHI_Index, LST_Day_Urban, LST_Day_Rural, LST_Night_Urban
-LIMIT 500000""",
+    "clean_export": "SELECT * FROM obs",
     "row_counts": "SELECT count(*) AS records, count(DISTINCT city) AS cities FROM obs",
     "sql_views": f"""SELECT 'season' AS kind, {SEASON} AS label, count(*) AS n, {r('avg(UHI_Index)', 4)} AS avg_uhi
 FROM obs GROUP BY ALL UNION ALL
@@ -221,15 +220,15 @@ WHERE avg_urban_lst IS NOT NULL AND avg_rural_lst IS NOT NULL AND avg_night_lst
 FROM rankings k JOIN coords c ON k.city=c.city""",
     "month_heatmap": "SELECT city, " + ", ".join(
         f"{r(f'avg(CASE WHEN month={i} THEN avg_uhi END)', 6)} AS {m}" for i, m in enumerate(MONTHS, 1))
-        + f" FROM monthly WHERE {YEAR_IN} GROUP BY city",
+        + " FROM monthly GROUP BY city",
     "seasonal_ordered": """SELECT *, CASE season WHEN 'Pre-Monsoon' THEN 1 WHEN 'Monsoon' THEN 2 WHEN 'Post-Monsoon' THEN 3
  ELSE 4 END::BIGINT AS season_place FROM seasonal""",
     "peak_table": f"""SELECT city, {MONTH_NAME.format('peak_month')} AS "Peak Month", peak_uhi AS "Peak UHI (°C)"
 FROM peaks""",
     "history_forecast": f"""SELECT city, year, avg_uhi AS uhi, 'Historical' AS type FROM yearly WHERE {YEAR_IN} UNION ALL
 SELECT city, year, {r('avg(predicted_uhi)', 6)}, 'Forecast' FROM projected GROUP BY city, year""",
-    "alert_counts": f"""SELECT count(*) FILTER (WHERE severity='CRITICAL') AS critical,
- count(*) FILTER (WHERE severity='HIGH') AS high, count(*) AS total FROM hotspots WHERE {YEAR_IN}""",
+    "alert_counts": """SELECT count(*) FILTER (WHERE severity='CRITICAL') AS critical,
+ count(*) FILTER (WHERE severity='HIGH') AS high, count(*) AS total FROM hotspots""",
     "alerts_head": """SELECT * FROM hotspots ORDER BY city NULLS FIRST, date NULLS FIRST, uhi_index NULLS FIRST,
  urban_temp_c NULLS FIRST, rural_temp_c NULLS FIRST LIMIT 100""",
     "extreme_head": """SELECT * FROM extreme ORDER BY city NULLS FIRST, date NULLS FIRST, UHI_Index NULLS FIRST,

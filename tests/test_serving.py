@@ -94,7 +94,7 @@ def test_views_from_published_tables(spark, obs_of, tmp_path):
     counts = {name: view.count() for name, view in views.items()}
     assert counts == {"options": 4, "year_range": 1, "kpis": 1, "rankings": 2, "rates": 0, "yearly": 1, "moving_avg": 0,
                       "decade": 1, "map_points": 1, "month_heatmap": 1, "seasonal": 3, "temperatures": 1,
-                      "peak_table": 0, "history_forecast": 1, "alert_counts": 1, "alerts_head": 0, "extreme_head": 0}
+                      "peak_table": 0, "history_forecast": 1, "alert_counts": 1, "alerts": 0, "extreme": 0}
 
 
 def test_first_rows_follow_the_order(spark):

@@ -16,7 +16,7 @@ def write_all(tables, out, fmt):
 
 def ingest(spark, a):
     sources.write_obs(plans.build_observations(spark, a.raw, a.sentinel), a.obs)
-    sources.write_result(sources.sample_export(sources.read_obs(spark, a.obs)), f"{a.out}/uhi_all_clean", a.format)
+    sources.write_result(sources.clean_export(sources.read_obs(spark, a.obs)), f"{a.out}/uhi_all_clean", a.format)
 
 
 def core(spark, a):

@@ -133,9 +133,9 @@ ALERT_ORDER = ["city", "date", "uhi_index", "urban_temp_c", "rural_temp_c"]
 EXTREME_ORDER = ["city", "date", "UHI_Index", "LST_Day_Urban", "LST_Day_Rural", "LST_Night_Urban"]
 
 
-def alerts_head(alerts: DataFrame, cities=None, years=None, n: int = 100) -> DataFrame:
+def alerts_head(alerts: DataFrame, n: int, cities=None, years=None) -> DataFrame:
     return head_n(filter_result(alerts, cities, years), n, *[F.asc_nulls_first(c) for c in ALERT_ORDER])
 
 
-def extreme_head(extreme: DataFrame, cities=None, years=None, n: int = 50) -> DataFrame:
+def extreme_head(extreme: DataFrame, n: int, cities=None, years=None) -> DataFrame:
     return head_n(filter_result(extreme, cities, years), n, *[F.asc_nulls_first(c) for c in EXTREME_ORDER])

@@ -20,7 +20,7 @@ from thermalis.operators import temporal as tmp
 from thermalis.operators.ingest import clean
 from thermalis.schema import SERVED
 from thermalis.sources import (
-    read_obs, read_raw, read_result, sample_export, settle, write_obs, write_result,
+    clean_export, read_obs, read_raw, read_result, settle, write_obs, write_result,
 )
 
 Results = dict[str, DataFrame]
@@ -150,8 +150,8 @@ def serving_views(results: Results, cities=None, years=None, coords: DataFrame |
         "history_forecast": srv.presented(
             srv.history_forecast(results["yearly"], results["forecast"], cities, years), "city", "year"),
         "alert_counts": srv.alert_counts(results["hotspots"], cities, years),
-        "alerts_head": srv.alerts_head(results["hotspots"], cities, years),
-        "extreme_head": srv.extreme_head(results["extreme_heat"], cities, years),
+        "alerts": srv.filter_result(results["hotspots"], cities, years),
+        "extreme": srv.filter_result(results["extreme_heat"], cities, years),
     }
 
 
@@ -173,7 +173,7 @@ def publish(spark: SparkSession, raw_path, obs_path: str, out: str, fmt: str = "
     temporal = temporal_analysis(source)
     future = forecast_pipeline(source, temporal["uhi_rate_of_change"])
     tables = {
-        "uhi_all_clean": sample_export(obs),
+        "uhi_all_clean": clean_export(obs),
         **core_analysis(source),
         **hotspot_tables(obs, source),
         **temporal,

@@ -1,11 +1,11 @@
 from thermalis.sources.durable import scratch_path, settle
 from thermalis.sources.models import load_model, save_model
-from thermalis.sources.observations import read_obs, read_raw, sample_export, write_by_city, write_obs
+from thermalis.sources.observations import clean_export, read_obs, read_raw, write_by_city, write_obs
 from thermalis.sources.results import load_results, read_result, read_trend, write_result
 from thermalis.sources.views import register_views
 
 __all__ = [
     "load_model", "load_results", "read_obs", "read_raw", "read_result", "read_trend",
-    "register_views", "sample_export", "save_model", "scratch_path", "settle", "write_by_city",
+    "clean_export", "register_views", "save_model", "scratch_path", "settle", "write_by_city",
     "write_obs", "write_result",
 ]

@@ -1,14 +1,10 @@
 """Reading and writing of observations."""
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from thermalis.schema import OBSERVATIONS
 
-ROW_ORDER = ["city", "date", "UHI_Index", "LST_Day_Urban", "LST_Day_Rural", "LST_Night_Urban"]
-
-
 def read_raw(spark: SparkSession, path, schema: StructType | str | None = None) -> DataFrame:
     """All CSV files under a path, glob or list of paths.
 
@@ -42,46 +38,6 @@ def write_by_city(df: DataFrame, path: str) -> None:
        .write.partitionBy("city").mode("overwrite").option("header", True).csv(path))
 
 
-def _same(column, value):
-    return F.col(column).isNull() if value is None else F.col(column) == F.lit(value)
-
-
-def _before(column, value):
-    """Column sorts strictly before value, nulls last."""
-    return F.col(column).isNotNull() if value is None else F.col(column) < F.lit(value)
-
-
-def _cut(tied: DataFrame, column: str, n: int):
-    """The value of column in which the n-th row falls, with its rows and the rows up to its end."""
-    groups = tied.groupBy(column).agg(F.count("*").alias("n"))
-    # Every group counts at least one row, so the first n groups reach the n-th row.
-    first = groups.orderBy(F.asc_nulls_last(column)).limit(n)
-    to_here = Window.orderBy(F.asc_nulls_last(column)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (first.withColumn("upto", F.sum("n").over(to_here))
-            .filter(F.col("upto") >= n).orderBy("upto").first())
-
-
-def sample_export(obs: DataFrame, n: int = 500_000) -> DataFrame:
-    """The first n rows by city, date and measures.
-
-    The n-th row is located column by column: grouped counts tell the city in which it falls, then
-    the date, and so on until a group ends exactly there. Only these few values come to the
-    driver. The result is a union of filters that reach the scan, so that the rows stay spread
-    over tasks, however many share a city or a day.
-    """
-    tied, left, parts = obs.select(*OBSERVATIONS.names), n, []
-    for column in ROW_ORDER:
-        cut = _cut(tied, column, left)
-        if cut is None:  # fewer rows than asked for
-            break
-        parts.append(tied.filter(_before(column, cut[column])))
-        tied = tied.filter(_same(column, cut[column]))
-        left -= cut.upto - cut.n
-        if left == cut.n:
-            break
-    else:  # the rows that are left equal each other
-        copies = F.explode(F.sequence(F.lit(1), F.lit(left)))
-        tied = tied.limit(1).withColumn("_copy", copies).drop("_copy")
-    for part in parts:
-        tied = tied.unionByName(part)
-    return tied
+def clean_export(obs: DataFrame) -> DataFrame:
+    """Every clean row, in the published column order; the executors write them."""
+    return obs.select(*OBSERVATIONS.names)
