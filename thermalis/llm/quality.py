@@ -38,7 +38,7 @@ def trigrams(text: str) -> np.ndarray:
 
 def home_counts(packs: DataFrame, trusted: DataFrame) -> DataFrame:
     """lang, gram, counted: every trigram of a home; counted is its count in counted documents, which may be 0, times
-    2**HOME plus the home. One number, so that all readers need the same columns and share one exchange."""
+    2**HOME plus the home."""
     def run(texts, trusted):
         counted = set(trusted.column("id").to_pylist())
         by_lang: dict[str, list] = {}
@@ -148,8 +148,10 @@ def perplexities(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id",
     known = trusted.select(key.alias("id")).where("id IS NOT NULL").distinct()
     known = known.withColumn("held_out", F.pmod(F.xxhash64("id"), F.lit(HELD_OUT)) == 0)
     counted = known.where("NOT held_out").select(home_of(F.col("id"), None, n).alias("home"), "id")
-    at_shards = home_counts(packs, counted).repartition("lang", "gram")
-    model = interpolated(at_shards.groupBy("lang", "gram").agg(F.sum(F.shiftright("counted", HOME)).alias("c")))
+    # Both are read many times below, so they are tables: Spark would count anew for every reader.
+    at_shards = settle(home_counts(packs, counted), "quality-counts")
+    kinds = settle(at_shards.groupBy("lang", "gram").agg(F.sum(F.shiftright("counted", HOME)).alias("c")), "quality-kinds")
+    model = settle(interpolated(kinds), "quality-model")
     home = F.col("counted").bitwiseAND(F.lit((1 << HOME) - 1)).cast("int").alias("home")
     answers = (at_shards.join(model, ["lang", "gram"])
                .select(home, "lang", "gram", (-F.log2("p")).alias("bits")))
