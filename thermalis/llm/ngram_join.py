@@ -8,7 +8,8 @@ by hash), and only the first of them, enough for the threshold, are indexed. The
 * by answers: first every list is compared with one set of its own, its pivot. Sets that the pivot's answers already
   connect need no comparison with each other, which leaves the pairs of different components.
 
-Candidates are compared on their whole sets.
+A candidate pair first meets in its parity sketches: every shingle flips one bit, so two sketches differ in no more
+bits than the sets differ in shingles. What the sketches cannot refute is compared on the whole sets.
 """
 
 import math
@@ -44,6 +45,22 @@ def shingles(text: bytes, k: int) -> np.ndarray:
     return np.unique(mix(found + np.uint64(k)))
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """A bit per place: whether an odd number of shingles falls there. 2 to 4 places a shingle, a power of two."""
+    if not len(tokens):
+        return b""
+    places = 1 << max(6, (2 * len(tokens) - 1).bit_length())
+    counts = np.bincount((tokens & np.uint64(places - 1)).view(np.int64), minlength=places)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """In how many shingles the sets of two sketches differ at least; the longer sketch is folded to the shorter one."""
+    short, long = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    folded = np.bitwise_xor.reduce(long.reshape(-1, len(short)), axis=0)
+    return int(np.bitwise_count(folded ^ short).sum())
+
+
 def texts_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return docs.select(F.col(id_column).cast("long").alias("doc"), text_bytes(text_column).alias("content"))
 
@@ -63,13 +80,13 @@ def frequent(rows: DataFrame, k: int) -> list[int]:
 
 
 def prefixes(rows: DataFrame, k: int, part: int, whole: int, last: list[int]) -> DataFrame:
-    """doc, n, digest of the set, and its first shingles in the common order: n - ceil(n * part / whole) + 1 of them."""
+    """doc, n, digest and sketch of the set, and its first shingles in the common order: n - ceil(n * part / whole) + 1."""
     shared = rows.sparkSession.sparkContext.broadcast(np.sort(np.array(last, np.int64).view(np.uint64)))
 
     def run(batches):
         often = shared.value
         for batch in batches:
-            out = [[], [], [], []]
+            out = [[], [], [], [], []]
             for key, text in zip(*(c.to_pylist() for c in batch.columns)):
                 tokens = shingles(text, k)
                 n = len(tokens)
@@ -79,12 +96,12 @@ def prefixes(rows: DataFrame, k: int, part: int, whole: int, last: list[int]) ->
                 else:
                     ordered = tokens
                 first = ordered[:n + (-n * part // whole) + 1] if n else ordered
-                for column, value in zip(out, (key, n, xxh3_128_digest(tokens.tobytes()), first.view(np.int64))):
+                for column, value in zip(out, (key, n, xxh3_128_digest(tokens.tobytes()), sketch(tokens), first.view(np.int64))):
                     column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=["doc", "n", "digest", "first"])
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=["doc", "n", "digest", "sketch", "first"])
 
-    return settle(rows.mapInArrow(run, "doc long, n long, digest binary, first array<long>"), "shingle-prefixes")
+    return settle(rows.mapInArrow(run, "doc long, n long, digest binary, sketch binary, first array<long>"), "shingle-prefixes")
 
 
 def whole_sets(rows: DataFrame, wanted: DataFrame, k: int, bits: int) -> DataFrame:
@@ -125,6 +142,19 @@ def promising(common: DataFrame, part: int, whole: int) -> DataFrame:
     return pairs.where((part + whole) * overlap >= part * (F.col("n") + F.col("b_n"))).select("a", "b")
 
 
+def plausible(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
+    """The pairs a, b that their sketches do not refute. sets: doc, n, sketch."""
+    def run(batches):
+        for batch in batches:
+            keep = [whole * (n + b_n - d) >= part * (n + b_n + d)
+                    for n, b_n, x, y in zip(*(c.to_pylist() for c in batch.columns[2:])) for d in (least_difference(x, y),)]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    met = (pairs.join(sets.select(F.col("doc").alias("a"), "n", F.col("sketch").alias("x")), "a")
+           .join(sets.select(F.col("doc").alias("b"), F.col("n").alias("b_n"), F.col("sketch").alias("y")), "b"))
+    return met.select("a", "b", "n", "b_n", "x", "y").mapInArrow(run, "a long, b long").distinct()
+
+
 def linked(pairs: DataFrame, rows: DataFrame, k: int, part: int, whole: int) -> DataFrame:
     """The pairs a, b of a settled table whose sets have whole * intersection >= part * union."""
     ends = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
@@ -183,7 +213,7 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     places = lists.select("token", "rep", "n", "at")
     common = (compared.join(places.withColumnRenamed("rep", "a"), "a")
               .join(places.select("token", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("at").alias("b_at")), ["b", "token"]))
-    stars = settle(linked(settle(promising(common, part, whole), "pivot-candidates"), rows, k, part, whole), "pivot-links")
+    stars = settle(linked(settle(plausible(promising(common, part, whole), known, part, whole), "pivot-candidates"), rows, k, part, whole), "pivot-links")
     labels = components(spark, stars)
     # What is left are pairs of different components in one list; size blocks of equal ratio meet themselves and the next.
     step = math.log(whole / part) if part < whole else 1.0
@@ -199,7 +229,7 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
             .select(F.col("rep").alias("a"), "b", "n", "at", "b_n", "b_at"))
     left = promising(left, part, whole).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     seen = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    left = settle(left.join(seen, ["a", "b"], "left_anti"), "rest-pairs")
+    left = settle(plausible(left.join(seen, ["a", "b"], "left_anti"), known, part, whole), "rest-pairs")
     more = settle(linked(left, rows, k, part, whole), "rest-links")
     if not more.isEmpty():
         labels = components(spark, stars.unionByName(more))
