@@ -1,8 +1,9 @@
 """Exact n-gram Jaccard join with set-relation skipping, down to connected components.
 
 Documents with equal shingle sets are one class. A class's shingles have one order everywhere (frequent ones last, else
-by hash), and only the first of them, enough for the threshold, are indexed. The index's lists are skipped in two ways:
+by hash), and only the first of them, enough for the threshold, are indexed. The index's lists are skipped in three ways:
 
+* by equality: shingles that the same documents have are one list;
 * by position and size: lists are cut in blocks of similar set sizes, only blocks that can hold links meet, and the
   places of the common shingle bound the overlap;
 * by answers: first every list is compared with one set of its own, its pivot. Sets that the pivot's answers already
@@ -135,13 +136,27 @@ def can_link(part: int, whole: int) -> Column:
 
 
 def promising(common: DataFrame, part: int, whole: int) -> DataFrame:
-    """The pairs a, b that can still link; a row per indexed shingle that both have, which is all of them."""
-    pairs = common.groupBy("a", "b", "n", "b_n").agg(F.count(F.lit(1)).alias("m"), F.max("at").alias("at"), F.max("b_at").alias("b_at"))
+    """The pairs a, b that can still link; the rows of a pair stand for all m indexed shingles that both have."""
+    pairs = common.groupBy("a", "b", "n", "b_n").agg(F.sum("m").alias("m"), F.max("at").alias("at"), F.max("b_at").alias("b_at"))
     # Whatever else is common comes after the last indexed one.
     overlap = F.col("m") + F.least(F.col("n") - F.col("at"), F.col("b_n") - F.col("b_at")) - 1
     return pairs.where((part + whole) * overlap >= part * (F.col("n") + F.col("b_n"))).select("a", "b")
 
 
+def merged(lists: DataFrame) -> DataFrame:
+    """token, rep, n, at, m: shingles that the same documents have become one list; token stands for its documents.
+
+    m is the number of its shingles, at the place of the last one. Lists are told apart by 126 bits of hashes and their
+    length.
+    """
+    one, two = F.xxhash64("rep"), F.xxhash64(F.lit(7), "rep")
+    members = (lists.groupBy("token").agg(F.bit_xor(one).alias("x"), F.sum(F.pmod(one, F.lit(1 << 31))).alias("s"),
+                                          F.sum(F.pmod(two, F.lit(1 << 31))).alias("t"), F.count(F.lit(1)).alias("c"))
+               .where("c > 1").select("token", F.struct("x", "s", "t", "c").alias("members")))
+    return (lists.join(members, "token").groupBy(F.col("members").alias("token"), "rep", "n")
+            .agg(F.max("at").alias("at"), F.count(F.lit(1)).alias("m")))
+
+
 def plausible(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
     """The pairs a, b that their sketches do not refute. sets: doc, n, sketch."""
     def run(batches):
@@ -205,19 +220,19 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     shared = known.select(F.explode("first").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
     entries = known.select(F.col("doc").alias("rep"), F.col("n").cast("int").alias("n"), F.posexplode("first").alias("at", "token"))
     lists = settle(entries.join(shared, "token"), "shingle-index")
-    lists = lists.join(copies, F.col("rep") == F.col("doc"), "left_anti")
+    lists = settle(merged(lists.join(copies, F.col("rep") == F.col("doc"), "left_anti")), "shingle-merged")
     pivots = (lists.groupBy("token").agg(F.min(F.struct("n", "rep", "at")).alias("pivot"), F.count(F.lit(1)).alias("m"))
               .where("m > 1").select("token", F.col("pivot.n").alias("b_n"), F.col("pivot.rep").alias("b"), F.col("pivot.at").alias("b_at")))
     lists = settle(lists.join(pivots, "token"), "shingle-lists")
     compared = settle(lists.where(can_link(part, whole) & (F.col("rep") != F.col("b"))).select(F.col("rep").alias("a"), "b").distinct(), "pivot-pairs")
-    places = lists.select("token", "rep", "n", "at")
+    places = lists.select("token", "rep", "n", "at", "m")
     common = (compared.join(places.withColumnRenamed("rep", "a"), "a")
-              .join(places.select("token", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("at").alias("b_at")), ["b", "token"]))
+              .join(lists.select("token", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("at").alias("b_at")), ["b", "token"]))
     stars = settle(linked(settle(plausible(promising(common, part, whole), known, part, whole), "pivot-candidates"), rows, k, part, whole), "pivot-links")
     labels = components(spark, stars)
     # What is left are pairs of different components in one list; size blocks of equal ratio meet themselves and the next.
     step = math.log(whole / part) if part < whole else 1.0
-    marked = (lists.select("token", "rep", "n", "at").join(labels, "rep", "left")
+    marked = (places.join(labels, "rep", "left")
               .withColumn("component", F.coalesce("component", "rep")).withColumn("block", F.floor(F.log("n") / step).cast("int")))
     mixed = (marked.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token"))
     marked = settle(marked.join(mixed, "token"), "shingle-rest")
@@ -226,7 +241,7 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     left = (marked.join(other, ["token", "block"])
             .where((F.col("component") != F.col("b_component")) & can_link(part, whole)
                    & ((F.col("n") < F.col("b_n")) | ((F.col("n") == F.col("b_n")) & (F.col("rep") < F.col("b")))))
-            .select(F.col("rep").alias("a"), "b", "n", "at", "b_n", "b_at"))
+            .select(F.col("rep").alias("a"), "b", "n", "at", "b_n", "b_at", "m"))
     left = promising(left, part, whole).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     seen = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     left = settle(plausible(left.join(seen, ["a", "b"], "left_anti"), known, part, whole), "rest-pairs")
