@@ -29,6 +29,8 @@ WORDS, PART, WHOLE = 4, 85, 100
 REPORTED, ORDERED = 4, 100_000
 #: log2 of the bit map of classes that have a candidate.
 MAP_BITS = 23
+#: Places of the small sketch that travels with the lists, in words of 64 bits.
+SMALL = 8
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -55,11 +57,23 @@ def sketch(tokens: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
+def folded(parities: np.ndarray, size: int) -> np.ndarray:
+    """The sketch of the same set with fewer places; both sizes in bytes are powers of two."""
+    return np.bitwise_xor.reduce(parities.reshape(-1, size), axis=0)
+
+
 def least_difference(a: bytes, b: bytes) -> int:
     """In how many shingles the sets of two sketches differ at least; the longer sketch is folded to the shorter one."""
     short, long = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
-    folded = np.bitwise_xor.reduce(long.reshape(-1, len(short)), axis=0)
-    return int(np.bitwise_count(folded ^ short).sum())
+    return int(np.bitwise_count(folded(long, len(short)) ^ short).sum())
+
+
+def small_sketch(whole: bytes) -> np.ndarray:
+    """The sketch folded to SMALL words; for the least sets, some words stay 0."""
+    small = np.zeros(8 * SMALL, np.uint8)
+    held = folded(np.frombuffer(whole, np.uint8), min(len(whole), len(small))) if whole else small
+    small[:len(held)] = held
+    return small.view(np.int64)
 
 
 def texts_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -143,6 +157,24 @@ def promising(common: DataFrame, part: int, whole: int) -> DataFrame:
     return pairs.where((part + whole) * overlap >= part * (F.col("n") + F.col("b_n"))).select("a", "b")
 
 
+def small_sketches(sets: DataFrame) -> DataFrame:
+    """doc, small (SMALL numbers) of sets with doc, sketch."""
+    def run(batches):
+        for batch in batches:
+            small = [small_sketch(s) for s in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(small, pa.list_(pa.int64()))], names=["doc", "small"])
+
+    return settle(sets.select("doc", "sketch").mapInArrow(run, "doc long, small array<long>"), "small-sketches")
+
+
+def not_refuted(part: int, whole: int) -> Column:
+    """Whether the small sketches of a (n, small) and b (b_n, b_small) allow a link. Sketches of different lengths say nothing."""
+    d = sum((F.bit_count(F.col("small")[i].bitwiseXOR(F.col("b_small")[i])) for i in range(SMALL)), F.lit(0))
+    n = F.col("n") + F.col("b_n")
+    full = F.least("n", "b_n") > 16 * SMALL  # both are folded to all words then
+    return ~full | (whole * (n - d) >= part * (n + d))
+
+
 def merged(lists: DataFrame) -> DataFrame:
     """token, rep, n, at, m: shingles that the same documents have become one list; token stands for its documents.
 
@@ -235,11 +267,14 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     marked = (places.join(labels, "rep", "left")
               .withColumn("component", F.coalesce("component", "rep")).withColumn("block", F.floor(F.log("n") / step).cast("int")))
     mixed = (marked.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token"))
-    marked = settle(marked.join(mixed, "token"), "shingle-rest")
+    marked = (marked.join(mixed, "token")
+              .join(small_sketches(known).withColumnRenamed("doc", "s_doc"), F.col("rep") == F.col("s_doc")).drop("s_doc"))
+    marked = settle(marked, "shingle-rest")
     other = marked.select("token", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("at").alias("b_at"),
-                          F.col("component").alias("b_component"), F.explode(F.array(F.col("block"), F.col("block") - 1)).alias("block"))
+                          F.col("component").alias("b_component"), F.col("small").alias("b_small"),
+                          F.explode(F.array(F.col("block"), F.col("block") - 1)).alias("block"))
     left = (marked.join(other, ["token", "block"])
-            .where((F.col("component") != F.col("b_component")) & can_link(part, whole)
+            .where((F.col("component") != F.col("b_component")) & can_link(part, whole) & not_refuted(part, whole)
                    & ((F.col("n") < F.col("b_n")) | ((F.col("n") == F.col("b_n")) & (F.col("rep") < F.col("b")))))
             .select(F.col("rep").alias("a"), "b", "n", "at", "b_n", "b_at", "m"))
     left = promising(left, part, whole).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
