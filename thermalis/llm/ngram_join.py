@@ -6,7 +6,7 @@ by hash), and only the first of them, enough for the threshold, are indexed. The
 * by equality: shingles that the same documents have are one list;
 * by position and size: lists are cut in blocks of similar set sizes, only blocks that can hold links meet, and the
   places of the common shingle bound the overlap;
-* by answers: first every list is compared with one set of its own, its pivot. Sets that the pivot's answers already
+* by answers: first every list is compared with one set of its own, its pivot, then with another. Sets that the pivot's answers already
   connect need no comparison with each other, which leaves the pairs of different components.
 
 A candidate pair first meets in its parity sketches: every shingle flips one bit, so two sketches differ in no more
@@ -29,6 +29,8 @@ WORDS, PART, WHOLE = 4, 85, 100
 REPORTED, ORDERED = 4, 100_000
 #: log2 of the bit map of classes that have a candidate.
 MAP_BITS = 23
+#: So many pivots of each list are tried before the pairs that are left. Any number gives the same components.
+TURNS = 2
 #: Places of the small sketch that travels with the lists, in words of 64 bits.
 SMALL = 8
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -189,6 +191,25 @@ def merged(lists: DataFrame) -> DataFrame:
             .agg(F.max("at").alias("at"), F.count(F.lit(1)).alias("m")))
 
 
+def mixed_lists(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """token, rep, n, at, m, component of the lists with different components; without labels each rep is its own."""
+    own = lists.select("token", "rep", "n", "at", "m")
+    if labels is None:
+        return settle(own.withColumn("component", F.col("rep")), "shingle-lists")
+    marked = own.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    mixed = (marked.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token"))
+    return settle(marked.join(mixed, "token"), "shingle-lists")
+
+
+def pivot_pairs(lists: DataFrame, turn: int, part: int, whole: int) -> DataFrame:
+    """a, b: every set of a list with the list's pivot b, another one in each turn, if their components differ."""
+    first = F.min(F.struct(F.xxhash64(F.lit(turn), "rep"), "n", "rep", "at", "component")).alias("pivot")
+    pivots = lists.groupBy("token").agg(first).select("token", *[F.col(f"pivot.{c}").alias(name) for c, name in (
+        ("n", "b_n"), ("rep", "b"), ("at", "b_at"), ("component", "b_component"))])
+    met = lists.join(pivots, "token").where((F.col("component") != F.col("b_component")) & can_link(part, whole))
+    return settle(met.select(F.col("rep").alias("a"), "b").distinct(), "pivot-pairs")
+
+
 def plausible(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
     """The pairs a, b that their sketches do not refute. sets: doc, n, sketch."""
     def run(batches):
@@ -253,21 +274,20 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     entries = known.select(F.col("doc").alias("rep"), F.col("n").cast("int").alias("n"), F.posexplode("first").alias("at", "token"))
     lists = settle(entries.join(shared, "token"), "shingle-index")
     lists = settle(merged(lists.join(copies, F.col("rep") == F.col("doc"), "left_anti")), "shingle-merged")
-    pivots = (lists.groupBy("token").agg(F.min(F.struct("n", "rep", "at")).alias("pivot"), F.count(F.lit(1)).alias("m"))
-              .where("m > 1").select("token", F.col("pivot.n").alias("b_n"), F.col("pivot.rep").alias("b"), F.col("pivot.at").alias("b_at")))
-    lists = settle(lists.join(pivots, "token"), "shingle-lists")
-    compared = settle(lists.where(can_link(part, whole) & (F.col("rep") != F.col("b"))).select(F.col("rep").alias("a"), "b").distinct(), "pivot-pairs")
-    places = lists.select("token", "rep", "n", "at", "m")
-    common = (compared.join(places.withColumnRenamed("rep", "a"), "a")
-              .join(lists.select("token", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("at").alias("b_at")), ["b", "token"]))
-    stars = settle(linked(settle(plausible(promising(common, part, whole), known, part, whole), "pivot-candidates"), rows, k, part, whole), "pivot-links")
-    labels = components(spark, stars)
+    links = compared = labels = None
+    for turn in range(TURNS):
+        lists = mixed_lists(lists, labels)
+        pairs = pivot_pairs(lists, turn, part, whole)
+        compared = pairs if compared is None else compared.unionByName(pairs)
+        common = (pairs.join(lists.select("token", F.col("rep").alias("a"), "n", "at", "m"), "a")
+                  .join(lists.select("token", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("at").alias("b_at")), ["b", "token"]))
+        candidates = settle(plausible(promising(common, part, whole), known, part, whole), "pivot-candidates")
+        found = settle(linked(candidates, rows, k, part, whole), "pivot-links")
+        links = found if links is None else links.unionByName(found)
+        labels = components(spark, links)
     # What is left are pairs of different components in one list; size blocks of equal ratio meet themselves and the next.
     step = math.log(whole / part) if part < whole else 1.0
-    marked = (places.join(labels, "rep", "left")
-              .withColumn("component", F.coalesce("component", "rep")).withColumn("block", F.floor(F.log("n") / step).cast("int")))
-    mixed = (marked.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token"))
-    marked = (marked.join(mixed, "token")
+    marked = (mixed_lists(lists, labels).withColumn("block", F.floor(F.log("n") / step).cast("int"))
               .join(small_sketches(known).withColumnRenamed("doc", "s_doc"), F.col("rep") == F.col("s_doc")).drop("s_doc"))
     marked = settle(marked, "shingle-rest")
     other = marked.select("token", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("at").alias("b_at"),
@@ -282,7 +302,7 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     left = settle(plausible(left.join(seen, ["a", "b"], "left_anti"), known, part, whole), "rest-pairs")
     more = settle(linked(left, rows, k, part, whole), "rest-links")
     if not more.isEmpty():
-        labels = components(spark, stars.unionByName(more))
+        labels = components(spark, links.unionByName(more))
     found = (sets.select("doc", "n", "digest").join(classes, "digest", "left")
              .join(labels.withColumnRenamed("rep", "l_rep"), F.col("rep") == F.col("l_rep"), "left"))
     component = F.when((F.col("n") > 0) & F.col("doc").isNotNull(), F.coalesce("component", "rep")).otherwise(F.col("doc"))
