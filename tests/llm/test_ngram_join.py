@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+
 from thermalis.llm import ngram_join
 
 
@@ -66,3 +68,25 @@ def test_null_ids_repeats_and_an_empty_table(spark):
     assert got == sorted(["(1, 2, 1)", "(1, 2, 1)", "(2, 2, 1)", "(None, 2, None)", "(4, 0, 4)"])
     assert ngram_join.one_of_each(docs).columns == docs.columns
     assert ngram_join.cluster(docs.limit(0)).collect() == []
+
+
+def test_sketches_never_overstate_the_difference():
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 1 << 64, 6000, np.uint64)
+    for n, m in ((0, 5), (1, 1), (31, 33), (40, 3000), (900, 1000), (2500, 2600)):
+        a, b = np.unique(rng.choice(pool, n, False)), np.unique(rng.choice(pool, m, False))
+        true = len(np.setxor1d(a, b))
+        if n:
+            assert ngram_join.least_difference(ngram_join.sketch(a), ngram_join.sketch(b)) <= true
+            assert ngram_join.least_difference(ngram_join.sketch(a), ngram_join.sketch(a)) == 0
+        if min(n, m) > 16 * ngram_join.SMALL:
+            small = [ngram_join.small_sketch(ngram_join.sketch(s)) for s in (a, b)]
+            assert np.bitwise_count(small[0] ^ small[1]).sum() <= true
+    assert ngram_join.small_sketch(b"").tolist() == [0] * ngram_join.SMALL
+
+
+def test_the_number_of_turns_changes_nothing(spark, monkeypatch):
+    rows = groups()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(ngram_join, "TURNS", 1)
+    assert sorted(tuple(r) for r in ngram_join.cluster(docs).collect()) == brute(rows)
