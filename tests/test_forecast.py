@@ -106,7 +106,10 @@ def test_more_cities_than_default_bins(obs_of):
     rows = [(f"c{i:02d}", f"200{y}-{m:02d}-01", 30.0 + i, 29.0, 15.0, float(i % 5)) for i in range(40)
             for y in (1, 2) for m in (1, 6)]
     features = feat.monthly_features(obs_of(rows))
-    assert len(fc.fit_forecaster(features, partitions=2).stages[0].labels) == 40
+    with pytest.raises(ValueError, match="needs 40 bins"):
+        fc.fit_forecaster(features)
+    model = fc.fit_forecaster(features, partitions=32, max_bins=64)
+    assert len(model.stages[0].labels) == 40 and model.stages[-1].getMaxBins() == 64
 
 
 def test_city_without_trend_and_month_without_history(spark, obs_of):

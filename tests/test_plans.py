@@ -68,8 +68,9 @@ def test_all_jobs(spark, tmp_path):
     for job in ("ingest", "core", "hotspots", "temporal", "forecast"):
         main([job, *common, "--out", str(tmp_path / "steps")])
     main(["publish", *common, "--out", str(tmp_path / "whole"), "--format", "parquet"])
-    assert {p.name for p in (tmp_path / "steps").iterdir()} == set(RESULTS)
-    assert {p.name for p in (tmp_path / "whole").iterdir()} == set(RESULTS)
+    reports = {"metrics", "prediction_errors", "forecast_summary", "feature_importance", "hotspot_summary"}
+    assert {p.name for p in (tmp_path / "steps").iterdir()} == set(RESULTS) | reports
+    assert {p.name for p in (tmp_path / "whole").iterdir()} == set(RESULTS) | reports
     steps, whole = load_results(spark, str(tmp_path / "steps")), load_results(spark, str(tmp_path / "whole"), "parquet")
     for key in steps:
         a, b = steps[key], whole[key]

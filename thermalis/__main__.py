@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 from thermalis import plans, sources
 from thermalis.functions.fixed import CITY_RECTANGLES
+from thermalis.operators import forecast as fc
+from thermalis.operators import pixels as pix
 from thermalis.schema import REGIONS
 
 
@@ -25,8 +27,7 @@ def core(spark, a):
 
 def hotspots(spark, a):
     write_all(plans.hotspot_tables(sources.read_obs(spark, a.obs)), a.out, a.format)
-    reports = plans.alert_reports(sources.read_result(spark, a.out, "hotspot_alerts", a.format))
-    write_all({"monthly_hotspot_freq": reports["monthly_hotspot_freq"]}, a.out, a.format)
+    write_all(plans.alert_reports(sources.read_result(spark, a.out, "hotspot_alerts", a.format)), a.out, a.format)
 
 
 def temporal(spark, a):
@@ -36,34 +37,57 @@ def temporal(spark, a):
 def forecast(spark, a):
     """Uses the trend that the temporal job published."""
     trend = sources.read_trend(spark, a.out, a.format)
-    done = plans.forecast_pipeline(sources.read_obs(spark, a.obs), trend)
-    write_all({name: done.results[name] for name in ("test_predictions", "uhi_forecast_2025_2030")}, a.out, a.format)
+    done = plans.forecast_pipeline(sources.read_obs(spark, a.obs), trend, partitions=a.partitions, max_bins=a.max_bins)
+    write_all(done.results, a.out, a.format)
     sources.save_model(done.model, a.model)
 
 
+def regions_of(spark, a):
+    """The rectangles of the CSV file --regions, else the built-in ones."""
+    if a.regions:
+        return spark.read.schema(REGIONS).option("header", True).csv(a.regions)
+    return spark.createDataFrame([(c, *map(float, r)) for c, r in CITY_RECTANGLES.items()], REGIONS)
+
+
 def pixels(spark, a):
     """Pixel table to one CSV folder per city."""
-    regions = spark.createDataFrame([(c, *map(float, r)) for c, r in CITY_RECTANGLES.items()], REGIONS)
-    series = plans.pixels_to_observations(spark.read.parquet(a.raw), regions, (a.first_year, a.last_year))
+    series = plans.pixels_to_observations(spark.read.parquet(a.raw), regions_of(spark, a), (a.first_year, a.last_year))
     sources.write_by_city(series, a.out)
 
 
+def period_mean(spark, a):
+    """Mean day temperature per pixel over the years."""
+    px = pix.select_period(spark.read.parquet(a.raw), f"{a.first_year}-01-01", f"{a.last_year + 1}-01-01", ["LST_Day_1km"])
+    write_all({"pixel_period_mean": pix.period_mean(pix.to_celsius(px))}, a.out, a.format)
+
+
+def per_image(spark, a):
+    """Urban and rural mean of every city and image of the years."""
+    px = pix.select_period(spark.read.parquet(a.raw), f"{a.first_year}-01-01", f"{a.last_year + 1}-01-01")
+    series = pix.zonal_per_image(pix.to_celsius(pix.qa_mask(px)), regions_of(spark, a))
+    write_all({"zonal_per_image": series}, a.out, a.format)
+
+
 def publish(spark, a):
-    sources.save_model(plans.publish(spark, a.raw, a.obs, a.out, a.format, a.sentinel), a.model)
+    model = plans.publish(spark, a.raw, a.obs, a.out, a.format, a.sentinel, a.partitions, a.max_bins)
+    sources.save_model(model, a.model)
 
 
-JOBS = {job.__name__: job for job in (ingest, core, hotspots, temporal, forecast, pixels, publish)}
+JOBS = {job.__name__: job for job in (ingest, core, hotspots, temporal, forecast, pixels, period_mean, per_image, publish)}
 
 
 def main(argv=None):
     parser = argparse.ArgumentParser(prog="thermalis")
     parser.add_argument("job", choices=JOBS)
-    parser.add_argument("--raw", default="data/raw/*.csv", help="CSV exports, or the pixel table for 'pixels'")
+    parser.add_argument("--raw", default="data/raw/*.csv", help="CSV exports; the pixel table for pixels, period_mean, per_image")
+    parser.add_argument("--regions", help="CSV of city, x0, y0, x1, y1 for pixels and per_image")
     parser.add_argument("--obs", default="data/parquet", help="observations table")
     parser.add_argument("--out", default="data/output", help="published tables")
     parser.add_argument("--model", default="data/models/forecaster")
     parser.add_argument("--format", choices=["csv", "parquet"], default="csv")
     parser.add_argument("--sentinel", type=float, help="value that marks missing data, such as -9999")
+    parser.add_argument("--partitions", type=int, default=fc.PARTITIONS, help="partitions of the training rows")
+    parser.add_argument("--max-bins", type=int, default=fc.MAX_BINS, help="bins of a feature, at least one per city")
     parser.add_argument("--first-year", type=int, default=2000)
     parser.add_argument("--last-year", type=int, default=2024)
     args = parser.parse_args(argv)

@@ -15,6 +15,9 @@ FEATURES = ["city_index", "year", "month", "season", "decade", "avg_urban_lst",
             "avg_night_lst", "prev_month_uhi", "prev_year_uhi", "rolling_3m_uhi"]
 TREES, DEPTH, SEED, LABEL = 100, 5, 42, "avg_uhi"
 
+#: Partitions of the training rows, and bins of a feature (the library's own default).
+PARTITIONS, MAX_BINS = 8, 32
+
 
 def city_indexer(keep_unknown: bool = False) -> StringIndexer:
     """City code by frequency, names ascending on ties. Unknown cities raise unless kept."""
@@ -27,19 +30,22 @@ def fixed_layout(df: DataFrame, partitions: int) -> DataFrame:
     return df.repartition(partitions, "city").sortWithinPartitions("city", "year", "month")
 
 
-def fit_forecaster(train: DataFrame, keep_unknown: bool = False, partitions: int = 8) -> PipelineModel:
+def fit_forecaster(train: DataFrame, keep_unknown: bool = False, partitions: int = PARTITIONS,
+                   max_bins: int = MAX_BINS) -> PipelineModel:
     """Index cities, assemble the features, fit the forest. Rows with a null feature are skipped.
 
     Training rows are one per city and month, so no partition of whole cities is hot; raise
-    ``partitions`` with the number of cities.
+    ``partitions`` with the number of cities. The city code is categorical and needs a bin per city, one more
+    if unknown ones are kept: ``max_bins`` must reach that. Both change which forest is fitted.
     """
     train = fixed_layout(train, partitions)
     indexer = city_indexer(keep_unknown).fit(train)
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="skip")
-    # The city code is categorical: the forest needs a bin per city.
-    bins = max(32, len(indexer.labels) + 1)
+    codes = len(indexer.labels) + keep_unknown
+    if codes > max_bins:
+        raise ValueError(f"max_bins={max_bins} is too small: the city code needs {codes} bins")
     forest = RandomForestRegressor(featuresCol="features", labelCol=LABEL, numTrees=TREES,
-                                   maxDepth=DEPTH, seed=SEED, maxBins=bins)
+                                   maxDepth=DEPTH, seed=SEED, maxBins=max_bins)
     return Pipeline(stages=[indexer, assembler, forest]).fit(train)
 
 

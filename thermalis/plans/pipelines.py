@@ -109,14 +109,18 @@ class Forecast:
 
 
 def forecast_pipeline(source: DataFrame, trend: DataFrame | None = None, leak_free: bool = False,
-                      keep_unknown: bool = False) -> Forecast:
-    """Features, model, test scores and the forecast. The trend may be one published earlier."""
+                      keep_unknown: bool = False, partitions: int = fc.PARTITIONS,
+                      max_bins: int = fc.MAX_BINS) -> Forecast:
+    """Features, model, test scores and the forecast. The trend may be one published earlier.
+
+    ``partitions`` and ``max_bins`` are those of ``fit_forecaster``.
+    """
     if trend is None:
         source = source if "n_rows" in source.columns else settled_cells(source)
         trend = tmp.trend_rate(agg.yearly_base(source))
     features = settle(feat.monthly_features(source, leak_free), "features")
     train, test = feat.time_split(features)
-    model = fc.fit_forecaster(train, keep_unknown)
+    model = fc.fit_forecaster(train, keep_unknown, partitions, max_bins)
     scored = model.transform(test)
     predicted = fc.forecast(model, fc.forecast_inputs(features, trend))
     return Forecast(model, {
@@ -165,22 +169,23 @@ def pixels_to_observations(px: DataFrame, regions: DataFrame, years: tuple[int,
 
 
 def publish(spark: SparkSession, raw_path, obs_path: str, out: str, fmt: str = "csv",
-            sentinel: float | None = None) -> PipelineModel:
+            sentinel: float | None = None, partitions: int = fc.PARTITIONS,
+            max_bins: int = fc.MAX_BINS) -> PipelineModel:
     """Everything from CSV exports to the published tables under ``out``; returns the fitted model."""
     write_obs(build_observations(spark, raw_path, sentinel), obs_path)
     obs = read_obs(spark, obs_path)
     source = settled_cells(obs)
     temporal = temporal_analysis(source)
-    future = forecast_pipeline(source, temporal["uhi_rate_of_change"])
+    future = forecast_pipeline(source, temporal["uhi_rate_of_change"], partitions=partitions, max_bins=max_bins)
     tables = {
         "uhi_all_clean": clean_export(obs),
         **core_analysis(source),
         **hotspot_tables(obs, source),
         **temporal,
-        **{name: future.results[name] for name in ("test_predictions", "uhi_forecast_2025_2030")},
+        **future.results,
     }
     for name, table in tables.items():
         write_result(table, f"{out}/{name}", fmt)
-    reports = alert_reports(read_result(spark, out, "hotspot_alerts", fmt))
-    write_result(reports["monthly_hotspot_freq"], f"{out}/monthly_hotspot_freq", fmt)
+    for name, table in alert_reports(read_result(spark, out, "hotspot_alerts", fmt)).items():
+        write_result(table, f"{out}/{name}", fmt)
     return future.model
