@@ -87,3 +87,19 @@ def test_pixel_job(spark, tmp_path):
     obs = build_observations(spark, str(tmp_path / "raw"), sentinel=-9999.0).collect()
     assert [(r.city, str(r.date), round(r.LST_Day_Urban, 2), round(r.UHI_Index, 2)) for r in obs] == [
         ("Pune", "2003-03-01", 26.85, 2.0)]
+
+
+def test_period_mean_and_per_image_jobs(spark, tmp_path):
+    px = spark.sql("""SELECT TIMESTAMP_NTZ '2003-03-01' AS t, lon, 18.5D AS lat, 0 AS QC_Day, dn AS LST_Day_1km, 14000 AS LST_Night_1km
+                      FROM VALUES (73.8D, 15000), (73.7D, 14900) v(lon, dn)""")
+    px.write.parquet(str(tmp_path / "px"))
+    (tmp_path / "regions.csv").write_text("city,x0,y0,x1,y1\nHere,73.75,18.4,73.9,18.6\n")
+    common = ["--raw", str(tmp_path / "px"), "--out", str(tmp_path / "out"), "--format", "parquet",
+              "--regions", str(tmp_path / "regions.csv"), "--first-year", "2003", "--last-year", "2003"]
+    for job in ("period_mean", "per_image"):
+        main([job, *common])
+    mean = spark.read.parquet(str(tmp_path / "out/pixel_period_mean")).collect()
+    assert sorted((r.lon, round(r.mean_day_c, 2)) for r in mean) == [(73.7, 24.85), (73.8, 26.85)]
+    images = spark.read.parquet(str(tmp_path / "out/zonal_per_image")).collect()
+    assert [(r.city, r.date, round(r.LST_Urban, 2), round(r.UHI_Index, 2)) for r in images] == [
+        ("Here", "2003-03-01", 26.85, 2.0)]
