@@ -52,7 +52,7 @@ FROM monthly_base"""
 
 def filled(name: str, zone: str, band: str) -> str:
     """Zonal mean in which every pixel without a value counts as -9999."""
-    return f"avg(CASE WHEN zone='{zone}' THEN coalesce({band}, -9999::DOUBLE) END) AS {name}"
+    return f"coalesce(avg(CASE WHEN zone='{zone}' THEN coalesce({band}, -9999::DOUBLE) END), -9999::DOUBLE) AS {name}"
 
 
 CTES = {
@@ -249,10 +249,10 @@ FROM per_zone WHERE zone='rural' GROUP BY ALL""",
  avg(CASE WHEN zone='urban' THEN LST_Day_C END) AS LST_Day_Urban,
  avg(CASE WHEN zone='rural' THEN LST_Day_C END) AS LST_Day_Rural,
  avg(CASE WHEN zone='urban' THEN LST_Night_C END) AS LST_Night_Urban FROM per_zone GROUP BY ALL) z""",
-    "zonal_series_filled": f"""SELECT city, year, month, {ROUND_SERIES}, {SERIES_INDEX} FROM (SELECT l.city, g.year, g.month,
+    "zonal_series_filled": f"""SELECT city, year, month, {ROUND_SERIES}, {SERIES_INDEX} FROM (SELECT n.city, g.year, g.month,
  {filled('LST_Day_Urban', 'urban', 'LST_Day_C')}, {filled('LST_Day_Rural', 'rural', 'LST_Day_C')},
  {filled('LST_Night_Urban', 'urban', 'LST_Night_C')}
- FROM located l CROSS JOIN calendar g LEFT JOIN composite c
+ FROM regions n CROSS JOIN calendar g LEFT JOIN located l ON l.city=n.city LEFT JOIN composite c
   ON c.lon=l.lon AND c.lat=l.lat AND c.year=g.year AND c.month=g.month GROUP BY ALL) z""",
     "zonal_per_image": f"""SELECT city, strftime(t, '%Y-%m-%d') AS date, {r('u', 6)} AS LST_Urban, {r('v', 6)} AS LST_Rural,
  {r('u-v', 6)} AS UHI_Index FROM (SELECT city, t, avg(CASE WHEN zone='urban' THEN LST_Day_C END) AS u,

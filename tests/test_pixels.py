@@ -89,10 +89,19 @@ def test_missing_pixels_enter_the_zonal_mean_as_fill(spark, regions):
     assert [(r.month, round(r.LST_Day_Urban, 2), round(r.UHI_Index, 2)) for r in plain] == [(1, 26.85, 20.0)]
 
 
+def test_regions_and_zones_without_pixels_are_filled(spark, regions):
+    px = pixels_of(spark, [("2003-01-01", 10.1, 20.1, 0, 15000, 14000)])
+    cities = regions.filter("city <> 'two'")
+    got = {(r.city, r.month): r for r in pixels_to_observations(px, cities, (2003, 2003)).collect()}
+    assert len(got) == 24 and got["one", 1].LST_Day_Urban == pytest.approx(26.85)
+    assert got["one", 1].LST_Day_Rural == got["south", 1].LST_Day_Urban == -9999.0
+    assert got["one", 1].UHI_Index == pytest.approx(26.85 + 9999) and got["south", 12].UHI_Index == 0.0
+
+
 def test_exported_series_can_be_ingested(spark, regions, tmp_path):
     px = pixels_of(spark, [("2003-03-01", 10.1, 20.1, 0, 15000, 14000), ("2003-03-01", 9.95, 20.1, 0, 14900, 14000)])
     write_by_city(pixels_to_observations(px, regions, (2003, 2003)), str(tmp_path / "raw"))
-    assert [p.name for p in (tmp_path / "raw").glob("city=*")] == ["city=one"]
+    assert sorted(p.name for p in (tmp_path / "raw").glob("city=*")) == ["city=one", "city=south", "city=two"]
     obs = build_observations(spark, str(tmp_path / "raw"), sentinel=-9999.0)
     assert rows_of(obs.withColumn("uhi", F.round("UHI_Index", 6)).withColumn("day", F.col("date").cast("string")),
                    "city", "day", "uhi") == [("one", "2003-03-01", 2.0)]

@@ -162,11 +162,13 @@ def zone_composite(px: DataFrame, regions: DataFrame, years: tuple[int, int],
     return _means(_with_months(rows), "city", "zone", "lon", "lat", "year", "month")
 
 
-def zonal_series(composite: DataFrame, years: tuple[int, int], fill: float | None = None) -> DataFrame:
+def zonal_series(composite: DataFrame, years: tuple[int, int], fill: float | None = None,
+                 cities: DataFrame | None = None) -> DataFrame:
     """Monthly urban and rural means and their difference per city, from ``zone_composite``.
 
     With ``fill`` every pixel that lacks a value in a month counts as that value, for every month of the
     years: (sum of values + fill * missing pixels) / pixels, without making the missing rows.
+    A zone without any pixel is ``fill``, and ``cities`` without pixels have their rows too.
     That form reads the composite twice; settle it first.
     """
     sums = composite.groupBy("city", "year", "month").agg(
@@ -178,12 +180,15 @@ def zonal_series(composite: DataFrame, years: tuple[int, int], fill: float | Non
     sizes = (composite.select("city", "zone", "lon", "lat").distinct()
              .groupBy("city").agg(F.count_if(F.col("zone") == "urban").alias("px_urban"),
                                   F.count_if(F.col("zone") == "rural").alias("px_rural")))
+    if cities is not None:
+        sizes = cities.select("city").distinct().join(sizes, "city", "left").fillna(0, ["px_urban", "px_rural"])
     grid = (sizes.withColumn("year", F.explode(F.sequence(F.lit(years[0]), F.lit(years[1]))))
             .withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12)))))
 
     def filled(name, zone):
         pixels, n = F.col(f"px_{zone}"), F.coalesce(f"n_{name}", F.lit(0))
-        return mean_of(F.coalesce(f"sum_{name}", F.lit(0.0)) + F.lit(fill) * (pixels - n), pixels).alias(name)
+        total = F.coalesce(f"sum_{name}", F.lit(0.0)) + F.lit(fill) * (pixels - n)
+        return F.coalesce(mean_of(total, pixels), F.lit(fill)).alias(name)
 
     means = [filled(name, zone) for name, (zone, _) in SIDES.items()]
     return _with_index(grid.join(sums, ["city", "year", "month"], "left")

@@ -161,11 +161,14 @@ def serving_views(results: Results, cities=None, years=None, coords: DataFrame |
 
 def pixels_to_observations(px: DataFrame, regions: DataFrame, years: tuple[int, int],
                            fill: float | None = MISSING_C) -> DataFrame:
-    """Raw pixels of whole years to monthly rows per city, as the raw exports hold them."""
+    """Raw pixels of whole years to monthly rows per city, as the raw exports hold them.
+
+    With ``fill`` every region has a row for every month, also one without pixels.
+    """
     covered = settle(pix.region_cells(regions), "region-cells")
     masked = pix.to_celsius(pix.qa_mask(pix.clipped(px, covered)))
     composite = settle(pix.zone_composite(masked, covered, years), "composite")
-    return pix.zonal_series(composite, years, fill)
+    return pix.zonal_series(composite, years, fill, regions)
 
 
 def publish(spark: SparkSession, raw_path, obs_path: str, out: str, fmt: str = "csv",
