@@ -23,7 +23,7 @@ HOME = 24
 #: One of so many trusted documents sets the fences and is not counted.
 HELD_OUT = 5
 #: The fence lies so many times the distance from the median to this quantile above the median.
-QUANTILE, REACH = 0.95, 6.0
+QUANTILE, REACH = 0.95, 3.0
 #: Characters of median text that are added to every document, so that few characters weigh little.
 PRIOR_CHARS = 60
 
