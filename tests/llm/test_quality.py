@@ -1,4 +1,6 @@
-"""The quality classifier on labelled rows."""
+"""The quality classifier on labelled rows and on languages with few or equal texts."""
+
+import random
 
 from thermalis.llm import quality, registry
 from thermalis.llm.common import documents
@@ -11,3 +13,36 @@ def test_shipped_reach_on_labelled_rows(spark):
     rows = found.join(registry.table(spark, LABELLED, "labels"), "doc_id").select("quality", "good").collect()
     kept, rejected = [r.good for r in rows if r.quality == 1], [not r.good for r in rows if r.quality == 0]
     assert sum(kept) >= 0.97 * len(kept) and sum(rejected) >= 0.82 * len(rejected)
+
+
+def text(rng, n=60):
+    return " ".join("".join(rng.choices(["ra", "mo", "ti", "lu", "ke", "so", "na", "vi"], k=rng.randint(1, 4))) for _ in range(n))
+
+
+def test_few_or_equal_held_out_texts(spark):
+    rng = random.Random(3)
+    rows = [(i, text(rng), "en") for i in range(300)]
+    rows += [(1000 + i, text(rng), "rare" if i % 2 else None) for i in range(80)]
+    copied = text(rng)
+    while not quality.is_held_out(quality.text_hash(copied.encode())):
+        copied = text(rng)
+    rows += [(2000 + i, copied, "copies") for i in range(200)] + [(3000 + i, text(rng), "copies") for i in range(60)]
+    rows += [(4000, "", "en"), (4001, None, None), (None, text(rng), "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    held = {lang: next(i for i, t, own in rows if own == lang and i >= 1000 and quality.is_held_out(quality.text_hash(t.encode())))
+            for lang in ("rare", None)}
+    counted = [i for i, t, lang in rows if i and 1000 <= i < 1080 and not quality.is_held_out(quality.text_hash(t.encode()))][:12]
+    trusted = [*range(300), *held.values(), *counted, *range(2000, 2200), *range(3000, 3060)]
+    known = spark.createDataFrame([(i,) for i in trusted], "doc_id long")
+    scores = quality.perplexities(docs, known).collect()
+    of = {r.doc_id: r for r in scores}
+    assert len({r.held_out for r in scores if r.doc_id and 2000 <= r.doc_id < 2200}) == 1 and of[2000].held_out
+    assert of[held["rare"]].held_out and not of[4000].held_out and of[4000].bits is None and of[4001].lang == ""
+    found = quality.classify(docs, known).collect()
+    assert len(found) == len(rows)
+    for lang in ("rare", "", "copies", "en"):
+        good = [r.good for r in found if r.lang == lang]
+        assert sum(good) >= 0.95 * len(good), (lang, sum(good), len(good))
+    nothing = quality.classify(docs, known.limit(0)).collect()
+    assert len(nothing) == len(rows) and all(r.good for r in nothing)
+    assert quality.classify(docs.limit(0), known).count() == 0

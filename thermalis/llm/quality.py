@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from thermalis.llm.common import bounded_batches, settle, text_bytes
 from thermalis.llm.travel import home_of, number_of_homes, rows_at_home, sent_home
@@ -20,10 +21,12 @@ BITS = 21
 START, END = 2, 3
 #: Bits of a home's number.
 HOME = 24
-#: One of so many trusted documents sets the fences and is not counted.
+#: One of so many distinct texts of trusted documents sets the fences and is not counted.
 HELD_OUT = 5
 #: The fence lies so many times the distance from the median to this quantile above the median.
 QUANTILE, REACH = 0.95, 3.0
+#: All languages' distance counts as so many texts of every language, and no distance is below this many bits.
+SHARED, LEAST_DISTANCE = 20, 0.02
 #: Characters of median text that are added to every document, so that few characters weigh little.
 PRIOR_CHARS = 60
 
@@ -36,15 +39,25 @@ def trigrams(text: str) -> np.ndarray:
     return codes[:-2] << 2 * BITS | codes[1:-1] << BITS | codes[2:]
 
 
+def text_hash(text: bytes) -> int:
+    """Signed 64-bit hash of a text; texts of one hash count as copies."""
+    return xxh3_64_intdigest(text) - (1 << 63)
+
+
+def is_held_out(text_hash: int) -> bool:
+    return text_hash % HELD_OUT == 0
+
+
 def home_counts(packs: DataFrame, trusted: DataFrame) -> DataFrame:
     """lang, gram, counted: every trigram of a home; counted is its count in counted documents, which may be 0, times
     2**HOME plus the home."""
     def run(texts, trusted):
-        counted = set(trusted.column("id").to_pylist())
+        known = set(trusted.column("id").to_pylist())
         by_lang: dict[str, list] = {}
         for key, lang, text in rows_at_home(texts):
             if text:
-                by_lang.setdefault(lang, []).append((key in counted, trigrams(text.decode("utf-8", "replace"))))
+                counts = key in known and not is_held_out(text_hash(text))
+                by_lang.setdefault(lang, []).append((counts, trigrams(text.decode("utf-8", "replace"))))
         home = texts.column("home")[0].as_py() if len(texts) else None
         parts = []
         for lang, docs in by_lang.items():
@@ -107,7 +120,7 @@ def interpolated(grams: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def scored(packs: DataFrame, answers: DataFrame) -> DataFrame:
-    """id, lang, n_chars, bits (per character; null for empty texts): a row per document."""
+    """id, lang, n_chars, text_hash, bits (per character; null for empty texts): a row per document."""
     def run(texts, answers):
         tables: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         langs = np.array(answers.column("lang").to_pylist(), object)
@@ -116,28 +129,28 @@ def scored(packs: DataFrame, answers: DataFrame) -> DataFrame:
             own = langs == lang
             order = np.argsort(grams[own])
             tables[lang] = grams[own][order], bits[own][order]
-        out = {"id": [], "lang": [], "n_chars": [], "bits": []}
+        out = {"id": [], "lang": [], "n_chars": [], "text_hash": [], "bits": []}
         for key, lang, text in rows_at_home(texts):
             mean, n = None, 0
             if text:
                 wanted = trigrams(text.decode("utf-8", "replace"))
                 known, values = tables[lang]
                 mean, n = float(values[np.searchsorted(known, wanted)].mean()), len(wanted) - 1
-            for name, value in zip(out, (key, lang, n, mean)):
+            for name, value in zip(out, (key, lang, n, text_hash(text), mean)):
                 out[name].append(value)
-        kinds = (pa.int64(), pa.string(), pa.int64(), pa.float64())
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64())
         return pa.table({name: pa.array(values, kind) for (name, values), kind in zip(out.items(), kinds)})
 
     return (packs.groupBy("home").cogroup(answers.groupBy("home"))
-            .applyInArrow(run, "id long, lang string, n_chars long, bits double"))
+            .applyInArrow(run, "id long, lang string, n_chars long, text_hash long, bits double"))
 
 
 def perplexities(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                  lang_column: str = "lang") -> DataFrame:
-    """id, lang, n_chars, bits, perplexity, trusted, held_out: a row per input row.
+    """id, lang, n_chars, text_hash, bits, perplexity, trusted, held_out: a row per input row.
 
     trusted holds the ids of trusted documents, in a column named like id_column. bits is the mean of -log2 of the
-    characters' probabilities, null for null or empty texts. A null language is a language of its own, "". Languages
+    characters' probabilities, null for null or empty texts. Of equal texts all are held out or none. A null language is a language of its own, "". Languages
     without counted text give every character the same probability.
     """
     bounded_batches(docs.sparkSession)
@@ -146,28 +159,37 @@ def perplexities(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id",
     n = number_of_homes(docs, content)
     packs = sent_home(docs.select(home_of(key, content, n).alias("home"), key.alias("id"), lang.alias("lang"), content.alias("content")))
     known = trusted.select(key.alias("id")).where("id IS NOT NULL").distinct()
-    known = known.withColumn("held_out", F.pmod(F.xxhash64("id"), F.lit(HELD_OUT)) == 0)
-    counted = known.where("NOT held_out").select(home_of(F.col("id"), None, n).alias("home"), "id")
+    at_homes = known.select(home_of(F.col("id"), None, n).alias("home"), "id")
     # Both are read many times below, so they are tables: Spark would count anew for every reader.
-    at_shards = settle(home_counts(packs, counted), "quality-counts")
+    at_shards = settle(home_counts(packs, at_homes), "quality-counts")
     kinds = settle(at_shards.groupBy("lang", "gram").agg(F.sum(F.shiftright("counted", HOME)).alias("c")), "quality-kinds")
     model = settle(interpolated(kinds), "quality-model")
     home = F.col("counted").bitwiseAND(F.lit((1 << HOME) - 1)).cast("int").alias("home")
     answers = (at_shards.join(model, ["lang", "gram"])
                .select(home, "lang", "gram", (-F.log2("p")).alias("bits")))
     found = scored(packs, answers)
-    marks = known.select(F.col("id").alias("k_id"), "held_out")
+    marks, is_trusted = known.select(F.col("id").alias("k_id")), F.col("k_id").isNotNull()
+    held_out = is_trusted & (F.pmod("text_hash", F.lit(HELD_OUT)) == 0)
     return (found.join(marks, F.col("id") == F.col("k_id"), "left")
-            .select(F.col("id").alias(id_column), "lang", "n_chars", "bits", F.pow(F.lit(2.0), F.col("bits")).alias("perplexity"),
-                    F.col("k_id").isNotNull().alias("trusted"), F.coalesce("held_out", F.lit(False)).alias("held_out")))
+            .select(F.col("id").alias(id_column), "lang", "n_chars", "text_hash", "bits",
+                    F.pow(F.lit(2.0), F.col("bits")).alias("perplexity"), is_trusted.alias("trusted"), held_out.alias("held_out")))
 
 
 def fences(scores: DataFrame, quantile: float = QUANTILE, reach: float = REACH) -> DataFrame:
-    """lang, median, fence: the limits of bits, from trusted documents that were held out."""
-    held = scores.where("held_out AND bits IS NOT NULL").groupBy(F.col("lang").alias("f_lang"))
-    found = held.agg(F.percentile_approx("bits", [0.5, quantile], 10000).alias("q"))
-    median, high = F.col("q")[0], F.col("q")[1]
-    return found.select("f_lang", median.alias("median"), (median + reach * (high - median)).alias("fence"))
+    """f_lang, median, fence: the limits of bits, from trusted documents that were held out; of copies one counts.
+
+    The distance of a language is mixed with that of all languages' texts from their medians, which weighs as much as
+    SHARED texts: it is the whole distance where one text was held out, and little where many were.
+    """
+    texts = (scores.where("held_out AND bits IS NOT NULL").groupBy(F.col("lang").alias("f_lang"), "text_hash")
+             .agg(F.min("bits").alias("bits")))
+    own = texts.groupBy("f_lang").agg(F.percentile_approx("bits", [0.5, quantile], 10000).alias("q"), F.count("bits").alias("n"))
+    own = settle(own.select("f_lang", "n", F.col("q")[0].alias("median"), (F.col("q")[1] - F.col("q")[0]).alias("distance")),
+                 "quality-distances")
+    every = (texts.join(own.select(F.col("f_lang").alias("m_lang"), "median"), F.col("f_lang") == F.col("m_lang"))
+             .agg(F.percentile_approx(F.col("bits") - F.col("median"), quantile, 10000)).first()[0])
+    mixed = (F.col("n") * F.col("distance") + F.lit(SHARED * (every or 0.0))) / (F.col("n") + SHARED)
+    return own.select("f_lang", "median", (F.col("median") + reach * F.greatest(mixed, F.lit(LEAST_DISTANCE))).alias("fence"))
 
 
 def classify(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id", text_column: str = "text",
