@@ -33,3 +33,20 @@ def test_a_full_bit_map_finds_the_same(spark):
     assert ({tuple(r) for r in decontam.contaminations(docs, items, bits=6).collect()}
             == {tuple(r) for r in decontam.contaminations(docs, items).collect()}
             == {(i, 1, 1.0, True) for i in range(9) if i % 3})
+
+
+TOM = "Tom has 5 apples. Tom buys 3 more apples. How many apples does Tom have now?"
+
+
+def pairs_found(spark, items, texts):
+    """(document, item) pairs reported among numbered texts."""
+    items = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {(r.doc, r.item) for r in decontam.contaminations(docs, items).collect()}
+
+
+def test_words_that_begin_sentences(spark):
+    texts = [TOM.replace("Tom", "Sara"), "as follows: " + FILLER + TOM, "Question 17\nDefine photosynthesis briefly.",
+             "(a) Define photosynthesis briefly.", "so define photosynthesis briefly", "Explain photosynthesis briefly.",
+             "and " + TOM[0].lower() + TOM[1:], FILLER]
+    assert pairs_found(spark, [TOM, SHORT], texts) == {(0, 0), (1, 0), (2, 1), (3, 1), (4, 1), (6, 0)}

@@ -1,14 +1,17 @@
 """Benchmark decontamination by templates.
 
-Numbers, units and names become typed placeholders. Windows of template tokens are hashed and joined with those of
-the benchmark; a match counts if along one alignment the placeholders' values of the item map one-to-one to those of
-the document. So an item is found verbatim and with other numbers or names in it.
+Numbers, units and names become typed placeholders, whatever stands beside them. Windows of template tokens are hashed
+and joined with those of the benchmark. Along one alignment each value of the item's placeholders should map to one value
+of the document; of the windows that hold a value with several, only those that are the item's own count. So an item is found
+verbatim and with other numbers or names in it. A capitalised word that begins a sentence of an item is a name or a plain
+word: an item's windows are there in both readings.
 
 The benchmark's window hashes thin out the documents' windows through a bit map of fixed size before the join; false
 hits of the bit map fall out in the join, which compares the templates themselves.
 """
 
 import re
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +44,7 @@ UNITS = frozenset("mm cm m km inch inches foot feet yard yards mile miles mg g k
 EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "$+-%") + "“”‘’«»…–—¿¡"
 
 
-def canonical(word: str, at_start: bool) -> str:
+def canonical(word: str) -> str:
     """Template token of a word: <num>, <measure>, <unit>, <name>, or the word in lower case; empty if only marks."""
     core = word.strip(EDGES)
     small = core.lower()
@@ -52,7 +55,7 @@ def canonical(word: str, at_start: bool) -> str:
         return "<measure>"
     if small in UNITS:
         return "<unit>"
-    if not at_start and len(core) > 1 and core[0].isupper() and core[1:].islower():
+    if len(core) > 1 and core[0].isupper() and core[1:].islower():
         return "<name>"
     return small
 
@@ -70,7 +73,7 @@ class Templates:
 
     def clear(self):
         self.place: dict[str, int] = {}
-        self.table = [np.zeros(1024, kind) for kind in (np.uint64, np.uint64, bool, bool, bool, bool)]
+        self.table = [np.zeros(1024, kind) for kind in (np.uint64, bool)]
 
     def look(self, words: list[str]) -> np.ndarray:
         """Places of words in the table of facts."""
@@ -80,78 +83,99 @@ class Templates:
             at = self.place[word] = len(self.place)
             if at == len(self.table[0]):
                 self.table = [np.concatenate((column, np.zeros_like(column))) for column in self.table]
-            first, later = canonical(word, True), canonical(word, False)
-            facts = (xxh3_64_intdigest(first), xxh3_64_intdigest(later), first[:1] != "<", later[:1] != "<",
-                     ends_sentence(word), bool(first))
-            for column, fact in zip(self.table, facts):
+            token = canonical(word)
+            for column, fact in zip(self.table, (xxh3_64_intdigest(token), bool(token))):
                 column[at] = fact
         return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
 
     def tokens(self, text: str):
-        """Words that are tokens, whether each begins a sentence, token hashes, and whether each is literal."""
+        """Words that are tokens, and their token hashes."""
         words = text.split()
         if not words:
-            return [], np.empty(0, bool), np.empty(0, np.uint64), np.empty(0, bool)
+            return [], np.empty(0, np.uint64)
         at = self.look(words)
-        first, later, first_literal, later_literal, ends, token = self.table
+        hashes, token = self.table
         keep = token[at]
-        start = np.concatenate(([True], ends[at[:-1]]))[keep]
-        at = at[keep]
-        words = [w for w, k in zip(words, keep.tolist()) if k]
-        return words, start, np.where(start, first[at], later[at]), np.where(start, first_literal[at], later_literal[at])
+        return [w for w, k in zip(words, keep.tolist()) if k], hashes[at[keep]]
 
 
-def window_hashes(hashes: np.ndarray, literal: np.ndarray, length: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the windows with enough literals, and their hashes."""
+def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of all windows of a length."""
     n = len(hashes) - length + 1
     if n < 1:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+        return np.empty(0, np.uint64)
     found = hashes[:n].copy()
     for i in range(1, length):
         found = found * STEP + hashes[i:i + n]
-    total = np.concatenate(([0], np.cumsum(literal)))
-    places = np.flatnonzero(total[length:] - total[:n] >= min(length, literals))
-    return places, mix(found[places])
+    return mix(found)
 
 
-def window_rows(templates: Templates, key, text: str, lengths, literals: int, wanted=None):
-    """(key, place, hash, template, slots) of a text's windows; wanted: a filter of hashes."""
-    words, start, hashes, literal = templates.tokens(text)
+def slots_of(words: list[str], tokens) -> list[str]:
+    return [w.strip(EDGES).lower() for w, t in zip(words, tokens) if t[:1] == "<"]
+
+
+def window_rows(templates: Templates, key, text: str, lengths, wanted):
+    """(key, place, hash, template, slots) of those windows of a text whose hashes pass the filter."""
+    words, hashes = templates.tokens(text)
     for length in lengths:
-        places, found = window_hashes(hashes, literal, length, literals)
-        if wanted is not None and len(found):
-            hit = wanted(found)
-            places, found = places[hit], found[hit]
-        for place, value in zip(places.tolist(), found.view(np.int64).tolist()):
-            tokens = [canonical(w, s) for w, s in zip(words[place:place + length], start[place:place + length].tolist())]
-            slots = [w.strip(EDGES).lower() for w, t in zip(words[place:place + length], tokens) if t[:1] == "<"]
-            yield key, place, value, " ".join(tokens), slots
+        found = window_hashes(hashes, length)
+        places = np.flatnonzero(wanted(found))
+        for place, value in zip(places.tolist(), found[places].view(np.int64).tolist()):
+            own = words[place:place + length]
+            tokens = [canonical(w) for w in own]
+            yield key, place, value, " ".join(tokens), slots_of(own, tokens)
+
+
+def item_rows(key, text: str, window: int, literals: int):
+    """(key, place, hash, template, slots, length, lacking, starts) of an item's windows in all their readings.
+
+    A window has enough literals if it has them with the words that begin its sentences as plain words. Where these are
+    read as names, `lacking` of them must have the item's own value; starts are their places among the slots.
+    """
+    words, start, begins = [], [], True
+    for word in text.split():
+        if canonical(word):
+            words.append(word)
+            start.append(begins)
+        begins = ends_sentence(word)
+    length = min(len(words), window)
+    needed = min(length, literals)
+    for place in range(len(words) - length + 1 if length else 0):
+        own, first = words[place:place + length], start[place:place + length]
+        kinds = [canonical(w) for w in own]
+        readings = [(t, w.strip(EDGES).lower()) if s and t == "<name>" else (t,) for w, t, s in zip(own, kinds, first)]
+        for tokens in product(*readings):
+            slots = [i for i, t in enumerate(tokens) if t[:1] == "<"]
+            starts = [k for k, i in enumerate(slots) if first[i] and tokens[i] == "<name>"]
+            lacking = needed - (length - len(slots))
+            if lacking <= len(starts):
+                value = window_hashes(np.array([xxh3_64_intdigest(t) for t in tokens], np.uint64), length).view(np.int64)[0]
+                yield (key, place, int(value), " ".join(tokens), slots_of(own, tokens), length, max(0, lacking), starts)
 
 
 SCHEMA = "key long, place int, hash long, template string, slots array<string>"
+ITEM_SCHEMA = SCHEMA + ", length int, lacking int, starts array<int>"
 
 
-def batch_of(rows) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.string()))
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
-                                      names=["key", "place", "hash", "template", "slots"])
+def batch_of(rows, schema: str = SCHEMA) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<string>": pa.list_(pa.string()),
+             "array<int>": pa.list_(pa.int32())}
+    names, types = zip(*(column.split() for column in schema.split(", ")))
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[k]) for i, k in enumerate(types)], names=list(names))
 
 
 def item_windows(benchmark: DataFrame, id_column: str, text_column: str, window: int, literals: int) -> DataFrame:
     """Windows of the items; an item of fewer tokens is one window. Items without an id or tokens have none."""
     def run(batches):
-        templates = Templates()
         for batch in batches:
             rows = []
             for key, text in zip(*(c.to_pylist() for c in batch.columns)):
-                n = len(templates.tokens(text or "")[0])
-                if key is not None and n:
-                    rows.extend((*row, min(n, window)) for row in window_rows(templates, key, text, [min(n, window)], literals))
-            found = batch_of(rows)
-            yield found.append_column("length", pa.array([r[5] for r in rows], pa.int32()))
+                if key is not None and text:
+                    rows.extend(item_rows(key, text, window, literals))
+            yield batch_of(rows, ITEM_SCHEMA)
 
     return (benchmark.select(F.col(id_column).cast("long").alias("key"), F.col(text_column).cast("string").alias("text"))
-            .mapInArrow(run, SCHEMA + ", length int"))
+            .mapInArrow(run, ITEM_SCHEMA))
 
 
 def bit_map(windows: DataFrame, bits: int) -> bytes:
@@ -165,7 +189,7 @@ def bit_map(windows: DataFrame, bits: int) -> bytes:
     return table.tobytes()
 
 
-def matches(docs: DataFrame, windows: DataFrame, id_column: str, text_column: str, literals: int, bits: int) -> DataFrame:
+def matches(docs: DataFrame, windows: DataFrame, id_column: str, text_column: str, bits: int) -> DataFrame:
     """Windows of documents joined with those of the items: doc, item, diagonal, place, slot pairs."""
     spark = docs.sparkSession
     lengths = sorted(row.length for row in windows.select("length").distinct().collect())  # at most `window` numbers
@@ -183,15 +207,16 @@ def matches(docs: DataFrame, windows: DataFrame, id_column: str, text_column: st
             rows = []
             for key, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if key is not None and text:
-                    rows.extend(window_rows(templates, key, text, lengths, literals, wanted))
+                    rows.extend(window_rows(templates, key, text, lengths, wanted))
             yield batch_of(rows)
 
     bounded_batches(spark)
     found = (docs.select(F.col(id_column).cast("long").alias("key"), F.col(text_column).cast("string").alias("text"))
              .mapInArrow(run, SCHEMA))
     items = windows.select(F.col("key").alias("item"), F.col("place").alias("item_place"), "hash",
-                           F.col("template").alias("item_template"), F.col("slots").alias("item_slots"))
-    return (found.join(items, "hash").where("template = item_template")
+                           F.col("template").alias("item_template"), F.col("slots").alias("item_slots"), "lacking", "starts")
+    own = F.size(F.filter("starts", lambda i: F.get("item_slots", i) == F.get("slots", i)))
+    return (found.join(items, "hash").where("template = item_template").where(own >= F.col("lacking"))
             .select(F.col("key").alias("doc"), "item", (F.col("place") - F.col("item_place")).alias("diagonal"), "item_place",
                     F.arrays_zip("item_slots", "slots").alias("pairs")))
 
@@ -206,7 +231,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_
     """
     windows = settle(item_windows(benchmark, item_id, item_text, window, literals), "benchmark-windows")
     sizes = windows.groupBy(F.col("key").alias("size_item")).agg(F.countDistinct("place").alias("n_windows"))
-    found = matches(docs, windows, id_column, text_column, literals, bits)
+    found = matches(docs, windows, id_column, text_column, bits)
     pairs = F.array_distinct(F.flatten(F.collect_set("pairs")))
     aligned = (found.groupBy("doc", "item", "diagonal")
                .agg(F.collect_set("item_place").alias("places"), pairs.alias("pairs"))
