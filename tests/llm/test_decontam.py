@@ -50,3 +50,17 @@ def test_words_that_begin_sentences(spark):
              "(a) Define photosynthesis briefly.", "so define photosynthesis briefly", "Explain photosynthesis briefly.",
              "and " + TOM[0].lower() + TOM[1:], FILLER]
     assert pairs_found(spark, [TOM, SHORT], texts) == {(0, 0), (1, 0), (2, 1), (3, 1), (4, 1), (6, 0)}
+
+
+def long_item(n=59):
+    """A text of n words, no two windows of which are equal, with the number 5 twice and 3 once."""
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(n)]
+    words[9], words[45], words[30] = "5", "5", "3"
+    return " ".join(words)
+
+
+def test_one_conflict_costs_its_windows_only(spark):
+    item = long_item()
+    first, second = item.replace("5", "8", 1), "8".join(item.rsplit("5", 1))
+    merged = item.replace("5", "4").replace("3", "4")
+    assert pairs_found(spark, [item], [first, second, merged, FILLER + BROKEN, FILLER]) == {(0, 0), (1, 0), (2, 0)}

@@ -15,7 +15,7 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -26,6 +26,8 @@ WINDOW = 8
 LITERALS = 4
 #: Least share of an item's windows that a document holds along consistent alignments.
 SHARE = 0.5
+#: The same where an item's value has several values along an alignment.
+CONFLICT_SHARE = 0.75
 #: log2 of the bit map's size.
 MAP_BITS = 22
 #: Distinct words that a worker keeps.
@@ -221,10 +223,18 @@ def matches(docs: DataFrame, windows: DataFrame, id_column: str, text_column: st
                     F.arrays_zip("item_slots", "slots").alias("pairs")))
 
 
+def own_values(pairs) -> Column:
+    """Whether all placeholders have the item's own values."""
+    return F.forall(pairs, lambda p: p["item_slots"] == p["slots"])
+
+
 def contaminations(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                    item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, literals: int = LITERALS,
-                   share: float = SHARE, bits: int = MAP_BITS) -> DataFrame:
-    """doc, item, covered (share of the item's windows), verbatim: the pairs with covered >= share.
+                   share: float = SHARE, conflict_share: float = CONFLICT_SHARE, bits: int = MAP_BITS) -> DataFrame:
+    """doc, item, covered (share of the item's windows), verbatim: the pairs that hold enough windows.
+
+    Enough are `share` along alignments where each value of the item has one value, or `conflict_share` along all, without
+    the windows that hold a value with several values and are not the item's own.
 
     verbatim: all placeholders have the item's own values. Null or empty texts, and rows without an id, match nothing.
     Items with fewer literal tokens in every window than `literals` cannot be found.
@@ -232,16 +242,25 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_
     windows = settle(item_windows(benchmark, item_id, item_text, window, literals), "benchmark-windows")
     sizes = windows.groupBy(F.col("key").alias("size_item")).agg(F.countDistinct("place").alias("n_windows"))
     found = matches(docs, windows, id_column, text_column, bits)
-    pairs = F.array_distinct(F.flatten(F.collect_set("pairs")))
     aligned = (found.groupBy("doc", "item", "diagonal")
-               .agg(F.collect_set("item_place").alias("places"), pairs.alias("pairs"))
-               .withColumns({"from": F.array_distinct(F.col("pairs.item_slots")), "to": F.array_distinct(F.col("pairs.slots"))})
-               .where((F.size("from") == F.size("pairs")) & (F.size("to") == F.size("pairs"))))
-    same = F.forall("pairs", lambda p: p["item_slots"] == p["slots"])
-    whole = (aligned.select("doc", "item", "places", same.alias("same")).groupBy("doc", "item")
-             .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n"), F.every("same").alias("verbatim")))
+               .agg(F.collect_set(F.struct("item_place", "pairs")).alias("windows"))
+               .withColumn("pairs", F.array_distinct(F.flatten("windows.pairs")))
+               .withColumn("values", F.array_distinct("pairs.item_slots"))
+               .withColumn("conflict", F.size("values") < F.size("pairs")))
+    several = F.filter("values", lambda v: F.size(F.filter("pairs", lambda p: p["item_slots"] == v)) > 1)
+    kept = F.filter("windows", lambda w: own_values(w["pairs"]) | ~F.arrays_overlap(w["pairs"]["item_slots"], F.col("several")))
+    places = F.array_sort(F.array_distinct(F.col("kept.item_place")))
+    aligned = (aligned.withColumn("several", F.when(F.col("conflict"), several).otherwise(F.array().cast("array<string>")))
+               .withColumn("kept", kept).select("doc", "item", "conflict", places.alias("places"), own_values("pairs").alias("same")))
+
+    def covering(which):
+        return F.size(F.array_distinct(F.flatten(F.collect_list(F.when(which, F.col("places"))))))
+
+    whole = (aligned.where(F.size("places") > 0).groupBy("doc", "item")
+             .agg(covering(~F.col("conflict")).alias("free"), covering(F.lit(True)).alias("n"), F.every("same").alias("verbatim")))
     return (whole.join(sizes, F.col("item") == F.col("size_item"))
-            .select("doc", "item", (F.col("n") / F.col("n_windows")).alias("covered"), "verbatim").where(F.col("covered") >= share))
+            .where((F.col("free") >= share * F.col("n_windows")) | (F.col("n") >= conflict_share * F.col("n_windows")))
+            .select("doc", "item", (F.col("n") / F.col("n_windows")).alias("covered"), "verbatim"))
 
 
 def verdicts(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", **how) -> DataFrame:
