@@ -64,3 +64,9 @@ def test_one_conflict_costs_its_windows_only(spark):
     first, second = item.replace("5", "8", 1), "8".join(item.rsplit("5", 1))
     merged = item.replace("5", "4").replace("3", "4")
     assert pairs_found(spark, [item], [first, second, merged, FILLER + BROKEN, FILLER]) == {(0, 0), (1, 0), (2, 0)}
+
+
+def test_passages_of_long_items(spark):
+    items = [long_item(), " ".join(f"x{w}" for w in long_item(310).split())]
+    parts = [items[0].split()[10:42], items[1].split()[100:250], items[0].split()[:13], items[0].split()[:12], items[1].split()[80:93]]
+    assert pairs_found(spark, items, [FILLER + " ".join(p) for p in parts]) == {(0, 0), (1, 1), (2, 0), (4, 1)}

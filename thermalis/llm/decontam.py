@@ -28,6 +28,8 @@ LITERALS = 4
 SHARE = 0.5
 #: The same where an item's value has several values along an alignment.
 CONFLICT_SHARE = 0.75
+#: So many windows in a row are enough whatever the item's length, 13 tokens; twice as many where a value has several.
+RUN = 6
 #: log2 of the bit map's size.
 MAP_BITS = 22
 #: Distinct words that a worker keeps.
@@ -228,13 +230,21 @@ def own_values(pairs) -> Column:
     return F.forall(pairs, lambda p: p["item_slots"] == p["slots"])
 
 
+def has_run(places: str, n: int) -> Column:
+    """Whether sorted distinct places have n in a row."""
+    ends = F.transform(places, lambda place, i: F.get(places, i + F.lit(n - 1)) == place + F.lit(n - 1))
+    return F.exists(ends, lambda e: F.coalesce(e, F.lit(False)))
+
+
 def contaminations(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                    item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, literals: int = LITERALS,
-                   share: float = SHARE, conflict_share: float = CONFLICT_SHARE, bits: int = MAP_BITS) -> DataFrame:
+                   share: float = SHARE, conflict_share: float = CONFLICT_SHARE, run: int = RUN,
+                   bits: int = MAP_BITS) -> DataFrame:
     """doc, item, covered (share of the item's windows), verbatim: the pairs that hold enough windows.
 
     Enough are `share` along alignments where each value of the item has one value, or `conflict_share` along all, without
-    the windows that hold a value with several values and are not the item's own.
+    the windows that hold a value with several values and are not the item's own; or, on one alignment, `run` windows in a
+    row, twice as many if it has such values.
 
     verbatim: all placeholders have the item's own values. Null or empty texts, and rows without an id, match nothing.
     Items with fewer literal tokens in every window than `literals` cannot be found.
@@ -250,16 +260,19 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_
     several = F.filter("values", lambda v: F.size(F.filter("pairs", lambda p: p["item_slots"] == v)) > 1)
     kept = F.filter("windows", lambda w: own_values(w["pairs"]) | ~F.arrays_overlap(w["pairs"]["item_slots"], F.col("several")))
     places = F.array_sort(F.array_distinct(F.col("kept.item_place")))
+    in_a_row = F.when(F.col("conflict"), has_run("places", 2 * run)).otherwise(has_run("places", run))
     aligned = (aligned.withColumn("several", F.when(F.col("conflict"), several).otherwise(F.array().cast("array<string>")))
-               .withColumn("kept", kept).select("doc", "item", "conflict", places.alias("places"), own_values("pairs").alias("same")))
+               .withColumn("kept", kept).select("doc", "item", "conflict", places.alias("places"), own_values("pairs").alias("same"))
+               .withColumn("in_a_row", in_a_row))
 
     def covering(which):
         return F.size(F.array_distinct(F.flatten(F.collect_list(F.when(which, F.col("places"))))))
 
     whole = (aligned.where(F.size("places") > 0).groupBy("doc", "item")
-             .agg(covering(~F.col("conflict")).alias("free"), covering(F.lit(True)).alias("n"), F.every("same").alias("verbatim")))
-    return (whole.join(sizes, F.col("item") == F.col("size_item"))
-            .where((F.col("free") >= share * F.col("n_windows")) | (F.col("n") >= conflict_share * F.col("n_windows")))
+             .agg(covering(~F.col("conflict")).alias("free"), covering(F.lit(True)).alias("n"),
+                  F.some("in_a_row").alias("in_a_row"), F.every("same").alias("verbatim")))
+    enough = (F.col("free") >= share * F.col("n_windows")) | (F.col("n") >= conflict_share * F.col("n_windows"))
+    return (whole.join(sizes, F.col("item") == F.col("size_item")).where(enough | F.col("in_a_row"))
             .select("doc", "item", (F.col("n") / F.col("n_windows")).alias("covered"), "verbatim"))
 
 
