@@ -1,15 +1,20 @@
 """Helpers that several operators share."""
 
+import hashlib
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from thermalis.sources.durable import scratch_path, settle
 
-__all__ = ["BATCH_BYTES", "bounded_batches", "documents", "mix", "pages", "scratch_path", "settle", "text_bytes",
-           "word_hashes"]
+__all__ = ["BATCH_BYTES", "bounded_batches", "documents", "mix", "pages", "scratch_path", "settle", "streamed_sha256",
+           "text_bytes", "word_hashes"]
 
+#: Bytes of a pack of contents that are hashed together.
+PACK = 1 << 20
 #: Arrow batches between Spark and Python hold at most so many bytes, or one row if it is larger.
 BATCH_BYTES = 8 << 20
 
@@ -49,3 +54,68 @@ def mix(values: np.ndarray) -> np.ndarray:
     z = z ^ (z >> np.uint64(27))
     z = z * np.uint64(0x94D049BB133111EB)
     return z ^ (z >> np.uint64(31))
+
+
+def rows_of(batches):
+    """The rows of record batches as tuples."""
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns))
+
+
+def batches_of(rows, schema: pa.Schema, size: int = PACK, most: int = 4096):
+    """Record batches of tuples, closed at most rows or, going by the last column, at size bytes."""
+    held, weight = [], 0
+    for row in rows:
+        held.append(row)
+        weight += len(row[-1])
+        if weight >= size or len(held) >= most:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+            held, weight = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+
+def streamed_sha256(rows: DataFrame, keys: list[str], place: str, separator: bytes = b"") -> DataFrame:
+    """keys and sha256 (lowercase hex) of the contents of each key in the order of place, joined by the separator.
+
+    rows has keys (long), place (long) and content (binary), none null. A hot key's rows are sorted and packed by many
+    tasks; the hash, which goes from front to back by its nature, then streams over the packs in one, holding one pack.
+    """
+    n, names = len(keys), [*keys, "place", "content"]
+    key_fields, kinds = [pa.field(c, pa.int64()) for c in keys], ", ".join(f"{c} long" for c in keys)
+
+    def packs(sorted_rows):
+        now, first, held, size = None, None, [], 0
+        for *key, at, content in sorted_rows:
+            if held and (key != now or size >= PACK):
+                yield (*now, first, separator.join(held))
+                held, size = [], 0
+            if not held:
+                now, first = key, at
+            held.append(content)
+            size += len(content)
+        if held:
+            yield (*now, first, separator.join(held))
+
+    def digests(sorted_rows):
+        now, state = None, None
+        for *key, _, content in sorted_rows:
+            if key == now:
+                state.update(separator)
+            else:
+                if state:
+                    yield (*now, state.hexdigest())
+                now, state = key, hashlib.sha256()
+            state.update(content)
+        if state:
+            yield (*now, state.hexdigest())
+
+    pack_schema = pa.schema([*key_fields, pa.field("place", pa.int64()), pa.field("content", pa.binary())])
+    hash_schema = pa.schema([*key_fields, pa.field("sha256", pa.string())])
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Ranges are found by a first look at the rows, so they are a table.
+    placed = settle(rows.select(*keys, F.col(place).cast("long").alias("place"), "content"), "hash-contents")
+    packed = (placed.repartitionByRange(parts, *keys, "place").sortWithinPartitions(*keys, "place").select(names)
+              .mapInArrow(lambda batches: batches_of(packs(rows_of(batches)), pack_schema), f"{kinds}, place long, content binary"))
+    return (packed.repartition(parts, *keys).sortWithinPartitions(*keys, "place").select(names)
+            .mapInArrow(lambda batches: batches_of(digests(rows_of(batches)), hash_schema), f"{kinds}, sha256 string"))
