@@ -6,6 +6,8 @@ documents. Every home gets its trigrams' probabilities back and scores its docum
 perplexity exceeds a fence made of quantiles of its language, taken over trusted documents that were not counted.
 """
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,16 +29,41 @@ HELD_OUT = 5
 QUANTILE, REACH = 0.95, 3.0
 #: All languages' distance counts as so many texts of every language, and no distance is below this many bits.
 SHARED, LEAST_DISTANCE = 20, 0.02
+#: Trigrams that are counted at once.
+SLICE = 1 << 18
 #: Characters of median text that are added to every document, so that few characters weigh little.
 PRIOR_CHARS = 60
 
 
-def trigrams(text: str) -> np.ndarray:
-    """Packed trigrams of a text with two start marks and an end mark."""
-    codes = np.empty(len(text) + 3, np.int64)
-    codes[:2], codes[-1] = START, END
-    codes[2:-1] = np.frombuffer(text.encode("utf-32-le"), "<u4")
-    return codes[:-2] << 2 * BITS | codes[1:-1] << BITS | codes[2:]
+def trigrams(text: str) -> Iterator[np.ndarray]:
+    """Packed trigrams of a text with two start marks and an end mark, SLICE at a time."""
+    for start in range(0, len(text) + 1, SLICE):
+        piece = text[max(start - 2, 0):start + SLICE]
+        marks = ([START] * (2 - start) if start < 2 else []), ([END] if start + SLICE > len(text) else [])
+        codes = np.concatenate((np.array(marks[0], np.int64), np.frombuffer(piece.encode("utf-32-le"), "<u4").astype(np.int64),
+                                np.array(marks[1], np.int64)))
+        yield codes[:-2] << 2 * BITS | codes[1:-1] << BITS | codes[2:]
+
+
+class Counts:
+    """Counts of trigrams; memory for the different ones and two slices."""
+
+    def __init__(self):
+        self.grams, self.n, self.held, self.waiting = np.empty(0, np.int64), np.empty(0, np.int64), [], 0
+
+    def add(self, grams: np.ndarray, weight: int) -> None:
+        self.held.append((grams, weight))
+        self.waiting += len(grams)
+        if self.waiting >= SLICE:
+            self.merge()
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        grams = np.concatenate([self.grams, *[g for g, _ in self.held]])
+        weights = np.concatenate([self.n, *[np.full(len(g), w, np.int64) for g, w in self.held]])
+        self.grams, where = np.unique(grams, return_inverse=True)
+        self.n = np.bincount(where, weights, len(self.grams)).astype(np.int64)
+        self.held, self.waiting = [], 0
+        return self.grams, self.n
 
 
 def text_hash(text: bytes) -> int:
@@ -53,17 +80,17 @@ def home_counts(packs: DataFrame, trusted: DataFrame) -> DataFrame:
     2**HOME plus the home."""
     def run(texts, trusted):
         known = set(trusted.column("id").to_pylist())
-        by_lang: dict[str, list] = {}
+        by_lang: dict[str, Counts] = {}
         for key, lang, text in rows_at_home(texts):
             if text:
-                counts = key in known and not is_held_out(text_hash(text))
-                by_lang.setdefault(lang, []).append((counts, trigrams(text.decode("utf-8", "replace"))))
+                weight = int(key in known and not is_held_out(text_hash(text)))
+                counts = by_lang.setdefault(lang, Counts())
+                for grams in trigrams(text.decode("utf-8", "replace")):
+                    counts.add(grams, weight)
         home = texts.column("home")[0].as_py() if len(texts) else None
         parts = []
-        for lang, docs in by_lang.items():
-            grams, where = np.unique(np.concatenate([g for _, g in docs]), return_inverse=True)
-            weight = np.repeat([float(c) for c, _ in docs], [len(g) for _, g in docs])
-            n = np.bincount(where, weight, len(grams)).astype(np.int64)
+        for lang, counts in by_lang.items():
+            grams, n = counts.merge()
             parts.append(pa.table({"lang": pa.array([lang] * len(grams), pa.string()), "gram": pa.array(grams),
                                    "counted": pa.array((n << HOME) + home)}))
         schema = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("counted", pa.int64())])
@@ -133,9 +160,10 @@ def scored(packs: DataFrame, answers: DataFrame) -> DataFrame:
         for key, lang, text in rows_at_home(texts):
             mean, n = None, 0
             if text:
-                wanted = trigrams(text.decode("utf-8", "replace"))
                 known, values = tables[lang]
-                mean, n = float(values[np.searchsorted(known, wanted)].mean()), len(wanted) - 1
+                decoded = text.decode("utf-8", "replace")
+                total = sum(float(values[np.searchsorted(known, wanted)].sum()) for wanted in trigrams(decoded))
+                mean, n = total / (len(decoded) + 1), len(decoded)
             for name, value in zip(out, (key, lang, n, text_hash(text), mean)):
                 out[name].append(value)
         kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64())
