@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from thermalis.llm import bpe, decontam, exact_dedup, ngram_join, packing, prefix_trie, quality, sharding, substring_dedup, urls, warc
+from thermalis.llm import bpe, decontam, exact_dedup, ngram_join, packing, prefix_trie, quality, sharding, substring_dedup, urls, warc, word_bpe
 from thermalis.llm.common import documents, pages
 
 
@@ -11,6 +11,10 @@ def vocabulary() -> bpe.Vocabulary:
     return bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def word_model() -> word_bpe.WordModel:
+    return word_bpe.WordModel.read(public_tokenizers.path("word_bpe_49k.json"))
+
+
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -70,6 +74,10 @@ def op12_prefix_trie(spark, sf_dir):
     return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_word_bpe(spark, sf_dir):
+    return word_bpe.round_trip(documents(spark, sf_dir), word_model())
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_kneser_ney_quality": op2_kneser_ney_quality,
@@ -82,6 +90,7 @@ QUERIES = {
     "op9_url_regression": op9_url_regression,
     "op10_streaming_dedup": op10_streaming_dedup,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_word_bpe": op13_word_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
