@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from thermalis.llm import bpe, decontam, exact_dedup, ngram_join, packing, prefix_trie, quality, sharding, substring_dedup, urls, warc, word_bpe
+from thermalis.llm import alignment, bpe, decontam, exact_dedup, ngram_join, packing, prefix_trie, quality, sharding, substring_dedup, urls, warc, word_bpe
 from thermalis.llm.common import documents, pages
 
 
@@ -15,6 +15,11 @@ def word_model() -> word_bpe.WordModel:
     return word_bpe.WordModel.read(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def tokenisers() -> alignment.Tokenisers:
+    return alignment.Tokenisers.read(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+                                     public_tokenizers.PATTERN)
+
+
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -70,6 +75,10 @@ def op10_streaming_dedup(spark, sf_dir):
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op11_fragment_alignment(spark, sf_dir):
+    return alignment.align(documents(spark, sf_dir), tokenisers())
+
+
 def op12_prefix_trie(spark, sf_dir):
     return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
 
@@ -89,6 +98,7 @@ QUERIES = {
     "op8_kd_sharding": op8_kd_sharding,
     "op9_url_regression": op9_url_regression,
     "op10_streaming_dedup": op10_streaming_dedup,
+    "op11_fragment_alignment": op11_fragment_alignment,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_word_bpe": op13_word_bpe,
 }
