@@ -114,3 +114,10 @@ def test_round_trip_with_nulls_repeats_and_clashing_columns(spark, model, librar
     assert word_bpe.round_trip(docs.limit(0), model).count() == 0
     readable = word_bpe.decode(word_bpe.encode(docs, model), model, "text").where("doc_id = 6").first().decoded
     assert readable == "naïve σ "
+
+
+def test_plain_characters_are_normalised_and_split_as_by_the_library(model, library):
+    for c in map(chr, range(ord(word_bpe.PLAIN))):
+        for text in (c, f"A{c}b", f"1{c}'S", f"{c}{c}!"):
+            assert text.lower().split() == [] or model.words(text) == [
+                bytes(map(model.alphabet.__getitem__, w)) for w, _ in library.pre_tokenizer.pre_tokenize_str(library.normalizer.normalize_str(text))], text

@@ -8,18 +8,20 @@ Tokens that end further from the cut are stable. The transducer merges a window,
 rest, so its memory does not grow with the word. Words are told apart by the vocabulary's own normaliser and
 pre-tokeniser, a slice of the text at a time; slices end where neither looks across.
 
-Words are encoded once while they stay in a cache of bounded size.
+Words are encoded once while they stay in a cache of bounded size. Words are bytes here.
 """
 
 import codecs
 import heapq
 import json
 import re
+import struct
 import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -34,9 +36,11 @@ WINDOW = 4096
 SHORT = 48
 #: Characters of a slice of text without spaces.
 SLICE = 1 << 15
-#: Cached words per worker, of about 200 bytes each.
-CACHED = 400_000
+#: Cached words, and cached texts between spaces, per worker; of about 200 bytes each. Longer ones than KNOWN are not kept.
+CACHED, KNOWN = 300_000, 64
 WHITE = " \t\n\r\f\v"
+#: Texts of characters before this one are composed already, and Python's lower case and classes are those of the library.
+PLAIN = "\u0250"
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -78,17 +82,20 @@ class WordModel:
             raise ValueError("not a BPE vocabulary with word ends alone")
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         made = {}
-        self.rules = {}
+        self.ranks, self.made = {}, []
         for rank, (left, right) in enumerate(merges):
             if made.setdefault(left + right, rank) != rank or any(made.get(part, -1) >= rank for part in (left, right)):
                 raise ValueError("rules must make each token once, from tokens of earlier rules")
-            self.rules[ids[left], ids[right]] = rank, ids[left + right]
-        self.lookahead = lookahead(merges)
-        self.inner, self.last = ids, {c: ids[c + END] for c in byte_alphabet()}
+            self.ranks[ids[left] << 32 | ids[right]] = rank
+            self.made.append(ids[left + right])
+        self.lookahead, self.none, self.alphabet = lookahead(merges), len(merges), byte_alphabet()
+        self.inner, self.last = ([i for _, i in sorted((b, ids[c + mark]) for c, b in self.alphabet.items())] for mark in ("", END))
         self.special = {t["content"]: t["id"] for t in told["added_tokens"]}
         self.pieces = {i: piece for piece, i in ids.items()} | {i: piece for piece, i in self.special.items()}
         library = Tokenizer.from_str(self.source)
         self.normalise, self.pre_tokenise = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
+        splitter = next(p for p in told["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+        self.pattern = regex.compile(splitter["pattern"]["Regex"])
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
 
     def __getstate__(self):
@@ -97,74 +104,80 @@ class WordModel:
     def __setstate__(self, source):
         self.__init__(source)
 
-    def words(self, text: str) -> list[str]:
-        """The words of a text, in the byte alphabet."""
-        return [word for word, _ in self.pre_tokenise(self.normalise(text))]
+    def words(self, text: str) -> list[bytes]:
+        """The words of a text: normalised and split as the vocabulary says."""
+        if text and max(text) < PLAIN:
+            return [word.encode() for word in self.pattern.findall(text.lower())]
+        return [bytes(map(self.alphabet.__getitem__, word)) for word, _ in self.pre_tokenise(self.normalise(text))]
+
+    def symbols(self, word: bytes) -> list[int]:
+        ids = [self.inner[b] for b in word]
+        ids[-1] = self.last[word[-1]]
+        return ids
 
     def merged(self, ids: list[int]) -> list[int]:
-        """The tokens of a word's symbols: always the earliest rule that fits, leftmost first."""
-        rules = self.rules
+        """The tokens of symbols: always the earliest rule that fits, leftmost first."""
         if len(ids) > SHORT:
             return self.merged_long(ids)
-        ids = list(ids)
-        while len(ids) > 1:
-            best = min(((rules[pair][0], at) for at, pair in enumerate(zip(ids, ids[1:])) if pair in rules), default=None)
-            if best is None:
-                break
-            at = best[1]
-            ids[at:at + 2] = [rules[ids[at], ids[at + 1]][1]]
+        get, made, none = self.ranks.get, self.made, self.none
+        ranks = [get(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
+        while ranks and (rank := min(ranks)) < none:
+            at, token = ranks.index(rank), made[rank]
+            ids[at] = token
+            del ids[at + 1], ranks[at]
+            if at:
+                ranks[at - 1] = get(ids[at - 1] << 32 | token, none)
+            if at < len(ranks):
+                ranks[at] = get(token << 32 | ids[at + 1], none)
         return ids
 
     def merged_long(self, ids: list[int]) -> list[int]:
-        n, ids, get = len(ids), list(ids), self.rules.get
+        n, ids, get = len(ids), list(ids), self.ranks.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(rule[0], at, pair) for at, pair in enumerate(zip(ids, ids[1:])) if (rule := get(pair))]
+        heap = [(rank, at) for at, (a, b) in enumerate(zip(ids, ids[1:])) if (rank := get(a << 32 | b)) is not None]
         heapq.heapify(heap)
         while heap:
-            _, at, pair = heapq.heappop(heap)
+            rank, at = heapq.heappop(heap)
             right = after[at]
-            if right >= n or (ids[at], ids[right]) != pair:
+            if right >= n or ids[at] < 0 or get(ids[at] << 32 | ids[right]) != rank:
                 continue
-            ids[at], ids[right] = self.rules[pair][1], -1
+            ids[at], ids[right] = self.made[rank], -1
             after[at] = follower = after[right]
             if follower < n:
                 before[follower] = at
-                if rule := get((ids[at], ids[follower])):
-                    heapq.heappush(heap, (rule[0], at, (ids[at], ids[follower])))
-            if (left := before[at]) >= 0 and (rule := get((ids[left], ids[at]))):
-                heapq.heappush(heap, (rule[0], left, (ids[left], ids[at])))
+                if (rank := get(ids[at] << 32 | ids[follower])) is not None:
+                    heapq.heappush(heap, (rank, at))
+            if (left := before[at]) >= 0 and (rank := get(ids[left] << 32 | ids[at])) is not None:
+                heapq.heappush(heap, (rank, left))
         return [i for i in ids if i >= 0]
 
 
 class Transducer:
-    """Encodes one word after the other from symbols that arrive in parts; holds a window and the lookahead at most."""
+    """Encodes one word after the other from bytes that arrive in parts; holds a window and the lookahead at most."""
 
     def __init__(self, model: WordModel, window: int = WINDOW):
-        self.model, self.window, self.held = model, window, ""
+        self.model, self.window, self.held = model, window, b""
         self.length = {i: len(piece.removesuffix(END)) for i, piece in model.pieces.items()}
 
-    def feed(self, part: str) -> Iterator[int]:
-        """The tokens that are stable, given more symbols of the word."""
-        limit = self.window + self.model.lookahead
+    def feed(self, part: bytes) -> Iterator[int]:
+        """The tokens that are stable, given more bytes of the word."""
+        inner, ahead = self.model.inner, self.model.lookahead
         for start in range(0, len(part), self.window):
             self.held += part[start:start + self.window]
-            if len(self.held) > limit:
-                # The last symbol may be the word's last, which is another symbol.
-                cut = len(self.held) - 1
-                end = 0
-                for token in self.model.merged([self.model.inner[c] for c in self.held[:cut]]):
-                    if end + self.length[token] > cut - self.model.lookahead:
+            if len(self.held) > self.window + ahead:
+                # The last byte may be the word's last, which is another symbol.
+                cut, end = len(self.held) - 1, 0
+                for token in self.model.merged([inner[b] for b in self.held[:cut]]):
+                    if end + self.length[token] > cut - ahead:
                         break
                     end += self.length[token]
                     yield token
                 self.held = self.held[end:]
 
     def finish(self) -> list[int]:
-        """The rest of the word's tokens; the next symbols are those of another word."""
-        held, self.held = self.held, ""
-        if not held:
-            return []
-        return self.model.merged([*(self.model.inner[c] for c in held[:-1]), self.model.last[held[-1]]])
+        """The rest of the word's tokens; the next bytes are those of another word."""
+        held, self.held = self.held, b""
+        return self.model.merged(self.model.symbols(held)) if held else []
 
 
 def is_letter(c: str) -> bool:
@@ -206,11 +219,12 @@ def slices(text: str, size: int = SLICE) -> Iterator[tuple[str, bool]]:
 
 
 class Encoder:
-    """Encodes texts; the ids of what stands between single spaces are cached, as little-endian 32-bit integers."""
+    """Encodes texts; the ids of words, and of what stands between single spaces, are cached, as little-endian 32-bit
+    integers."""
 
     def __init__(self, model: WordModel, cached: int = CACHED, window: int = WINDOW, size: int = SLICE):
         self.model, self.cached, self.size = model, cached, size
-        self.transducer, self.known = Transducer(model, window), {}
+        self.transducer, self.known, self.known_words = Transducer(model, window), {}, {}
 
     def stream(self, text: str) -> Iterator[int]:
         """Token ids of a text without special tokens, as they become stable."""
@@ -226,28 +240,28 @@ class Encoder:
                 yield from self.transducer.finish()
         yield from self.transducer.finish()
 
+    def word(self, word: bytes) -> bytes:
+        found = self.known_words.get(word)
+        if found is None:
+            if len(word) > KNOWN:
+                return np.fromiter((*self.transducer.feed(word), *self.transducer.finish()), "<u4").tobytes()
+            ids = self.model.merged(self.model.symbols(word))
+            found = self.known_words[word] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
     def piece(self, piece: str) -> bytes:
         if len(piece) > self.size:
             return np.fromiter(self.stream(piece), "<u4").tobytes()
-        ids = []
-        for word in self.model.words(piece):
-            if len(word) <= SHORT:
-                ids += self.model.merged([*(self.model.inner[c] for c in word[:-1]), self.model.last[word[-1]]])
-            else:
-                ids += [*self.transducer.feed(word), *self.transducer.finish()]
-        return np.array(ids, "<u4").tobytes()
+        return b"".join(map(self.word, self.model.words(piece)))
 
     def plain(self, text: str) -> bytes:
-        pieces, known = text.split(" "), self.known
-        for piece in set(pieces) - known.keys():
-            found = self.piece(piece)
-            if len(piece) <= 64:
-                known[piece] = found
-            else:
-                pieces = [found if p == piece else p for p in pieces]
-        out = b"".join([p if isinstance(p, bytes) else known[p] for p in pieces])
-        if len(known) > self.cached:
-            known.clear()
+        pieces, known, rare = text.split(" "), self.known, {}
+        for piece in {p for p in pieces if p not in known}:
+            (known if len(piece) <= KNOWN else rare)[piece] = self.piece(piece)
+        out = b"".join([known[p] if p in known else rare[p] for p in pieces])
+        for cache in (known, self.known_words):
+            if len(cache) > self.cached:
+                cache.clear()
         return out
 
     def encode(self, text: str) -> bytes:
@@ -260,7 +274,7 @@ class Detokeniser:
     """Text from ids that arrive in parts. State: the bytes, three at most, of a character that is not complete."""
 
     def __init__(self, model: WordModel):
-        alphabet = byte_alphabet()
+        alphabet = model.alphabet
         self.special = {i: text for text, i in model.special.items()}
         self.raw = {i: (bytes(alphabet[c] for c in piece.removesuffix(END)), piece.endswith(END))
                     for i, piece in model.pieces.items() if i not in self.special}
