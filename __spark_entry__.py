@@ -11,6 +11,7 @@ import sys
 from collections.abc import Callable
 from pathlib import Path
 
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ from thermalis.functions import rnd  # noqa: E402
 from thermalis.operators import aggregates as agg  # noqa: E402
 from thermalis.operators import features as feat  # noqa: E402
 from thermalis.operators import forecast as fc  # noqa: E402
+from thermalis.operators import forest  # noqa: E402
 from thermalis.operators import hotspots as hot  # noqa: E402
 from thermalis.operators import ingest  # noqa: E402
 from thermalis.operators import pixels as pix  # noqa: E402
@@ -93,8 +95,17 @@ def _regions(spark, sf):
 
 
 def _zone_composite(spark, sf):
-    covered = _regions(spark, sf)
-    return pix.zone_composite(pix.clipped(_celsius(spark, sf), covered), covered, PIXEL_YEARS)
+    return pix.zone_composite(_celsius(spark, sf), _regions(spark, sf), PIXEL_YEARS)
+
+
+def _composite(spark, sf):
+    return pix.monthly_composite(_celsius(spark, sf), PIXEL_YEARS)
+
+
+def _east(lon):
+    """Places moved so that a column of cities lies across the date line."""
+    moved = F.col(lon) + F.lit(103.85)
+    return F.when(moved > 180, moved - 360).otherwise(moved)
 
 
 # -- sources and sinks ---------------------------------------------------------------------------
@@ -235,9 +246,13 @@ def pixel_period_mean(spark, sf):
     return stable(pix.period_mean(pix.to_celsius(px)), "mean_day_c")
 
 
-def zonal_mean(spark, sf):
-    composite = pix.monthly_composite(_celsius(spark, sf), PIXEL_YEARS, fill=None)
-    return stable(pix.zonal_mean(composite, _regions(spark, sf), "rural"), "LST_Day_C", "LST_Night_C")
+def pixel_monthly(spark, sf):
+    composite = sources.settle(_composite(spark, sf), "composite")
+    return stable(pix.filled_composite(composite, PIXEL_YEARS), "LST_Day_C", "LST_Night_C")
+
+
+def _zonal_mean(zone):
+    return lambda spark, sf: stable(pix.zonal_mean(_composite(spark, sf), _regions(spark, sf), zone), "LST_Day_C", "LST_Night_C")
 
 
 SERIES = ["LST_Day_Urban", "LST_Day_Rural", "LST_Night_Urban", "UHI_Index"]
@@ -247,6 +262,124 @@ def zonal_series_filled(spark, sf):
     return stable(plans.pixels_to_observations(fx.pixels(spark, sf), fx.regions(spark, sf), PIXEL_YEARS), *SERIES)
 
 
+def zonal_series_tiled(spark, sf):
+    """The series again, from a table of pixels that is partitioned by tile."""
+    path = sources.scratch_path(spark, "pixels")
+    sources.write_pixels(fx.pixels(spark, sf), path)
+    masked = pix.to_celsius(pix.qa_mask(sources.read_pixels(spark, path)))
+    composite = pix.zone_composite(masked, _regions(spark, sf), PIXEL_YEARS)
+    return stable(pix.zonal_series(composite, PIXEL_YEARS), *SERIES)
+
+
+def zonal_series_weighted(spark, sf):
+    """The filled series where pixels on an edge count by their share."""
+    found = plans.pixels_to_observations(fx.pixels(spark, sf), fx.regions(spark, sf), PIXEL_YEARS, footprint=(0.01, 0.01))
+    return stable(found, *SERIES)
+
+
+def zones_date_line(spark, sf):
+    """Pixels of each zone when some cities lie across the date line."""
+    px = _celsius(spark, sf).withColumn("lon", _east("lon"))
+    regions = fx.regions(spark, sf).withColumns({"x0": _east("x0"), "x1": _east("x1")})
+    rows = pix.zones(px, sources.settle(pix.region_cells(regions), "region-cells"))
+    return stable(rows.groupBy("city", "zone").agg(F.count("*").alias("n"), F.avg("LST_Day_C").alias("mean_day_c")), "mean_day_c")
+
+
+# -- whole analyses, and checks of what no SQL can compute ------------------------------------------
+
+def _counts(spark, tables):
+    """name, n: the number of rows of each table."""
+    union = None
+    for name, table in tables.items():
+        one = table.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
+        union = one if union is None else union.unionByName(one)
+    return union
+
+
+def serving_report(spark, sf):
+    """Row counts of all views behind a dashboard, from tables that were published before."""
+    base = sources.scratch_path(spark, "results")
+    obs = fx.obs(spark, sf)
+    cells = plans.settled_cells(obs)
+    tables = {**plans.core_analysis(cells), **plans.temporal_analysis(cells), **plans.hotspot_tables(obs, cells),
+              "uhi_all_clean": sources.clean_export(obs), "uhi_forecast_2025_2030": _projected(spark, sf)}
+    sources.publish_tables(tables, base, "parquet")
+    results = sources.load_results(spark, base, "parquet")
+    return _counts(spark, plans.serving_views(results, CITIES, YEARS, fx.coords(spark, sf)))
+
+
+def republished(spark, sf):
+    """Row counts of a report that was published twice, the second time over fewer cities, beside one of the first time."""
+    base = sources.scratch_path(spark, "results")
+    obs = fx.obs(spark, sf)
+    sources.publish_tables({"uhi_yearly": agg.yearly(obs), "uhi_decade": agg.decade(obs)}, base)
+    sources.publish_tables({"uhi_yearly": srv.filter_result(agg.yearly(obs), CITIES)}, base)
+    sources.remove_old_versions(spark, base)
+    return _counts(spark, {name: sources.read_result(spark, base, name) for name in ("uhi_yearly", "uhi_decade", "uhi_monthly")})
+
+
+def trend_readback(spark, sf):
+    """The trend as the forecast job reads it."""
+    base = sources.scratch_path(spark, "results")
+    sources.publish_tables({"uhi_rate_of_change": tmp.trend_rate(_yearly_base(spark, sf))}, base)
+    return sources.read_trend(spark, base)
+
+
+def _off(rows, a, b, limit=1e-9):
+    """Number of rows, and of those where two columns differ or one is missing."""
+    off = F.coalesce(F.abs(F.col(a) - F.col(b)) > limit, F.lit(True))
+    return rows.agg(F.count("*").alias("n"), F.count_if(off).alias("n_off"))
+
+
+def forest_walk(spark, sf):
+    """Test rows for which walking the forest's table of nodes does not give the model's prediction."""
+    done = _forecast(spark, sf)
+    walked = forest.walk(done.scored, forest.node_table(done.model, spark), "city", "year", "month")
+    return _off(done.scored.join(walked, ["city", "year", "month"], "left"), "prediction", "walked")
+
+
+def forest_walk_forecast(spark, sf):
+    """The same for the months of the forecast, and for its published values."""
+    done = _forecast(spark, sf)
+    scored = sources.settle(done.model.transform(_inputs(spark, sf)).select("city", "year", "month", "city_index", *fc.FEATURES[3:], "prediction"), "scored")
+    walked = forest.walk(scored, forest.node_table(done.model, spark), "city", "year", "month").withColumn("walked", rnd("walked", 4))
+    return _off(done.results["uhi_forecast_2025_2030"].join(walked, ["city", "year", "month"], "left"), "predicted_uhi", "walked", 1e-4)
+
+
+def forest_importances(spark, sf):
+    """Features whose importance the nodes do not give again."""
+    done = _forecast(spark, sf)
+    again = forest.node_importances(forest.node_table(done.model, spark)).withColumnRenamed("importance", "again")
+    both = done.results["feature_importance"].join(again, "feature", "left").fillna(0.0, ["again"])
+    return _off(both, "importance", "again")
+
+
+def model_metrics(spark, sf):
+    """Metrics that MLlib's own evaluator does not give again."""
+    done = _forecast(spark, sf)
+    scored = sources.settle(done.scored.select("avg_uhi", "prediction"), "scored")
+    own = done.results["metrics"].select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ("mae", "rmse", "r2")])))
+    again = spark.createDataFrame([(m, RegressionEvaluator(labelCol="avg_uhi", metricName=m).evaluate(scored)) for m in ("mae", "rmse", "r2")],
+                                  "metric string, again double")
+    return _off(own.join(again, "metric", "left"), "value", "again", 5.1e-5)
+
+
+def model_roundtrip(spark, sf):
+    """Test rows that the saved and loaded model scores otherwise."""
+    done = _forecast(spark, sf)
+    path = sources.scratch_path(spark, "model")
+    sources.save_model(done.model, path)
+    rows = done.scored.select("city", *fc.FEATURES[1:], F.col("prediction").alias("before"))
+    return _off(sources.load_model(path).transform(rows), "before", "prediction", 0.0)
+
+
+def threshold_ranks(spark, sf):
+    """City and level: whether the sketched percentile has the wanted rank, give or take half a percent of the city's values."""
+    obs = fx.obs(spark, sf)
+    limits = sources.settle(hot.sketched_thresholds(sources.settle(hot.measure_sketches(obs), "sketches"), rounded=False), "limits")
+    return hot.threshold_ranks(obs, limits).select("city", "level", "n", "wanted", (F.col("error") <= 0.005).alias("near"))
+
+
 def library_queries() -> dict[str, Query]:
     return {
         "ingest_clean": ingest_clean,
@@ -268,6 +401,7 @@ def library_queries() -> dict[str, Query]:
         "seasonal_decade": _on_obs(agg.seasonal_decade),
         "month_climatology": _on_obs(agg.month_climatology),
         "thresholds": _on_obs(hot.thresholds),
+        "threshold_ranks": threshold_ranks,
         "thresholds_approx": _on_obs(lambda obs: hot.thresholds(obs, exact=False)),
         "hotspots": _alerts,
         "hotspot_summary": lambda spark, sf: hot.hotspot_summary(_alerts(spark, sf)),
@@ -300,6 +434,22 @@ def library_queries() -> dict[str, Query]:
         "ml_feature_importance": _from_model("feature_importance"),
         "ml_forecast": _from_model("uhi_forecast_2025_2030"),
         "ml_forecast_summary": _from_model("forecast_summary"),
+        "forest_walk": forest_walk,
+        "forest_walk_forecast": forest_walk_forecast,
+        "forest_importances": forest_importances,
+        "model_metrics": model_metrics,
+        "model_roundtrip": model_roundtrip,
+        "trend_readback": trend_readback,
+        "republished": republished,
+        "hotspot_report": _on_obs(lambda obs: _counts(obs.sparkSession, plans.hotspot_analysis(obs))),
+        "temporal_report": _on_obs(lambda obs: _counts(obs.sparkSession, plans.temporal_analysis(obs))),
+        "serving_report": serving_report,
+        "ordered_by_key": lambda spark, sf: srv.presented(agg.monthly(fx.obs(spark, sf)), "city", "year", "month", place="place"),
+        "ordered_by_measure": lambda spark, sf: srv.presented(
+            tmp.trend_rate(_yearly_base(spark, sf)), "city", desc="rate_per_decade_c", place="place"),
+        "ordered_history": lambda spark, sf: stable(srv.presented(
+            srv.history_forecast(agg.yearly(fx.obs(spark, sf)), _projected(spark, sf), years=YEARS), "city", "year", place="place"), "uhi"),
+        "ordered_observations": _on_obs(lambda obs: srv.presented(obs, *obs.columns, place="place")),
         "filter_result": lambda spark, sf: srv.filter_result(agg.yearly(fx.obs(spark, sf)), CITIES, YEARS),
         "filter_city": lambda spark, sf: srv.filter_result(agg.decade(fx.obs(spark, sf)), CITIES, YEARS),
         "filter_options": _on_obs(lambda obs: srv.filter_options(agg.rankings(obs), agg.yearly(obs))),
@@ -320,12 +470,17 @@ def library_queries() -> dict[str, Query]:
         "pixel_clean": _celsius,
         "pixel_stats": lambda spark, sf: pix.collection_stats(fx.pixels(spark, sf)),
         "pixel_period_mean": pixel_period_mean,
-        "pixel_monthly": lambda spark, sf: stable(
-            pix.monthly_composite(_celsius(spark, sf), PIXEL_YEARS), "LST_Day_C", "LST_Night_C"),
-        "zonal_mean": zonal_mean,
+        "pixel_monthly": pixel_monthly,
+        "pixel_composite": lambda spark, sf: stable(_composite(spark, sf), "LST_Day_C", "LST_Night_C"),
+        "month_gaps": lambda spark, sf: pix.month_gaps(_composite(spark, sf).filter("month NOT IN (2, 7)"), PIXEL_YEARS),
+        "zonal_mean": _zonal_mean("rural"),
+        "zonal_mean_urban": _zonal_mean("urban"),
         "zonal_series": lambda spark, sf: stable(
             pix.zonal_series(_zone_composite(spark, sf), PIXEL_YEARS), *SERIES),
         "zonal_series_filled": zonal_series_filled,
+        "zonal_series_tiled": zonal_series_tiled,
+        "zonal_series_weighted": zonal_series_weighted,
+        "zones_date_line": zones_date_line,
         "zonal_per_image": lambda spark, sf: stable(
             pix.zonal_per_image(_celsius(spark, sf), _regions(spark, sf)), "LST_Urban", "LST_Rural", "UHI_Index"),
     }

@@ -34,11 +34,15 @@ YEAR_IN = f"year BETWEEN {YEARS[0]} AND {YEARS[1]}"
 PREV = "PARTITION BY city ORDER BY year NULLS FIRST, month NULLS FIRST"
 MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 MONTH_NAME = "CASE {0} " + " ".join(f"WHEN {i} THEN '{m}'" for i, m in enumerate(MONTHS, 1)) + " END"
-# Great-circle metres from the pixel to the nearest point of the rectangle in degrees.
-DISTANCE = """2*6371008.8::DOUBLE*asin(sqrt(
-  pow(sin((radians(greatest(least(lat,y1),y0))-radians(lat))/2),2)
-  +cos(radians(lat))*cos(radians(greatest(least(lat,y1),y0)))
-   *pow(sin((radians(greatest(least(lon,x1),x0))-radians(lon))/2),2)))"""
+def distance(lon: str = "lon", lat: str = "lat") -> str:
+    """Great-circle metres from a place to the nearest point of the rectangle in degrees."""
+    return f"""2*6371008.8::DOUBLE*asin(sqrt(
+  pow(sin((radians(greatest(least({lat},y1),y0))-radians({lat}))/2),2)
+  +cos(radians({lat}))*cos(radians(greatest(least({lat},y1),y0)))
+   *pow(sin((radians(greatest(least({lon},x1),x0))-radians({lon}))/2),2)))"""
+
+
+DISTANCE = distance()
 
 
 def features(frame: str) -> str:
@@ -55,6 +59,12 @@ def filled(name: str, zone: str, band: str) -> str:
     return f"coalesce(avg(CASE WHEN zone='{zone}' THEN coalesce({band}, -9999::DOUBLE) END), -9999::DOUBLE) AS {name}"
 
 
+def weighted(name: str, zone: str, band: str) -> str:
+    """Weighted zonal mean in which every pixel without a value counts as -9999."""
+    w = f"CASE WHEN zone='{zone}' THEN w END"
+    return f"coalesce(sum({w}*coalesce({band}, -9999::DOUBLE))/sum({w}), -9999::DOUBLE) AS {name}"
+
+
 CTES = {
     "obs": OBS_SQL.format(**DUCK),
     "pixels": PIXELS_SQL.format(**DUCK),
@@ -124,6 +134,25 @@ FROM range({PIXEL_YEARS[0]}, {PIXEL_YEARS[1] + 1}) a(y), range(1, 13) b(m)""",
     "located": f"""SELECT lon, lat, city, CASE WHEN lon BETWEEN x0 AND x1 AND lat BETWEEN y0 AND y1 THEN 'urban'
  ELSE 'rural' END AS zone FROM (SELECT DISTINCT lon, lat FROM pixels) p, regions
 WHERE {DISTANCE} <= 20000""",
+    # The share of a footprint of 0.01 degrees in the rectangle, and of its 4 x 4 points in the ring.
+    "shares": f"""SELECT lon, lat, city,
+ greatest(least(lon+0.01::DOUBLE/2, x1)-greatest(lon-0.01::DOUBLE/2, x0), 0)/0.01::DOUBLE
+  *(greatest(least(lat+0.01::DOUBLE/2, y1)-greatest(lat-0.01::DOUBLE/2, y0), 0)/0.01::DOUBLE) AS urban,
+ (SELECT count(*) FROM (SELECT lon+0.01::DOUBLE*((i+0.5)/4-0.5) AS sx, lat+0.01::DOUBLE*((j+0.5)/4-0.5) AS sy FROM range(4) a(i), range(4) b(j)) g
+  WHERE NOT (sx BETWEEN x0 AND x1 AND sy BETWEEN y0 AND y1) AND {distance("sx", "sy")} <= 20000)/16::DOUBLE AS rural
+FROM (SELECT DISTINCT lon, lat FROM pixels) p, regions
+WHERE lon BETWEEN x0-0.5 AND x1+0.5 AND lat BETWEEN y0-0.5 AND y1+0.5""",
+    "weights": """SELECT lon, lat, city, 'urban' AS zone, urban AS w FROM shares WHERE urban > 0 UNION ALL
+SELECT lon, lat, city, 'rural', rural FROM shares WHERE rural > 0""",
+    "east_pixels": """SELECT CASE WHEN lon+103.85::DOUBLE > 180 THEN lon+103.85::DOUBLE-360 ELSE lon+103.85::DOUBLE END AS lon,
+ lat, LST_Day_C FROM celsius""",
+    "east_regions": """SELECT city, a AS x0, y0, CASE WHEN b < a THEN b+360 ELSE b END AS x1, y1 FROM (SELECT city, y0, y1,
+ CASE WHEN x0+103.85::DOUBLE > 180 THEN x0+103.85::DOUBLE-360 ELSE x0+103.85::DOUBLE END AS a,
+ CASE WHEN x1+103.85::DOUBLE > 180 THEN x1+103.85::DOUBLE-360 ELSE x1+103.85::DOUBLE END AS b FROM regions) e""",
+    # Every place is tried as it is and once around the globe in both directions.
+    "east_zones": f"""SELECT lon, lat, city, min(CASE WHEN sx BETWEEN x0 AND x1 AND lat BETWEEN y0 AND y1 THEN -1 ELSE {distance("sx")} END) AS away
+FROM (SELECT lon, lat, lon+turn AS sx FROM (SELECT DISTINCT lon, lat FROM east_pixels) p, (VALUES (-360), (0), (360)) t(turn)) q,
+ east_regions WHERE sx BETWEEN x0-1 AND x1+1 GROUP BY ALL""",
     "per_zone": "SELECT c.*, city, zone FROM composite c JOIN located l ON c.lon=l.lon AND c.lat=l.lat",
 }
 
@@ -254,6 +283,19 @@ FROM per_zone WHERE zone='rural' GROUP BY ALL""",
  {filled('LST_Night_Urban', 'urban', 'LST_Night_C')}
  FROM regions n CROSS JOIN calendar g LEFT JOIN located l ON l.city=n.city LEFT JOIN composite c
   ON c.lon=l.lon AND c.lat=l.lat AND c.year=g.year AND c.month=g.month GROUP BY ALL) z""",
+    "pixel_composite": f"""SELECT lon, lat, year, month, {r('LST_Day_C', 6)} AS LST_Day_C, {r('LST_Night_C', 6)} AS LST_Night_C
+FROM composite""",
+    "month_gaps": """SELECT * FROM calendar EXCEPT SELECT DISTINCT year, month FROM composite WHERE month NOT IN (2, 7)""",
+    "zonal_mean_urban": f"""SELECT city, year, month, {r('avg(LST_Day_C)', 6)} AS LST_Day_C, {r('avg(LST_Night_C)', 6)} AS LST_Night_C
+FROM per_zone WHERE zone='urban' GROUP BY ALL""",
+    "zonal_series_weighted": f"""SELECT city, year, month, {ROUND_SERIES}, {SERIES_INDEX} FROM (SELECT n.city, g.year, g.month,
+ {weighted('LST_Day_Urban', 'urban', 'LST_Day_C')}, {weighted('LST_Day_Rural', 'rural', 'LST_Day_C')},
+ {weighted('LST_Night_Urban', 'urban', 'LST_Night_C')}
+ FROM regions n CROSS JOIN calendar g LEFT JOIN weights l ON l.city=n.city LEFT JOIN composite c
+  ON c.lon=l.lon AND c.lat=l.lat AND c.year=g.year AND c.month=g.month GROUP BY ALL) z""",
+    "zones_date_line": f"""SELECT city, CASE WHEN away = -1 THEN 'urban' ELSE 'rural' END AS zone, count(*) AS n,
+ {r('avg(LST_Day_C)', 6)} AS mean_day_c FROM east_pixels p JOIN east_zones z ON p.lon=z.lon AND p.lat=z.lat
+WHERE away <= 20000 GROUP BY ALL""",
     "zonal_per_image": f"""SELECT city, strftime(t, '%Y-%m-%d') AS date, {r('u', 6)} AS LST_Urban, {r('v', 6)} AS LST_Rural,
  {r('u-v', 6)} AS UHI_Index FROM (SELECT city, t, avg(CASE WHEN zone='urban' THEN LST_Day_C END) AS u,
  avg(CASE WHEN zone='rural' THEN LST_Day_C END) AS v
@@ -271,7 +313,58 @@ def _with(sql: str) -> str:
                 needed.add(name)
                 todo.append(CTES[name])
     parts = ",\n".join(f"{name} AS ({CTES[name].strip()})" for name in CTES if name in needed)
-    return f"WITH {parts}\n{sql}"
+    return f"WITH {parts}\n{sql}" if parts else sql
+
+
+def counts(tables: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS n FROM {table}" for name, table in tables.items())
+
+
+# Shares in ten-thousandths, as the definitions of the percentiles have them.
+WANTED = {"p50_uhi": ("UHI_Index", 5000), "p75_uhi": ("UHI_Index", 7500), "p90_uhi": ("UHI_Index", 9000),
+          "p95_uhi": ("UHI_Index", 9500), "p90_urban_lst": ("LST_Day_Urban", 9000), "p95_urban_lst": ("LST_Day_Urban", 9500)}
+TEMPORAL = {"uhi_yoy_trends": "yoy", "uhi_rate_of_change": "trend_rate",
+            "seasonal_evolution": f"(SELECT DISTINCT city, {SEASON}, {DECADE} FROM obs)", "peak_months": "peaks", "uhi_moving_avg": "yearly_base"}
+SERVED_ROWS = {
+    "options": "(SELECT DISTINCT city FROM rankings UNION ALL SELECT DISTINCT CAST(year AS VARCHAR) FROM yearly)",
+    "year_range": "(SELECT 1)", "kpis": "(SELECT 1)", "rankings": "rankings", "rates": "trend_rate",
+    "yearly": f"yearly WHERE {CITY_IN} AND {YEAR_IN}", "moving_avg": f"yearly_base WHERE {CITY_IN} AND {YEAR_IN}",
+    "decade": f"decades WHERE {CITY_IN}", "map_points": f"rankings WHERE {CITY_IN}",
+    "month_heatmap": f"(SELECT DISTINCT city FROM monthly WHERE {CITY_IN} AND {YEAR_IN})", "seasonal": f"seasonal WHERE {CITY_IN}",
+    "temperatures": f"rankings WHERE {CITY_IN}", "peak_table": f"peaks WHERE {CITY_IN}",
+    "history_forecast": f"""(SELECT city, year FROM yearly WHERE {CITY_IN} AND {YEAR_IN} AND avg_uhi IS NOT NULL UNION ALL
+ SELECT DISTINCT city, year FROM projected WHERE {CITY_IN})""",
+    "alert_counts": "(SELECT 1)", "alerts": f"hotspots WHERE {CITY_IN} AND {YEAR_IN}", "extreme": f"extreme WHERE {CITY_IN} AND {YEAR_IN}",
+}
+SCORED = "avg_urban_lst IS NOT NULL AND avg_rural_lst IS NOT NULL AND avg_night_lst IS NOT NULL"
+OBS_ORDER = "city, date, year, month, day_of_year, LST_Day_Urban, LST_Day_Rural, LST_Night_Urban, UHI_Index"
+PLACES = {
+    "ordered_by_key": ("monthly", "city NULLS FIRST, year NULLS FIRST, month NULLS FIRST"),
+    "ordered_by_measure": ("trend_rate", "rate_per_decade_c DESC NULLS LAST, city NULLS FIRST"),
+    "ordered_history": (f"({SQL['history_forecast']}) h", "city, year"),
+    "ordered_observations": ("obs", ", ".join(f"{c.strip()} NULLS FIRST" for c in OBS_ORDER.split(","))),
+}
+SQL |= {name: f"SELECT *, row_number() OVER (ORDER BY {order}) AS place FROM {table}" for name, (table, order) in PLACES.items()}
+SQL |= {
+    "threshold_ranks": " UNION ALL ".join(
+        f"SELECT city, '{level}' AS level, count({m}) AS n, (count({m})*{share}+9999)//10000 AS wanted, true AS near FROM obs GROUP BY city"
+        for level, (m, share) in WANTED.items()),
+    # The model's own values are the other side: no row may be off.
+    "forest_walk": f"SELECT count(*) AS n, 0::BIGINT AS n_off FROM features WHERE year >= 2023 AND {SCORED}",
+    "forest_walk_forecast": f"SELECT count(*) AS n, 0::BIGINT AS n_off FROM inputs WHERE {SCORED}",
+    "forest_importances": "SELECT 11::BIGINT AS n, 0::BIGINT AS n_off",
+    "model_metrics": "SELECT 3::BIGINT AS n, 0::BIGINT AS n_off",
+    "model_roundtrip": f"SELECT count(*) AS n, 0::BIGINT AS n_off FROM features WHERE year >= 2023 AND {SCORED}",
+    "trend_readback": "SELECT * FROM trend_rate",
+    "republished": counts({"uhi_yearly": f"yearly WHERE {CITY_IN}", "uhi_decade": "decades", "uhi_monthly": "(SELECT 1 WHERE false)"}),
+    "hotspot_report": counts({
+        "uhi_thresholds": "thresholds", "hotspot_alerts": "hotspots", "extreme_heat_events": "extreme",
+        "top_uhi_events": "(SELECT row_number() OVER (PARTITION BY city) AS rn FROM obs QUALIFY rn <= 10)",
+        "hotspot_summary": "(SELECT DISTINCT city, severity FROM hotspots)", "monthly_hotspot_freq": "(SELECT DISTINCT city, month FROM hotspots)"}),
+    "temporal_report": counts(TEMPORAL),
+    "serving_report": counts(SERVED_ROWS),
+}
+SQL["zonal_series_tiled"] = SQL["zonal_series"]
 
 
 def oracle_sql() -> dict[str, str]:

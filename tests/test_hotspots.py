@@ -88,8 +88,16 @@ def test_floors_do_not_change_the_top_events(obs_of, k):
     assert plain.exceptAll(pruned).isEmpty() and pruned.exceptAll(plain).isEmpty()
 
 
+def test_sketches_merge_over_months_and_leave_out_what_is_missing(obs_of):
+    obs = obs_of(year("a", [float(v) for v in range(200)]) + [("none", "2003-01-01", None, None, None, None)])
+    got = {r.city: r for r in hot.thresholds(obs, exact=False).collect()}
+    assert got["a"].p50_uhi == 99.0 and got["a"].p95_urban_lst == 219.0 and got["none"].p90_uhi is None
+    ranks = {(r.city, r.level): r.error for r in hot.threshold_ranks(obs, hot.thresholds(obs, exact=False)).collect()}
+    assert ranks["a", "p90_uhi"] == 0 and ranks["none", "p90_uhi"] is None
+
+
 def test_approximate_thresholds_are_near_the_rank(spark):
-    obs = fx.obs(spark, "/root/testdata/sf0.01").select("city", rnd("UHI_Index", 4).alias("v"), "LST_Day_Urban")
+    obs = fx.obs(spark, "/root/testdata/sf0.01").select("city", "year", "month", rnd("UHI_Index", 4).alias("v"), "LST_Day_Urban")
     limits = hot.thresholds(obs.withColumnRenamed("v", "UHI_Index"), exact=False)
     ranks = obs.join(limits, "city").groupBy("city").agg(
         F.count("*").alias("n"), *[f(F.when(c(F.col("v"), F.col(name)), 1)).alias(f"{name}_{side}")

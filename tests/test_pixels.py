@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from thermalis.operators import pixels as pix
 from thermalis.plans import build_observations, pixels_to_observations
 from thermalis.schema import PIXELS, REGIONS
-from thermalis.sources import write_by_city
+from thermalis.sources import read_pixels, settle, write_by_city, write_pixels
 
 from conftest import rows_of
 
@@ -67,11 +68,16 @@ def test_months_without_images_are_filled(spark):
     px = pix.to_celsius(pix.qa_mask(pixels_of(spark, [
         ("2003-01-01", 0.0, 0.0, 0, 15000, 15000), ("2003-01-09", 0.0, 0.0, 0, 15100, 15000),
         ("2003-02-01", 1.0, 1.0, 1, 15000, 15000)])))
-    got = {(r.lon, r.year, r.month): r.LST_Day_C for r in pix.monthly_composite(px, (2003, 2004)).collect()}
+    composite = pix.monthly_composite(px, (2003, 2004))
+    got = {(r.lon, r.year, r.month): r.LST_Day_C for r in pix.filled_composite(composite, (2003, 2004)).collect()}
     assert got[0.0, 2003, 1] == pytest.approx(27.85) and got[1.0, 2003, 2] is None
     assert (1.0, 2003, 1) not in got and (0.0, 2003, 2) not in got
     assert len(got) == 2 + 2 * 22 and got[0.0, 2003, 3] == got[1.0, 2004, 12] == -9999.0
-    assert pix.monthly_composite(px, (2003, 2004), fill=None).count() == 2
+    assert composite.count() == 2
+    gaps = {(r.year, r.month) for r in pix.month_gaps(composite, (2003, 2004)).collect()}
+    assert gaps == {(y, m) for y in (2003, 2004) for m in range(1, 13)} - {(2003, 1), (2003, 2)}
+    whole = spark.createDataFrame([(0.0, 0.0, 2003, m, 1.0, 1.0) for m in range(1, 13)], composite.schema)
+    assert pix.filled_composite(whole, (2003, 2003)).count() == 12
 
 
 def test_missing_pixels_enter_the_zonal_mean_as_fill(spark, regions):
@@ -122,15 +128,95 @@ def test_collection_stats(spark):
     assert got.images == 2 and str(got.first_date) == "2003-01-01"
 
 
-def test_clipping_reaches_the_scan_and_keeps_the_zones(spark, regions, tmp_path):
+def test_clipping_reaches_the_scan(spark, regions, tmp_path):
     random.seed(5)
-    spots = [(random.uniform(9, 12), random.uniform(19, 22)) for _ in range(800)] + [(100.0, 20.0), (10.1, 80.0)]
-    spark.createDataFrame(spots, "lon double, lat double").write.parquet(str(tmp_path / "px"))
-    px = spark.read.parquet(str(tmp_path / "px"))
+    spots = [("2003-01-01", random.uniform(9, 12), random.uniform(19, 22), 0, 1, 1) for _ in range(800)]
+    pixels_of(spark, [*spots, ("2003-01-01", 100.0, 20.0, 0, 1, 1), ("2003-01-01", 10.1, 80.0, 0, 1, 1)]).write.parquet(str(tmp_path / "px"))
+    px, some = spark.read.parquet(str(tmp_path / "px")), regions.filter("city <> 'south'")
     for cell in (0.05, 0.25):
-        covered = pix.region_cells(regions.filter("city <> 'south'"), cell=cell)
-        near = pix.clipped(px, covered, cell)
-        assert 0 < near.count() < 800 and "GreaterThanOrEqual(lon," in near._jdf.queryExecution().toString()
-        assert rows_of(pix.zones(near, covered, cell=cell), "lon", "lat", "city", "zone") == rows_of(
-            pix.zones(px, covered, cell=cell), "lon", "lat", "city", "zone")
-    assert pix.clipped(px, covered.limit(0)).isEmpty()
+        near = pix.clipped(px, pix.region_cells(some, cell=cell))
+        assert 0 < near.count() < 800
+    assert pix.clipped(px, pix.region_cells(some).limit(0)).isEmpty()
+    masked = pix.to_celsius(pix.qa_mask(px))
+    for df in (pix.zonal_per_image(masked, some), pix.zone_composite(masked, some, (2003, 2003)), pix.zones(px, some)):
+        assert re.search(r"Filter .*lon#\d+ >= [\d.]+.*\n[ :]*\+- Relation", df._jdf.queryExecution().optimizedPlan().toString())
+
+
+def test_tiles_are_pruned_while_the_query_runs(spark, regions, tmp_path):
+    random.seed(6)
+    spots = [("2003-01-01", random.uniform(-180, 180), random.uniform(-89, 89), 0, 15000, 1) for _ in range(500)]
+    spots += [("2003-01-01", 10.3 + random.uniform(-1, 1), 20.2 + random.uniform(-1, 1), 0, 15000, 1) for _ in range(500)]
+    px = pixels_of(spark, spots)
+    write_pixels(px, str(tmp_path / "px"))
+    tiled, covered = read_pixels(spark, str(tmp_path / "px")), settle(pix.region_cells(regions), "cells")
+    found = pix.zones(tiled, covered)
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+    assert rows_of(found, "lon", "lat", "city", "zone") == rows_of(pix.zones(px, covered), "lon", "lat", "city", "zone")
+    read = found._jdf.queryExecution().executedPlan().toString()
+    assert tiled.count() == 1000 and "tile_x" in read
+    with pytest.raises(ValueError):
+        pix.in_tiles(tiled, covered, cell=0.7)
+
+
+def around(lon, lat, box):
+    return min(metres(lon + turn, lat, box) for turn in (-360, 0, 360))
+
+
+@pytest.mark.parametrize("cell", [0.25, 3.0])
+def test_zones_across_the_date_line(spark, cell):
+    random.seed(9)
+    table = [("edge", 179.9, 10.0, -179.8, 10.3), ("west", -180.0, 20.0, -179.7, 20.2), ("east", 179.75, -60.2, 180.0, -60.0),
+             ("north", 179.5, 80.0, 179.9, 80.2)]
+    boxes = {c: (x0, y0, x1 + 360 if x1 < x0 else x1, y1) for c, x0, y0, x1, y1 in table}
+    spots = [(random.choice([-1, 1]) * (180 - random.uniform(0, 2) ** 2), y + random.uniform(-0.5, 0.6)) for y in (10, 20, -60, 80) for _ in range(900)]
+    spots += [(180.0, 10.1), (-180.0, 10.1), (180.0, 20.1), (-180.0, -60.1), (0.0, 10.1)]
+    want = {(lon, lat, city, "urban" if around(lon, lat, box) == 0 else "rural") for lon, lat in spots for city, box in boxes.items()
+            if around(lon, lat, box) <= 20000}
+    px = spark.createDataFrame(spots, "lon double, lat double")
+    got = [tuple(r) for r in pix.zones(px, spark.createDataFrame(table, REGIONS), cell=cell).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len({r[2:] for r in got}) == 8
+
+
+def test_box_of_regions_on_both_sides_of_the_date_line(spark):
+    spots = [(lon, 0.0) for lon in (-179.95, -179.0, 0.0, 179.0, 179.95)]
+    px = spark.createDataFrame(spots, "lon double, lat double")
+
+    def kept(*table):
+        cells = pix.region_cells(spark.createDataFrame(list(table), REGIONS))
+        return sorted(r.lon for r in pix.clipped(px, cells).collect())
+
+    assert kept(("a", 179.9, -0.1, -179.9, 0.1)) == [-179.95, 179.95]
+    assert kept(("a", -179.99, -0.1, -179.9, 0.1)) == [-179.95, 179.95]
+    assert kept(("a", 178.9, -0.1, 179.1, 0.1)) == [179.0]
+    assert kept(("a", 178.9, -0.1, 179.1, 0.1), ("b", -179.99, -0.1, -179.9, 0.1)) == [s for s, _ in spots]
+
+
+def test_edge_pixels_count_by_their_share(spark):
+    box, size, k = (10.0, 20.0, 10.3, 20.2), (0.1, 0.05), 4
+    regions = spark.createDataFrame([("one", *box)], REGIONS)
+    random.seed(4)
+    spots = [(10.15 + random.uniform(-0.5, 0.5), 20.1 + random.uniform(-0.4, 0.4)) for _ in range(600)] + [(10.0, 20.1), (10.3, 20.2), (10.1, 20.1)]
+    want = {}
+    for lon, lat in spots:
+        w = max(0, min(lon + 0.05, box[2]) - max(lon - 0.05, box[0])) / 0.1
+        h = max(0, min(lat + 0.025, box[3]) - max(lat - 0.025, box[1])) / 0.05
+        points = [(lon + size[0] * ((i + 0.5) / k - 0.5), lat + size[1] * ((j + 0.5) / k - 0.5)) for i in range(k) for j in range(k)]
+        ring = sum(0 < metres(*p, box) <= 20000 for p in points) / k ** 2
+        want |= {(lon, lat, zone): share for zone, share in (("urban", w * h), ("rural", ring)) if share}
+    px = spark.createDataFrame(spots, "lon double, lat double")
+    got = {(r.lon, r.lat, r.zone): r.weight for r in pix.zones(px, regions, footprint=size).collect()}
+    assert got.keys() == want.keys() and all(got[x] == pytest.approx(want[x]) for x in want)
+    assert any(0 < w < 1 for w in want.values()) and got[10.1, 20.1, "urban"] == pytest.approx(1)
+    masked = spark.createDataFrame([("2003-01-01", lon, lat, lon + lat, 1.0) for lon, lat in spots],
+                                   "t string, lon double, lat double, LST_Day_C double, LST_Night_C double")
+    row, = pix.zonal_series(pix.zone_composite(masked, regions, (2003, 2003), footprint=size), (2003, 2003)).collect()
+    for name, zone in (("LST_Day_Urban", "urban"), ("LST_Day_Rural", "rural")):
+        own = [(x[0] + x[1], w) for x, w in want.items() if x[2] == zone]
+        assert row[name] == pytest.approx(sum(v * w for v, w in own) / sum(w for _, w in own))
+
+
+def test_the_composite_reads_the_pixels_once(spark, tmp_path):
+    pixels_of(spark, [("2003-01-01", 0.0, 0.0, 0, 1, 1)]).write.parquet(str(tmp_path / "p"))
+    px = pix.to_celsius(pix.qa_mask(spark.read.parquet(str(tmp_path / "p"))))
+    text = pix.monthly_composite(px, (2003, 2003))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan parquet") == 1

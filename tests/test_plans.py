@@ -1,14 +1,20 @@
 """Whole jobs, and the shape of the plans that matter at scale."""
 
 import math
+import re
+
+import pytest
+from pyspark.sql import functions as F
 
 from thermalis import fixtures as fx
 from thermalis.__main__ import main
 from thermalis.operators import hotspots as hot
 from thermalis.operators import pixels as pix
+from thermalis.operators.ordering import placed
 from thermalis.plans import build_observations
 from thermalis.schema import RESULTS
-from thermalis.sources import load_results, read_obs, settle, write_obs
+from thermalis.sources import durable
+from thermalis.sources import Publication, load_results, publish_tables, published, read_obs, remove_old_versions, scratch_run, settle, write_obs
 from thermalis.sources.durable import scratch_root
 
 SF = "/root/testdata/sf0.001"
@@ -45,10 +51,82 @@ def test_extreme_heat_reaches_the_scan(spark, tmp_path):
 def test_threshold_values_are_pruned_before_the_shuffle(spark):
     obs = fx.obs(spark, SF)
     text = plan(hot.thresholds(obs, targets=settle(hot.threshold_targets(obs), "targets")))
-    scan = text.split("Exchange hashpartitioning")[-1]
+    above = text[:text.index("lineitem.parquet")]
+    scan = above[above.rindex("Exchange hashpartitioning"):]
     assert "partial_count" in scan and "BroadcastHashJoin [key" in scan and text.count("lineitem.parquet") == 1
 
 
+def test_a_hot_bin_is_split_where_targets_are_not_broadcast(spark):
+    obs = fx.obs(spark, SF)
+    targets = settle(hot.threshold_targets(obs), "targets")
+    want = sorted(map(tuple, hot.thresholds(obs, targets=targets).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = hot.thresholds(obs, targets=targets)
+        text = plan(df)
+        counts = text[:text.index("SortMergeJoin [key#") if "SortMergeJoin [key#" in text else None]
+        assert "SortMergeJoin" in text and re.search(r"Exchange hashpartitioning\(key#\d+, measure#\d+, bin#\d+L?, value#\d+", text), counts
+        assert sorted(map(tuple, df.collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_third_of_all_rows_in_one_city_does_not_skew_the_sketches(spark):
+    rows = spark.range(30_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('c', id % 50) END AS city", "CAST(2003 + id % 1 AS INT) AS year",
+        "CAST(1 + id % 1 AS INT) AS month",
+        "CAST(hash(id) % 1000 AS DOUBLE) AS UHI_Index", "CAST(hash(id, 1) % 1000 AS DOUBLE) AS LST_Day_Urban").repartition(12)
+    sketches = hot.measure_sketches(rows, k=512)
+    text = plan(sketches)
+    assert re.search(r"Exchange hashpartitioning\(city#\d+, year#\d+, month#\d+, \w+#", text)
+    limits = hot.sketched_thresholds(settle(sketches, "sketches"), k=512, rounded=False)
+    worst = hot.threshold_ranks(rows, limits).agg({"error": "max"}).first()[0]
+    assert worst <= 0.03 and limits.count() == 51
+
+
+def test_places_are_gapless_and_no_task_numbers_all_rows(spark):
+    rows = [(i % 7 if i % 11 else None, f"n{i % 13}", i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "a int, b string, id int").repartition(5)
+    found = placed(df, F.desc_nulls_last("a"), "b", "id")
+    want = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1], r[2]))
+    assert [tuple(r)[:3] for r in sorted(found.collect(), key=lambda r: r.place)] == want
+    assert sorted(r.place for r in found.collect()) == list(range(1, 2001))
+    assert "SinglePartition" not in plan(found).split("BroadcastExchange")[0]
+    assert placed(df.limit(0), "a").collect() == []
+
+
+def tables_in(folder):
+    return [p for p in folder.rglob("*") if p.name.startswith("part-")]
+
+
+def test_a_failed_publication_leaves_the_old_tables(spark, tmp_path):
+    base = str(tmp_path / "out")
+    yearly = spark.createDataFrame([("a", 2003, 1.0)], "city string, year int, avg_uhi double")
+    publish_tables({"one": yearly, "two": yearly}, base)
+    failed = Publication(spark, base)
+    failed.write("one", yearly.withColumn("year", F.lit(2004)))
+    with pytest.raises(Exception):
+        failed.write("two", yearly.withColumn("year", F.raise_error(F.lit("stopped"))))
+    before = published(spark, base)
+    assert [r.year for r in spark.read.option("header", True).csv(before["one"]).collect()] == ["2003"]
+    publish_tables({"one": yearly.withColumn("year", F.lit(2005))}, base)
+    now = published(spark, base)
+    assert set(now) == {"one", "two"} and now["two"] == before["two"] and now["one"] != before["one"]
+    remove_old_versions(spark, base)
+    assert published(spark, base) == now and not (tmp_path / before["one"].removeprefix(str(tmp_path) + "/")).exists()
+
+
+def test_a_run_leaves_no_scratch_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(durable, "scratch_root", lambda spark: str(tmp_path))
+    with pytest.raises(RuntimeError), scratch_run(spark):
+        settle(spark.range(5), "numbers")
+        assert tables_in(tmp_path)
+        raise RuntimeError
+    assert not tables_in(tmp_path)
+    settle(spark.range(5), "numbers")
+    assert tables_in(tmp_path)
+
+
 def test_zones_join_is_a_hash_join(spark):
     cells = settle(pix.region_cells(fx.regions(spark, SF)), "cells")
     assert "BroadcastHashJoin" in plan(pix.zones(fx.pixels(spark, SF), cells))
@@ -69,8 +147,8 @@ def test_all_jobs(spark, tmp_path):
         main([job, *common, "--out", str(tmp_path / "steps")])
     main(["publish", *common, "--out", str(tmp_path / "whole"), "--format", "parquet"])
     reports = {"metrics", "prediction_errors", "forecast_summary", "feature_importance", "hotspot_summary"}
-    assert {p.name for p in (tmp_path / "steps").iterdir()} == set(RESULTS) | reports
-    assert {p.name for p in (tmp_path / "whole").iterdir()} == set(RESULTS) | reports
+    for out in ("steps", "whole"):
+        assert set(published(spark, str(tmp_path / out))) == set(RESULTS) | reports
     steps, whole = load_results(spark, str(tmp_path / "steps")), load_results(spark, str(tmp_path / "whole"), "parquet")
     for key in steps:
         a, b = steps[key], whole[key]
@@ -98,8 +176,9 @@ def test_period_mean_and_per_image_jobs(spark, tmp_path):
               "--regions", str(tmp_path / "regions.csv"), "--first-year", "2003", "--last-year", "2003"]
     for job in ("period_mean", "per_image"):
         main([job, *common])
-    mean = spark.read.parquet(str(tmp_path / "out/pixel_period_mean")).collect()
+    folders = published(spark, str(tmp_path / "out"))
+    mean = spark.read.parquet(folders["pixel_period_mean"]).collect()
     assert sorted((r.lon, round(r.mean_day_c, 2)) for r in mean) == [(73.7, 24.85), (73.8, 26.85)]
-    images = spark.read.parquet(str(tmp_path / "out/zonal_per_image")).collect()
+    images = spark.read.parquet(folders["zonal_per_image"]).collect()
     assert [(r.city, r.date, round(r.LST_Urban, 2), round(r.UHI_Index, 2)) for r in images] == [
         ("Here", "2003-03-01", 26.85, 2.0)]

@@ -13,6 +13,9 @@ MEASURED = UHI, URBAN = "UHI_Index", "LST_Day_Urban"
 # Stands for a null city in join keys.
 NO_CITY = "\u0000"
 
+#: Size of the percentile sketches (their ranks are off by about 2.3 / k ** 0.9), and tasks that share a hot city or month.
+SKETCH_K, SALTS = 4096, 16
+
 # Output column -> (measure, share in ten-thousandths, digits).
 LEVELS = {
     "p50_uhi": (UHI, 5000, 4),
@@ -24,41 +27,67 @@ LEVELS = {
 }
 
 
-def thresholds(obs: DataFrame, exact: bool = True, accuracy: int = 10000,
-               targets: DataFrame | None = None) -> DataFrame:
+def thresholds(obs: DataFrame, exact: bool = True, k: int = SKETCH_K, targets: DataFrame | None = None) -> DataFrame:
     """Rounded percentiles per city (the smallest value that covers the share).
 
     The exact form reads the observations twice, shuffles only counts and has no hot task. Its
-    first reading, ``threshold_targets``, is settled here unless given. The approximate form reads once,
-    but merges one sketch per city and input split in a single task per city.
+    first reading, ``threshold_targets``, is settled here unless given. The approximate form reads once and merges
+    the sketches of ``measure_sketches``.
     """
     if not exact:
-        return _approx_thresholds(obs, accuracy)
+        return sketched_thresholds(measure_sketches(obs, k), k)
     return _values_at(obs, settle(threshold_targets(obs), "targets") if targets is None else targets)
 
 
-def _approx_thresholds(obs, accuracy):
-    def sketch(measure):
-        shares = [F.lit(p / 10000) for m, p, _ in LEVELS.values() if m == measure]
-        return F.percentile_approx(measure, F.array(*shares), accuracy).alias(measure)
+def measure_sketches(obs: DataFrame, k: int = SKETCH_K, salts: int = SALTS) -> DataFrame:
+    """KLL sketches of both measures per city, year and month; they merge into those of any longer span.
+
+    The sketches that the tasks of the reading make are merged by salts first, so that no task merges those of a hot
+    month alone. Nulls and NaN are left out.
+    """
+    salt = F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt")
+    parts = obs.groupBy("city", "year", "month", salt).agg(*[F.kll_sketch_agg_double(m, k).alias(m) for m in MEASURED])
+    return parts.groupBy("city", "year", "month").agg(*[F.kll_merge_agg_double(m, k).alias(m) for m in MEASURED])
+
+
+def sketched_thresholds(sketches: DataFrame, k: int = SKETCH_K, rounded: bool = True) -> DataFrame:
+    """Percentiles per city from its months' sketches; a measure without values has none."""
+    whole = sketches.groupBy("city").agg(*[F.kll_merge_agg_double(m, k).alias(m) for m in MEASURED])
+
+    def level(measure, share, digits):
+        value = F.when(F.kll_sketch_get_n_double(measure) > 0, F.kll_sketch_get_quantile_double(measure, F.lit(share / 10000)))
+        return rnd(value, digits) if rounded else value
+
+    return whole.select("city", *[level(*of).alias(name) for name, of in LEVELS.items()])
+
+
+def threshold_ranks(obs: DataFrame, limits: DataFrame) -> DataFrame:
+    """city, level, n, wanted, error: how far each limit's rank is from the wanted one, as a share of the city's n values.
+
+    Limits are not rounded. Any rank that equal values share counts.
+    """
+    rows = obs.join(limits, "city")
+    counts = rows.groupBy("city").agg(*[agg.alias(f"{kind}_{name}") for name, (m, _, _) in LEVELS.items() for kind, agg in (
+        ("n", F.count(m)), ("below", F.count_if(F.col(m) < F.col(name))), ("upto", F.count_if(F.col(m) <= F.col(name))))])
+    each = F.array(*[F.struct(F.lit(name).alias("level"), F.lit(share).alias("share"), *[F.col(f"{kind}_{name}").alias(kind) for kind in ("n", "below", "upto")])
+                     for name, (_, share, _) in LEVELS.items()])
+    wanted = F.expr("(n * share + 9999) div 10000")
+    off = F.greatest(F.col("below") + 1 - F.col("wanted"), F.col("wanted") - F.col("upto"), F.lit(0))
+    return (counts.select("city", F.inline(each)).withColumn("wanted", wanted)
+            .select("city", "level", "n", "wanted", F.try_divide(off, "n").alias("error")))
+
 
-    found = obs.groupBy("city").agg(sketch(UHI), sketch(URBAN))
-    place = {UHI: 0, URBAN: 0}
-    columns = []
-    for name, (measure, _, digits) in LEVELS.items():
-        columns.append(rnd(F.col(measure)[place[measure]], digits).alias(name))
-        place[measure] += 1
-    return found.select("city", *columns)
+def _bin(value):
+    """The value's bin of 0.1 °C. Values beyond the range of the bins share the first or last, NaN the last."""
+    return F.when(F.isnan(value), F.lit(2 ** 63 - 1)).otherwise(F.floor(value * 10))
 
 
 def _by_measure(obs):
-    """One row per observation and measure (by number), with the value's bin of 0.1 °C."""
+    """One row per observation and measure (by number), with the value's bin."""
     pairs = F.array(*[F.struct(F.lit(i).alias("measure"), F.col(m).alias("value")) for i, m in enumerate(MEASURED)])
     rows = (obs.select(F.coalesce("city", F.lit(NO_CITY)).alias("key"), F.inline(pairs))
             .filter(F.col("value").isNotNull()))
-    value = F.col("value")
-    # Values beyond the range of the bins share the first or last, NaN the last.
-    return rows.withColumn("bin", F.when(F.isnan(value), F.lit(2 ** 63 - 1)).otherwise(F.floor(value * 10)))
+    return rows.withColumn("bin", _bin(F.col("value")))
 
 
 def threshold_targets(obs: DataFrame) -> DataFrame:
@@ -86,12 +115,22 @@ def _values_at(obs, targets):
     """The rounded values at the target positions.
 
     Only values in a target bin are counted, by their rounded value: rounding keeps the order, so
-    the rounded percentile is a percentile of the rounded values, of which a bin has at most 1000.
+    the rounded percentile is a percentile of the rounded values, of which a bin has at most 1000. A city's rows are
+    dealt over SALTS tasks where the targets are too large to broadcast, and are doubled only if both values count.
     """
-    value = F.when(F.col("measure") == MEASURED.index(UHI), rnd_rows("value", 4)).otherwise(rnd_rows("value", 2))
     keys = "key", "measure", "bin"
-    counts = (_by_measure(obs).join(targets.select(*keys), list(keys))
-              .groupBy(*keys, value.alias("value")).agg(F.count("*").alias("n")))
+    bins = targets.groupBy("key").agg(*[F.collect_set(F.when(F.col("measure") == i, F.col("bin"))).alias(f"bins_{i}") for i in range(len(MEASURED))])
+    bins = bins.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64(*MEASURED), F.lit(SALTS)).cast("int")
+    rows = obs.select(F.coalesce("city", F.lit(NO_CITY)).alias("key"), salt.alias("salt"), *MEASURED).join(bins, ["key", "salt"])
+
+    def hit(i, digits):
+        value = F.col(MEASURED[i])
+        return F.when(F.array_contains(f"bins_{i}", _bin(value)),
+                      F.struct(F.lit(i).alias("measure"), _bin(value).alias("bin"), rnd_rows(value, digits).alias("value")))
+
+    hits = rows.select("key", F.inline(F.array_compact(F.array(hit(0, 4), hit(1, 2)))))
+    counts = hits.groupBy(*keys, "value").agg(F.count("*").alias("n"))
     order = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = (counts.withColumn("upto", F.sum("n").over(order))
              .join(targets, list(keys)).select("key", "value", "n", "upto", F.inline("wanted"))

@@ -1,18 +1,22 @@
 """Filtered, pivoted and combined views for a dashboard."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from thermalis.functions import marker_color, marker_radius, month_name, rnd, season_order
 from thermalis.functions.fixed import CITY_COORDS, MONTH_NAMES
+from thermalis.operators.ordering import placed
 from thermalis.schema import COORDS
 
 
-def presented(df: DataFrame, *keys: str, desc: str | None = None) -> DataFrame:
-    """Global sort: by a measure descending, then by the keys."""
-    order = [F.asc(k) for k in keys]
-    return df.orderBy(*([F.desc(desc)] if desc else []), *order)
+def presented(df: DataFrame, *keys: str, desc: str | None = None, place: str | None = None) -> DataFrame:
+    """Global sort: by a measure descending, then by the keys.
+
+    With ``place`` that column has each row's place in the order, which a written table keeps.
+    """
+    order = [*([F.desc(desc)] if desc else []), *[F.asc(k) for k in keys]]
+    return df.orderBy(*order) if place is None else placed(df, *order, place=place)
 
 
 def head_n(df: DataFrame, n: int, *order) -> DataFrame:
@@ -43,8 +47,11 @@ def filter_options(rankings: DataFrame, yearly: DataFrame) -> DataFrame:
     options = (rankings.select(F.lit("city").alias("option"), F.col("city").alias("value"))
                .unionByName(yearly.select(F.lit("year").alias("option"), F.col("year").cast("string").alias("value")))
                .filter(F.col("value").isNotNull()).distinct())
-    place = F.row_number().over(Window.partitionBy("option").orderBy("value"))
-    return (options.withColumn("place", place)
+    rows = placed(options, "option", "value", place="all_places")
+    first = rows.groupBy("option").agg(F.min("all_places").alias("first"))
+    # One row for each of the two options.
+    return (rows.join(F.broadcast(first), "option")
+            .select("option", "value", (F.col("all_places") - F.col("first") + 1).cast("int").alias("place"))
             .withColumn("preselected", (F.col("option") == "city") & (F.col("place") <= 5)))
 
 

@@ -1,7 +1,7 @@
 """Whole analyses. Each reads its input as few times as it can, through settled intermediate tables.
 
-Every result is a lazy DataFrame; only the small shared tables (and alerts, when written) are
-materialised here.
+Results are lazy DataFrames, but for the small shared tables (thresholds, floors, month sums), which are settled
+here, and places in an order.
 """
 
 from dataclasses import dataclass
@@ -19,9 +19,7 @@ from thermalis.operators import serving as srv
 from thermalis.operators import temporal as tmp
 from thermalis.operators.ingest import clean
 from thermalis.schema import SERVED
-from thermalis.sources import (
-    clean_export, read_obs, read_raw, read_result, settle, write_obs, write_result,
-)
+from thermalis.sources import Publication, clean_export, read_obs, read_raw, scratch_run, settle, write_obs
 
 Results = dict[str, DataFrame]
 
@@ -160,35 +158,40 @@ def serving_views(results: Results, cities=None, years=None, coords: DataFrame |
 
 
 def pixels_to_observations(px: DataFrame, regions: DataFrame, years: tuple[int, int],
-                           fill: float | None = MISSING_C) -> DataFrame:
+                           fill: float | None = MISSING_C, footprint: tuple[float, float] | None = None) -> DataFrame:
     """Raw pixels of whole years to monthly rows per city, as the raw exports hold them.
 
-    With ``fill`` every region has a row for every month, also one without pixels.
+    With ``fill`` every region has a row for every month, also one without pixels. With the pixels' footprint, pixels
+    on the edge of a zone count by their share in it. A tiled pixel table is read only where regions are.
     """
-    covered = settle(pix.region_cells(regions), "region-cells")
-    masked = pix.to_celsius(pix.qa_mask(pix.clipped(px, covered)))
-    composite = settle(pix.zone_composite(masked, covered, years), "composite")
+    covered = settle(pix.region_cells(regions, footprint=footprint or (0.0, 0.0)), "region-cells")
+    composite = settle(pix.zone_composite(pix.to_celsius(pix.qa_mask(px)), covered, years, footprint=footprint), "composite")
     return pix.zonal_series(composite, years, fill, regions)
 
 
 def publish(spark: SparkSession, raw_path, obs_path: str, out: str, fmt: str = "csv",
             sentinel: float | None = None, partitions: int = fc.PARTITIONS,
             max_bins: int = fc.MAX_BINS) -> PipelineModel:
-    """Everything from CSV exports to the published tables under ``out``; returns the fitted model."""
+    """Everything from CSV exports to the published tables under ``out``; returns the fitted model.
+
+    Readers of ``out`` see the new tables together once all are written. No scratch table is left.
+    """
     write_obs(build_observations(spark, raw_path, sentinel), obs_path)
     obs = read_obs(spark, obs_path)
-    source = settled_cells(obs)
-    temporal = temporal_analysis(source)
-    future = forecast_pipeline(source, temporal["uhi_rate_of_change"], partitions=partitions, max_bins=max_bins)
-    tables = {
-        "uhi_all_clean": clean_export(obs),
-        **core_analysis(source),
-        **hotspot_tables(obs, source),
-        **temporal,
-        **future.results,
-    }
-    for name, table in tables.items():
-        write_result(table, f"{out}/{name}", fmt)
-    for name, table in alert_reports(read_result(spark, out, "hotspot_alerts", fmt)).items():
-        write_result(table, f"{out}/{name}", fmt)
+    with scratch_run(spark):
+        source = settled_cells(obs)
+        temporal = temporal_analysis(source)
+        future = forecast_pipeline(source, temporal["uhi_rate_of_change"], partitions=partitions, max_bins=max_bins)
+        tables = {
+            "uhi_all_clean": clean_export(obs),
+            **core_analysis(source),
+            **hotspot_tables(obs, source),
+            **temporal,
+            **future.results,
+        }
+        publication = Publication(spark, out, fmt)
+        written = {name: publication.write(name, table) for name, table in tables.items()}
+        for name, table in alert_reports(written["hotspot_alerts"]).items():
+            publication.write(name, table)
+        publication.commit()
     return future.model
