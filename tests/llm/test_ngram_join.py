@@ -79,14 +79,34 @@ def test_sketches_never_overstate_the_difference():
         if n:
             assert ngram_join.least_difference(ngram_join.sketch(a), ngram_join.sketch(b)) <= true
             assert ngram_join.least_difference(ngram_join.sketch(a), ngram_join.sketch(a)) == 0
-        if min(n, m) > 16 * ngram_join.SMALL:
-            small = [ngram_join.small_sketch(ngram_join.sketch(s)) for s in (a, b)]
-            assert np.bitwise_count(small[0] ^ small[1]).sum() <= true
-    assert ngram_join.small_sketch(b"").tolist() == [0] * ngram_join.SMALL
 
 
-def test_the_number_of_turns_changes_nothing(spark, monkeypatch):
+def test_turns_and_list_lengths_change_nothing(spark, monkeypatch):
     rows = groups()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    monkeypatch.setattr(ngram_join, "TURNS", 1)
+    want = brute(rows)
+    for turns, short, most, sample in ((0, 1, 3, 1), (1, 2, 12, 3)):
+        for name, value in (("TURNS", turns), ("SHORT", short), ("MOST", most), ("SAMPLE", sample)):
+            monkeypatch.setattr(ngram_join, name, value)
+        assert sorted(tuple(r) for r in ngram_join.cluster(docs).collect()) == want
+
+
+def test_many_variants_of_one_text_that_do_not_link(spark, monkeypatch):
+    """All share most shingles with all, but only those of one variant link: no list may be compared pair by pair."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for v in range(40):
+        variant = list(base)
+        for i in rng.sample(range(120), 5):
+            variant[i] = f"v{v}x{i}"
+        for c in range(4):
+            words = list(variant)
+            words[rng.randrange(120)] = f"c{v}x{c}"
+            rows.append((len(rows), " ".join(words)))
+    made = []
+    plain = ngram_join.short_pairs
+    monkeypatch.setattr(ngram_join, "short_pairs", lambda *a: made.append(plain(*a)) or made[-1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(tuple(r) for r in ngram_join.cluster(docs).collect()) == brute(rows)
+    assert sum(df.count() for df in made) < 8 * len(rows)

@@ -11,7 +11,7 @@ from xxhash import xxh3_64_intdigest
 from thermalis.sources.durable import scratch_path, settle
 
 __all__ = ["BATCH_BYTES", "bounded_batches", "documents", "mix", "pages", "scratch_path", "settle", "streamed_sha256",
-           "text_bytes", "word_hashes"]
+           "text_bytes", "without", "word_hashes"]
 
 #: Bytes of a pack of contents that are hashed together.
 PACK = 1 << 20
@@ -119,3 +119,9 @@ def streamed_sha256(rows: DataFrame, keys: list[str], place: str, separator: byt
               .mapInArrow(lambda batches: batches_of(packs(rows_of(batches)), pack_schema), f"{kinds}, place long, content binary"))
     return (packed.repartition(parts, *keys).sortWithinPartitions(*keys, "place").select(names)
             .mapInArrow(lambda batches: batches_of(digests(rows_of(batches)), hash_schema), f"{kinds}, sha256 string"))
+
+
+def without(docs: DataFrame, gone: DataFrame, id_column: str, label: str) -> DataFrame:
+    """The rows of docs whose id is not in gone, a table of ids alone; rows without an id stay. All columns are kept,
+    whatever their names."""
+    return docs.join(settle(gone.select(id_column).where(F.col(id_column).isNotNull()), label), id_column, "left_anti").select(*docs.columns)

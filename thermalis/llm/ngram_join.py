@@ -1,13 +1,18 @@
 """Exact n-gram Jaccard join with set-relation skipping, down to connected components.
 
-Documents with equal shingle sets are one class. A class's shingles have one order everywhere (frequent ones last, else
-by hash), and only the first of them, enough for the threshold, are indexed. The index's lists are skipped in three ways:
+Documents with equal shingle sets are one class. A class's shingles have one order everywhere (rare ones by hash, then
+the frequent ones by their counts), and only the first of them, enough for the threshold, are indexed. The index's lists are skipped in four ways:
 
 * by equality: shingles that the same documents have are one list;
-* by position and size: lists are cut in blocks of similar set sizes, only blocks that can hold links meet, and the
+* by position and size: long lists are cut in blocks of similar set sizes, only blocks that can hold links meet, and the
   places of the common shingle bound the overlap;
-* by answers: first every list is compared with one set of its own, its pivot, then with another. Sets that the pivot's answers already
-  connect need no comparison with each other, which leaves the pairs of different components.
+* by leaders: first every set is compared with the one pivot of its lists that shares most indexed shingles with it. Lists
+  whose sets these answers already connect need no comparison;
+* by differences: the sets of a long list that is left are compared with a reference set that most of them resemble. Let
+  D be a set's difference to it. Two sets whose D are small enough link for certain, and then both link with the set that
+  is nearest to the reference: that one's answers stand for theirs. Two others link only if their D share shingles, so
+  they meet in an index of the first shingles of D, enough for the threshold. Its lists are treated like the index's own,
+  and are shorter, as most sets lack most of any set's D. Only short lists are compared pair by pair.
 
 A candidate pair first meets in its parity sketches: every shingle flips one bit, so two sketches differ in no more
 bits than the sets differ in shingles. What the sketches cannot refute is compared on the whole sets.
@@ -17,11 +22,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from thermalis.llm.common import bounded_batches, mix, settle, text_bytes, word_hashes
+from thermalis.llm.common import bounded_batches, mix, settle, text_bytes, without, word_hashes
 
 WORDS, PART, WHOLE = 4, 85, 100
 #: Shingles of this many documents of one batch are reported, and those of most documents are ordered last. Any choice
@@ -29,10 +34,9 @@ WORDS, PART, WHOLE = 4, 85, 100
 REPORTED, ORDERED = 4, 100_000
 #: log2 of the bit map of classes that have a candidate.
 MAP_BITS = 23
-#: So many pivots of each list are tried before the pairs that are left. Any number gives the same components.
-TURNS = 2
-#: Places of the small sketch that travels with the lists, in words of 64 bits.
-SMALL = 8
+#: So often every set is compared with a leader. Lists of at most SHORT sets are compared pair by pair, and all that are left
+#: after MOST turns of differences. SAMPLE sets make a reference. Any numbers give the same components.
+TURNS, SHORT, MOST, SAMPLE = 2, 8, 12, 9
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -70,14 +74,6 @@ def least_difference(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(folded(long, len(short)) ^ short).sum())
 
 
-def small_sketch(whole: bytes) -> np.ndarray:
-    """The sketch folded to SMALL words; for the least sets, some words stay 0."""
-    small = np.zeros(8 * SMALL, np.uint8)
-    held = folded(np.frombuffer(whole, np.uint8), min(len(whole), len(small))) if whole else small
-    small[:len(held)] = held
-    return small.view(np.int64)
-
-
 def texts_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return docs.select(F.col(id_column).cast("long").alias("doc"), text_bytes(text_column).alias("content"))
 
@@ -96,22 +92,35 @@ def frequent(rows: DataFrame, k: int) -> list[int]:
     return [r.token for r in counted.orderBy(F.desc("n"), "token").limit(ORDERED).collect()]
 
 
+class Order:
+    """The common order of shingles: those that are not frequent by hash, then the frequent ones, the most frequent last."""
+
+    def __init__(self, most_frequent_first: list[int]):
+        tokens = np.array(most_frequent_first, np.int64).view(np.uint64)
+        place = np.argsort(tokens)
+        self.often, self.rank = tokens[place], -place
+
+    def sort(self, tokens: np.ndarray) -> np.ndarray:
+        """Sorted shingles in the common order."""
+        if not len(self.often) or not len(tokens):
+            return tokens
+        at = np.minimum(np.searchsorted(self.often, tokens), len(self.often) - 1)
+        late = self.often[at] == tokens
+        return np.concatenate((tokens[~late], tokens[late][np.argsort(self.rank[at[late]])]))
+
+
 def prefixes(rows: DataFrame, k: int, part: int, whole: int, last: list[int]) -> DataFrame:
     """doc, n, digest and sketch of the set, and its first shingles in the common order: n - ceil(n * part / whole) + 1."""
-    shared = rows.sparkSession.sparkContext.broadcast(np.sort(np.array(last, np.int64).view(np.uint64)))
+    shared = rows.sparkSession.sparkContext.broadcast(Order(last))
 
     def run(batches):
-        often = shared.value
+        order = shared.value
         for batch in batches:
             out = [[], [], [], [], []]
             for key, text in zip(*(c.to_pylist() for c in batch.columns)):
                 tokens = shingles(text, k)
                 n = len(tokens)
-                if len(often) and n:
-                    late = often[np.minimum(np.searchsorted(often, tokens), len(often) - 1)] == tokens
-                    ordered = np.concatenate((tokens[~late], tokens[late]))
-                else:
-                    ordered = tokens
+                ordered = order.sort(tokens)
                 first = ordered[:n + (-n * part // whole) + 1] if n else ordered
                 for column, value in zip(out, (key, n, xxh3_128_digest(tokens.tobytes()), sketch(tokens), first.view(np.int64))):
                     column.append(value)
@@ -151,63 +160,112 @@ def can_link(part: int, whole: int) -> Column:
             & ((part + whole) * overlap >= part * (F.col("n") + F.col("b_n"))))
 
 
-def promising(common: DataFrame, part: int, whole: int) -> DataFrame:
-    """The pairs a, b that can still link; the rows of a pair stand for all m indexed shingles that both have."""
-    pairs = common.groupBy("a", "b", "n", "b_n").agg(F.sum("m").alias("m"), F.max("at").alias("at"), F.max("b_at").alias("b_at"))
-    # Whatever else is common comes after the last indexed one.
-    overlap = F.col("m") + F.least(F.col("n") - F.col("at"), F.col("b_n") - F.col("b_at")) - 1
-    return pairs.where((part + whole) * overlap >= part * (F.col("n") + F.col("b_n"))).select("a", "b")
+def merged(lists: DataFrame) -> DataFrame:
+    """list, rep, n, at, m: shingles that the same documents have become one list.
+
+    m is the number of its shingles, at the place of the last one. Lists are numbered by hashes; two that get one
+    number are compared together, which changes no result.
+    """
+    one, two = F.xxhash64("rep"), F.xxhash64(F.lit(7), "rep")
+    members = (lists.groupBy("token").agg(F.bit_xor(one).alias("x"), F.bit_xor(two).alias("y"), F.count(F.lit(1)).alias("c"))
+               .where("c > 1").select("token", F.xxhash64("x", "y", "c").alias("list")))
+    return lists.join(members, "token").groupBy("list", "rep", "n").agg(F.max("at").alias("at"), F.count(F.lit(1)).cast("int").alias("m"))
+
 
+def mixed_lists(lists: DataFrame, labels: DataFrame | None, label: str) -> DataFrame:
+    """list, rep, n, at, m, size: the lists that hold different components, with their number of sets; without labels all
+    that hold two sets."""
+    own = lists.select("list", "rep", "n", "at", "m")
+    marked = own.withColumn("component", F.col("rep"))
+    if labels is not None:
+        marked = own.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    mixed = (marked.groupBy("list").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"))
+             .where("lo < hi").select("list", "size"))
+    return settle(marked.join(mixed, "list").select("list", "rep", "n", "at", "m", "component", "size"), label)
 
-def small_sketches(sets: DataFrame) -> DataFrame:
-    """doc, small (SMALL numbers) of sets with doc, sketch."""
-    def run(batches):
-        for batch in batches:
-            small = [small_sketch(s) for s in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(small, pa.list_(pa.int64()))], names=["doc", "small"])
 
-    return settle(sets.select("doc", "sketch").mapInArrow(run, "doc long, small array<long>"), "small-sketches")
+def leaders(lists: DataFrame, turn: int, part: int, whole: int) -> DataFrame:
+    """a, b: every set with that pivot of its lists that has most indexed shingles in common with it, others each turn."""
+    first = F.min(F.struct(F.xxhash64(F.lit(turn), "rep"), "n", "rep", "at", "component")).alias("pivot")
+    pivots = lists.groupBy("list").agg(first).select("list", *[F.col(f"pivot.{c}").alias(name) for c, name in (
+        ("n", "b_n"), ("rep", "b"), ("at", "b_at"), ("component", "b_component"))])
+    met = lists.join(pivots, "list").where((F.col("component") != F.col("b_component")) & can_link(part, whole))
+    common = met.groupBy(F.col("rep").alias("a"), "b").agg(F.sum("m").alias("m"))
+    return settle(common.groupBy("a").agg(F.max_by("b", F.struct("m", "b")).alias("b")), "leader-pairs")
 
 
-def not_refuted(part: int, whole: int) -> Column:
-    """Whether the small sketches of a (n, small) and b (b_n, b_small) allow a link. Sketches of different lengths say nothing."""
-    d = sum((F.bit_count(F.col("small")[i].bitwiseXOR(F.col("b_small")[i])) for i in range(SMALL)), F.lit(0))
-    n = F.col("n") + F.col("b_n")
-    full = F.least("n", "b_n") > 16 * SMALL  # both are folded to all words then
-    return ~full | (whole * (n - d) >= part * (n + d))
+def short_pairs(lists: DataFrame, part: int, whole: int) -> DataFrame:
+    """a, b: the pairs of different components in the same list that sizes and places allow. For short lists."""
+    other = lists.select("list", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("at").alias("b_at"), F.col("component").alias("b_component"))
+    return (lists.join(other, "list")
+            .where((F.col("rep") < F.col("b")) & (F.col("component") != F.col("b_component")) & can_link(part, whole))
+            .select(F.col("rep").alias("a"), "b").distinct())
 
 
-def merged(lists: DataFrame) -> DataFrame:
-    """token, rep, n, at, m: shingles that the same documents have become one list; token stands for its documents.
+def size_blocks(lists: DataFrame, part: int, whole: int) -> DataFrame:
+    """The rows of long lists in lists of two neighbouring blocks of sizes each; sets that can link are in one of them."""
+    block = F.floor(F.log("n") / math.log(whole / part)) if part < whole else F.col("n").cast("long")
+    return (lists.withColumn("block", F.explode(F.array(block, block - 1))).withColumn("list", F.xxhash64("list", "block"))
+            .select("list", "rep", "n", "at", "m"))
+
+
+def grouped(lists: DataFrame, turn: int) -> DataFrame:
+    """leader, rep, n: the sets of all long lists of the index that have the same pivot; later, of each long list."""
+    if turn:
+        return settle(lists.select(F.col("list").alias("leader"), "rep", "n"), "difference-groups")
+    pivots = lists.groupBy("list").agg(F.min(F.struct(F.xxhash64("rep"), "rep")).alias("pivot"))
+    return settle(lists.join(pivots, "list").select(F.col("pivot.rep").alias("leader"), "rep", "n").distinct(), "difference-groups")
 
-    m is the number of its shingles, at the place of the last one. Lists are told apart by 126 bits of hashes and their
-    length.
+
+def references(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """leader, reference: the shingles of most of a group's first SAMPLE sets, by hash."""
+    place = F.row_number().over(Window.partitionBy("leader").orderBy(F.xxhash64("rep"), "rep"))
+    some = groups.withColumn("place", place).where(F.col("place") <= SAMPLE).select("leader", "rep")
+    sizes = some.groupBy("leader").agg(F.count(F.lit(1)).alias("of"))
+    counts = (some.join(sets, "rep").select("leader", F.explode("tokens").alias("token")).groupBy("leader", "token").agg(F.count(F.lit(1)).alias("c"))
+              .join(sizes, "leader").where("2 * c > of"))
+    return settle(counts.groupBy("leader").agg(F.collect_list("token").alias("reference")), "references")
+
+
+def differences(groups: DataFrame, sets: DataFrame, last: list[int], part: int, whole: int) -> DataFrame:
+    """leader, rep, n, weight, first: the first shingles of each set's difference D to the reference of its group.
+
+    Two sets of sizes n link if, and without common shingles of D only if, their weights (whole + part) * |D| -
+    (whole - part) * n sum up to 0 or less. Else D must share |D| - n * (whole - part) / part shingles or more, and one.
     """
-    one, two = F.xxhash64("rep"), F.xxhash64(F.lit(7), "rep")
-    members = (lists.groupBy("token").agg(F.bit_xor(one).alias("x"), F.sum(F.pmod(one, F.lit(1 << 31))).alias("s"),
-                                          F.sum(F.pmod(two, F.lit(1 << 31))).alias("t"), F.count(F.lit(1)).alias("c"))
-               .where("c > 1").select("token", F.struct("x", "s", "t", "c").alias("members")))
-    return (lists.join(members, "token").groupBy(F.col("members").alias("token"), "rep", "n")
-            .agg(F.max("at").alias("at"), F.count(F.lit(1)).alias("m")))
+    shared = groups.sparkSession.sparkContext.broadcast(Order(last))
 
+    def run(batches):
+        order = shared.value
+        for batch in batches:
+            leaders, reps, sizes = (batch.column(c) for c in (0, 1, 2))
+            weights, firsts = [], []
+            for n, tokens, reference in zip(sizes.to_pylist(), batch.column(3), batch.column(4)):
+                own = tokens.values.to_numpy().view(np.uint64)
+                most = np.sort(reference.values.to_numpy().view(np.uint64)) if reference.is_valid else own[:0]
+                d = order.sort(np.setxor1d(own, most, assume_unique=True))
+                weights.append((whole + part) * len(d) - (whole - part) * n)
+                firsts.append(d[:n * (whole - part) // part + 1].view(np.int64))
+            yield pa.RecordBatch.from_arrays([leaders, reps, sizes, pa.array(weights, pa.int64()), pa.array(firsts, pa.list_(pa.int64()))],
+                                             names=["leader", "rep", "n", "weight", "first"])
 
-def mixed_lists(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """token, rep, n, at, m, component of the lists with different components; without labels each rep is its own."""
-    own = lists.select("token", "rep", "n", "at", "m")
-    if labels is None:
-        return settle(own.withColumn("component", F.col("rep")), "shingle-lists")
-    marked = own.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = (marked.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token"))
-    return settle(marked.join(mixed, "token"), "shingle-lists")
+    rows = groups.join(sets, "rep").join(references(groups, sets), "leader", "left").select("leader", "rep", "n", "tokens", "reference")
+    return settle(rows.mapInArrow(run, "leader long, rep long, n int, weight long, first array<long>"), "differences")
 
 
-def pivot_pairs(lists: DataFrame, turn: int, part: int, whole: int) -> DataFrame:
-    """a, b: every set of a list with the list's pivot b, another one in each turn, if their components differ."""
-    first = F.min(F.struct(F.xxhash64(F.lit(turn), "rep"), "n", "rep", "at", "component")).alias("pivot")
-    pivots = lists.groupBy("token").agg(first).select("token", *[F.col(f"pivot.{c}").alias(name) for c, name in (
-        ("n", "b_n"), ("rep", "b"), ("at", "b_at"), ("component", "b_component"))])
-    met = lists.join(pivots, "token").where((F.col("component") != F.col("b_component")) & can_link(part, whole))
-    return settle(met.select(F.col("rep").alias("a"), "b").distinct(), "pivot-pairs")
+def nearest_links(found: DataFrame) -> DataFrame:
+    """a, b: the sets that link for certain with their group's nearest set to the reference."""
+    nearest = found.groupBy("leader").agg(F.min(F.struct("weight", "rep")).alias("nearest"))
+    met = found.join(nearest, "leader").where((F.col("rep") != F.col("nearest.rep")) & (F.col("weight") + F.col("nearest.weight") <= 0))
+    return met.select(F.col("nearest.rep").alias("a"), F.col("rep").alias("b"))
+
+
+def difference_lists(found: DataFrame, turn: int) -> DataFrame:
+    """list, rep, n, at, m: the index of the differences of all groups. Places say nothing here."""
+    entries = found.select("leader", "rep", "n", F.explode("first").alias("token"))
+    common = entries.groupBy("leader", "token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("leader", "token")
+    return (entries.join(common, ["leader", "token"])
+            .select(F.xxhash64(F.lit(turn), "leader", "token").alias("list"), "rep", "n", F.lit(0).alias("at"), F.lit(1).alias("m")))
 
 
 def plausible(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
@@ -223,10 +281,8 @@ def plausible(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataF
     return met.select("a", "b", "n", "b_n", "x", "y").mapInArrow(run, "a long, b long").distinct()
 
 
-def linked(pairs: DataFrame, rows: DataFrame, k: int, part: int, whole: int) -> DataFrame:
-    """The pairs a, b of a settled table whose sets have whole * intersection >= part * union."""
-    ends = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
-    sets = whole_sets(rows, ends, k, MAP_BITS)
+def linked(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
+    """The pairs a, b whose sets (rep, tokens) have whole * intersection >= part * union."""
     both = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("tokens").alias("a_tokens")), "a")
             .join(sets.select(F.col("rep").alias("b"), F.col("tokens").alias("b_tokens")), "b"))
     common = F.size(F.array_intersect("a_tokens", "b_tokens"))
@@ -234,6 +290,10 @@ def linked(pairs: DataFrame, rows: DataFrame, k: int, part: int, whole: int) ->
             .where(whole * F.col("common") >= part * (F.size("a_tokens") + F.size("b_tokens") - F.col("common"))).select("a", "b"))
 
 
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
+
+
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """rep, component: the smallest rep that is reachable, for all ends of the edges a, b."""
     both = settle(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
@@ -265,7 +325,8 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = texts_of(docs, id_column, text_column)
-    sets = prefixes(rows, k, part, whole, frequent(rows, k))
+    last = frequent(rows, k)
+    sets = prefixes(rows, k, part, whole, last)
     known = sets.where("doc IS NOT NULL AND n > 0")
     classes = settle(known.groupBy("digest").agg(F.min("doc").alias("rep")), "shingle-classes")
     copies = settle(known.select("doc", "digest").join(classes, "digest").where("doc != rep").select("doc"), "shingle-copies")
@@ -274,35 +335,41 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     entries = known.select(F.col("doc").alias("rep"), F.col("n").cast("int").alias("n"), F.posexplode("first").alias("at", "token"))
     lists = settle(entries.join(shared, "token"), "shingle-index")
     lists = settle(merged(lists.join(copies, F.col("rep") == F.col("doc"), "left_anti")), "shingle-merged")
-    links = compared = labels = None
+    links = labels = None
+
+    def join_up(found):
+        nonlocal links, labels
+        found = settle(found, "links")
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            labels = components(spark, links)
+
     for turn in range(TURNS):
-        lists = mixed_lists(lists, labels)
-        pairs = pivot_pairs(lists, turn, part, whole)
-        compared = pairs if compared is None else compared.unionByName(pairs)
-        common = (pairs.join(lists.select("token", F.col("rep").alias("a"), "n", "at", "m"), "a")
-                  .join(lists.select("token", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("at").alias("b_at")), ["b", "token"]))
-        candidates = settle(plausible(promising(common, part, whole), known, part, whole), "pivot-candidates")
-        found = settle(linked(candidates, rows, k, part, whole), "pivot-links")
-        links = found if links is None else links.unionByName(found)
-        labels = components(spark, links)
-    # What is left are pairs of different components in one list; size blocks of equal ratio meet themselves and the next.
-    step = math.log(whole / part) if part < whole else 1.0
-    marked = (mixed_lists(lists, labels).withColumn("block", F.floor(F.log("n") / step).cast("int"))
-              .join(small_sketches(known).withColumnRenamed("doc", "s_doc"), F.col("rep") == F.col("s_doc")).drop("s_doc"))
-    marked = settle(marked, "shingle-rest")
-    other = marked.select("token", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("at").alias("b_at"),
-                          F.col("component").alias("b_component"), F.col("small").alias("b_small"),
-                          F.explode(F.array(F.col("block"), F.col("block") - 1)).alias("block"))
-    left = (marked.join(other, ["token", "block"])
-            .where((F.col("component") != F.col("b_component")) & can_link(part, whole) & not_refuted(part, whole)
-                   & ((F.col("n") < F.col("b_n")) | ((F.col("n") == F.col("b_n")) & (F.col("rep") < F.col("b")))))
-            .select(F.col("rep").alias("a"), "b", "n", "at", "b_n", "b_at", "m"))
-    left = promising(left, part, whole).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    seen = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    left = settle(plausible(left.join(seen, ["a", "b"], "left_anti"), known, part, whole), "rest-pairs")
-    more = settle(linked(left, rows, k, part, whole), "rest-links")
-    if not more.isEmpty():
-        labels = components(spark, links.unionByName(more))
+        lists = mixed_lists(lists, labels, "shingle-lists")
+        pairs = settle(plausible(leaders(lists, turn, part, whole), known, part, whole), "leader-candidates")
+        join_up(linked(pairs, whole_sets(rows, ends_of(pairs), k, MAP_BITS), part, whole))
+    for turn in range(MOST + 1):
+        lists = mixed_lists(lists, labels, "lists-left")
+        if lists.isEmpty():
+            break
+        short, long = lists, None
+        if turn < MOST:
+            blocks = mixed_lists(size_blocks(lists.where(F.col("size") > SHORT), part, whole), labels, "size-blocks")
+            short = lists.where(F.col("size") <= SHORT).unionByName(blocks.where(F.col("size") <= SHORT))
+            long = grouped(blocks.where(F.col("size") > SHORT), turn)
+        pairs = settle(plausible(short_pairs(short, part, whole), known, part, whole), "short-candidates")
+        wanted = ends_of(pairs) if long is None else ends_of(pairs).unionByName(long.select("rep"))
+        whole_texts = whole_sets(rows, wanted, k, MAP_BITS)
+        found = linked(pairs, whole_texts, part, whole)
+        if long is not None:
+            apart = differences(long, whole_texts, last, part, whole)
+            found = found.unionByName(nearest_links(apart))
+            lists = settle(difference_lists(apart, turn), "difference-lists")
+        join_up(found)
+        if long is None:
+            break
+    if labels is None:
+        labels = spark.createDataFrame([], "rep long, component long")
     found = (sets.select("doc", "n", "digest").join(classes, "digest", "left")
              .join(labels.withColumnRenamed("rep", "l_rep"), F.col("rep") == F.col("l_rep"), "left"))
     component = F.when((F.col("n") > 0) & F.col("doc").isNotNull(), F.coalesce("component", "rep")).otherwise(F.col("doc"))
@@ -313,5 +380,5 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
                 whole: int = 100) -> DataFrame:
     """docs with the row of the smallest id of each component, all columns as they are. Rows without an id stay."""
     found = cluster(docs, id_column, text_column, k, part, whole)
-    gone = settle(found.where(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("gone_id")).distinct(), "near-copies")
-    return docs.join(gone, docs[id_column] == F.col("gone_id"), "left_anti").select(*docs.columns)
+    gone = found.where(F.col(id_column) != F.col("component_id")).select(F.col(id_column)).distinct()
+    return without(docs, gone, id_column, "near-copies")
