@@ -28,7 +28,7 @@ SHORT = 64
 #: Rows that go through their trees side by side, so that they stay in the processor's cache.
 TOGETHER = 8192
 #: Cached pieces per worker, of about 200 bytes each.
-CACHED = 1_000_000
+CACHED = 400_000
 #: Characters of texts that are encoded together.
 SLICE = 2 << 20
 
@@ -218,11 +218,11 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [text.split(" ") for text in texts]
         words = set().union(*(c[1:] for c in cut))
-        odd = {w for w in words - self.known.keys() if not w or w[0] in self.white}
+        odd = {w for w in words if w not in self.known and (not w or w[0] in self.white)}
         if odd:
             cut = [c if odd.isdisjoint(c[1:]) else self.cut.split(text) for c, text in zip(cut, texts)]
             words = set().union(*(c[1:] for c in cut))
-        missing = words - self.known.keys()
+        missing = {w for w in words if w not in self.known}
         if len(self.known) + len(missing) > self.cached:
             self.known = {w: self.known[w] for w in words - missing}
         fresh, starts = list(missing), list({c[0] for c in cut})
