@@ -70,3 +70,18 @@ def test_passages_of_long_items(spark):
     items = [long_item(), " ".join(f"x{w}" for w in long_item(310).split())]
     parts = [items[0].split()[10:42], items[1].split()[100:250], items[0].split()[:13], items[0].split()[:12], items[1].split()[80:93]]
     assert pairs_found(spark, items, [FILLER + " ".join(p) for p in parts]) == {(0, 0), (1, 1), (2, 0), (4, 1)}
+
+
+def test_items_of_hardly_more_than_values_are_found_verbatim(spark):
+    sums = "Compute 12 + 30 * 4 - 7 / 2 = 128 then 45 66 81 90 17 23 54 68 and 9 11 13"
+    cities = "Paris London Berlin Madrid Vienna Prague Lisbon Dublin Athens Warsaw Oslo"
+    other = sums.replace("30", "31").replace("66", "67").replace("23", "24").replace("9 11", "9 12").replace("128", "129")
+    texts = [FILLER + sums + " " + FILLER, cities.replace(" ", ", ") + ".", FILLER + other, " ".join(reversed(cities.split())), "12 30 4 7 2 " * 50, FILLER]
+    assert pairs_found(spark, [sums, cities], texts) == {(0, 0), (1, 1)}
+
+
+def test_names_that_clash(spark):
+    docs = spark.createDataFrame([(1, FILLER + ITEM, 1, 2, 3), (2, FILLER, 1, 2, 3)], "doc_id long, text string, found_id int, doc int, item int")
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    kept = decontam.clean_documents(docs, items)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [2]

@@ -4,7 +4,8 @@ Numbers, units and names become typed placeholders, whatever stands beside them.
 and joined with those of the benchmark. Along one alignment each value of the item's placeholders should map to one value
 of the document; of the windows that hold a value with several, only those that are the item's own count. So an item is found
 verbatim and with other numbers or names in it. A capitalised word that begins a sentence of an item is a name or a plain
-word: an item's windows are there in both readings.
+word: an item's windows are there in both readings. Windows of hardly more than placeholders, which would fit any list of
+numbers, are hashed and joined by their own words instead: they are found verbatim only.
 
 The benchmark's window hashes thin out the documents' windows through a bit map of fixed size before the join; false
 hits of the bit map fall out in the join, which compares the templates themselves.
@@ -19,11 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from thermalis.llm.common import bounded_batches, mix, settle
+from thermalis.llm.common import bounded_batches, mix, settle, without
 
 WINDOW = 8
-#: Fewest tokens of a window that are no placeholders.
+#: Windows with fewer tokens that are no placeholders are compared word by word.
 LITERALS = 4
+#: What tells hashes and templates of these windows from others.
+VERBATIM, VERBATIM_MARK = np.uint64(0xD6E8FEB86659FD93), "= "
 #: Least share of an item's windows that a document holds along consistent alignments.
 SHARE = 0.5
 #: The same where an item's value has several values along an alignment.
@@ -77,7 +80,7 @@ class Templates:
 
     def clear(self):
         self.place: dict[str, int] = {}
-        self.table = [np.zeros(1024, kind) for kind in (np.uint64, bool)]
+        self.table = [np.zeros(1024, kind) for kind in (np.uint64, np.uint64, bool, bool)]
 
     def look(self, words: list[str]) -> np.ndarray:
         """Places of words in the table of facts."""
@@ -88,19 +91,20 @@ class Templates:
             if at == len(self.table[0]):
                 self.table = [np.concatenate((column, np.zeros_like(column))) for column in self.table]
             token = canonical(word)
-            for column, fact in zip(self.table, (xxh3_64_intdigest(token), bool(token))):
+            for column, fact in zip(self.table, (xxh3_64_intdigest(token), xxh3_64_intdigest(own_word(word)), token[:1] != "<", bool(token))):
                 column[at] = fact
         return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
 
     def tokens(self, text: str):
-        """Words that are tokens, and their token hashes."""
+        """Words that are tokens, the hashes of their tokens and of themselves, and whether they are literals."""
         words = text.split()
         if not words:
-            return [], np.empty(0, np.uint64)
+            return [], np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, bool)
         at = self.look(words)
-        hashes, token = self.table
+        hashes, own, literal, token = self.table
         keep = token[at]
-        return [w for w, k in zip(words, keep.tolist()) if k], hashes[at[keep]]
+        at = at[keep]
+        return [w for w, k in zip(words, keep.tolist()) if k], hashes[at], own[at], literal[at]
 
 
 def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
@@ -114,13 +118,23 @@ def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     return mix(found)
 
 
+def own_word(word: str) -> str:
+    return word.strip(EDGES).lower()
+
+
 def slots_of(words: list[str], tokens) -> list[str]:
-    return [w.strip(EDGES).lower() for w, t in zip(words, tokens) if t[:1] == "<"]
+    return [own_word(w) for w, t in zip(words, tokens) if t[:1] == "<"]
+
+
+def verbatim(words: list[str]) -> str:
+    """What stands for the template of a window that is compared word by word."""
+    return VERBATIM_MARK + " ".join(map(own_word, words))
 
 
-def window_rows(templates: Templates, key, text: str, lengths, wanted):
+def window_rows(templates: Templates, key, text: str, lengths, wanted, literals: int = LITERALS):
     """(key, place, hash, template, slots) of those windows of a text whose hashes pass the filter."""
-    words, hashes = templates.tokens(text)
+    words, hashes, own_hashes, literal = templates.tokens(text)
+    upto = np.concatenate(([0], np.cumsum(literal)))
     for length in lengths:
         found = window_hashes(hashes, length)
         places = np.flatnonzero(wanted(found))
@@ -128,13 +142,21 @@ def window_rows(templates: Templates, key, text: str, lengths, wanted):
             own = words[place:place + length]
             tokens = [canonical(w) for w in own]
             yield key, place, value, " ".join(tokens), slots_of(own, tokens)
+        few = np.flatnonzero(upto[length:] - upto[:-length] < min(length, literals)) if len(words) >= length else places[:0]
+        if len(few):
+            found = window_hashes(own_hashes, length)[few] ^ VERBATIM
+            some = wanted(found)
+            for place, value in zip(few[some].tolist(), found[some].view(np.int64).tolist()):
+                own = words[place:place + length]
+                yield key, place, value, verbatim(own), slots_of(own, [canonical(w) for w in own])
 
 
 def item_rows(key, text: str, window: int, literals: int):
     """(key, place, hash, template, slots, length, lacking, starts) of an item's windows in all their readings.
 
     A window has enough literals if it has them with the words that begin its sentences as plain words. Where these are
-    read as names, `lacking` of them must have the item's own value; starts are their places among the slots.
+    read as names, `lacking` of them must have the item's own value; starts are their places among the slots. A window
+    without enough is there once, with its own words.
     """
     words, start, begins = [], [], True
     for word in text.split():
@@ -147,7 +169,11 @@ def item_rows(key, text: str, window: int, literals: int):
     for place in range(len(words) - length + 1 if length else 0):
         own, first = words[place:place + length], start[place:place + length]
         kinds = [canonical(w) for w in own]
-        readings = [(t, w.strip(EDGES).lower()) if s and t == "<name>" else (t,) for w, t, s in zip(own, kinds, first)]
+        readings = [(t, own_word(w)) if s and t == "<name>" else (t,) for w, t, s in zip(own, kinds, first)]
+        if sum(t[:1] != "<" or len(r) > 1 for t, r in zip(kinds, readings)) < needed:
+            value = (window_hashes(np.array([xxh3_64_intdigest(own_word(w)) for w in own], np.uint64), length) ^ VERBATIM).view(np.int64)[0]
+            yield key, place, int(value), verbatim(own), slots_of(own, kinds), length, 0, []
+            continue
         for tokens in product(*readings):
             slots = [i for i, t in enumerate(tokens) if t[:1] == "<"]
             starts = [k for k, i in enumerate(slots) if first[i] and tokens[i] == "<name>"]
@@ -193,7 +219,7 @@ def bit_map(windows: DataFrame, bits: int) -> bytes:
     return table.tobytes()
 
 
-def matches(docs: DataFrame, windows: DataFrame, id_column: str, text_column: str, bits: int) -> DataFrame:
+def matches(docs: DataFrame, windows: DataFrame, id_column: str, text_column: str, bits: int, literals: int = LITERALS) -> DataFrame:
     """Windows of documents joined with those of the items: doc, item, diagonal, place, slot pairs."""
     spark = docs.sparkSession
     lengths = sorted(row.length for row in windows.select("length").distinct().collect())  # at most `window` numbers
@@ -211,7 +237,7 @@ def matches(docs: DataFrame, windows: DataFrame, id_column: str, text_column: st
             rows = []
             for key, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if key is not None and text:
-                    rows.extend(window_rows(templates, key, text, lengths, wanted))
+                    rows.extend(window_rows(templates, key, text, lengths, wanted, literals))
             yield batch_of(rows)
 
     bounded_batches(spark)
@@ -247,11 +273,11 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_
     row, twice as many if it has such values.
 
     verbatim: all placeholders have the item's own values. Null or empty texts, and rows without an id, match nothing.
-    Items with fewer literal tokens in every window than `literals` cannot be found.
+    Windows with fewer literal tokens than `literals` match verbatim only.
     """
     windows = settle(item_windows(benchmark, item_id, item_text, window, literals), "benchmark-windows")
     sizes = windows.groupBy(F.col("key").alias("size_item")).agg(F.countDistinct("place").alias("n_windows"))
-    found = matches(docs, windows, id_column, text_column, bits)
+    found = matches(docs, windows, id_column, text_column, bits, literals)
     aligned = (found.groupBy("doc", "item", "diagonal")
                .agg(F.collect_set(F.struct("item_place", "pairs")).alias("windows"))
                .withColumn("pairs", F.array_distinct(F.flatten("windows.pairs")))
@@ -288,5 +314,5 @@ def verdicts(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", *
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", **how) -> DataFrame:
     """The rows of docs without contamination, with all their columns."""
-    found = contaminations(docs, benchmark, id_column, **how).select(F.col("doc").alias("found_id")).distinct()
-    return docs.join(settle(found, "contaminated"), docs[id_column] == F.col("found_id"), "left_anti").select(*docs.columns)
+    found = contaminations(docs, benchmark, id_column, **how).select(F.col("doc").alias(id_column)).distinct()
+    return without(docs, found, id_column, "contaminated")
