@@ -2,8 +2,9 @@
 
 A node that is to hold k shards is cut across its widest dimension at the place that parts its bytes as
 floor(k / 2) : ceil(k / 2), until every leaf is one shard. Histograms find the places for all nodes of a level at
-once: bytes per coordinate, then per hash bucket within the coordinate that is cut, then per unit within that bucket.
-A unit is all documents of one text; a text with more bytes than a small part of a shard is dealt into several units.
+once: bytes per coordinate, then per hash bucket within the coordinate that is cut, per bucket within that bucket, and
+per unit within that. A unit is all documents of one text, which no cut parts; only a text whose copies hold more than a
+part of a shard by which shards may differ is dealt into several units.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -11,8 +12,8 @@ from pyspark.sql import functions as F
 
 from thermalis.llm.common import settle, text_bytes
 
-#: Units are at most 1 / so many of a shard, unless a single document is larger.
-UNITS_PER_SHARD = 500
+#: Copies of a text stay together up to 1 / so many of a shard. Shards differ by half as much where such a unit is cut at.
+UNITS_PER_SHARD = 16
 #: Rows that are numbered in one task.
 NUMBERED = 50_000
 DIMENSIONS = ["size_place", "lang_place", "source_place"]
@@ -44,7 +45,8 @@ def units_of(rows: DataFrame, unit_bytes: int) -> DataFrame:
     return units.select("digest", "n_salts", "salt", "weight",
                         F.floor(64 * F.log2(F.col("one").cast("double"))).cast("int").alias("size_place"),
                         name("lang").alias("lang_place"), name("source").alias("source_place"),
-                        F.shiftrightunsigned(F.xxhash64("digest"), 52).cast("int").alias("bucket"))
+                        F.shiftrightunsigned(F.xxhash64("digest"), 52).cast("int").alias("bucket"),
+                        (F.shiftrightunsigned(F.xxhash64("digest"), 40) % BUCKETS).cast("int").alias("within"))
 
 
 def salt_of():
@@ -61,7 +63,10 @@ def nearest_cut(histogram: DataFrame, at: str) -> DataFrame:
 
 
 def shard_units(units: DataFrame, n_shards: int) -> DataFrame:
-    """Adds the column shard to units."""
+    """Adds the column shard to units.
+
+    Tables of nodes have a row per node, so n_shards at most, and are broadcast.
+    """
     bounds = units.agg(*[(F.max(d) - F.min(d)).alias(d) for d in DIMENSIONS]).first()
     whole = {d: max(1, bounds[d] or 0) for d in DIMENSIONS}
     now = units.withColumns({"node": F.lit(0), "n_shards": F.lit(n_shards)})
@@ -74,21 +79,24 @@ def shard_units(units: DataFrame, n_shards: int) -> DataFrame:
         nodes = nodes.select("node", (-F.col("widest.order")).alias("dimension"),
                              (F.col("node_weight") * F.floor(F.col("k") / 2) / F.col("k")).alias("wish"))
         place = F.element_at(F.array(*DIMENSIONS), F.col("dimension") + 1)
-        placed = now.join(nodes, "node", "left").withColumn("place", place)
+        placed = now.join(F.broadcast(nodes), "node", "left").withColumn("place", place)
         open_ = placed.where("dimension IS NOT NULL")
         first = nearest_cut(open_.groupBy("node", "place").agg(F.sum("weight").alias("weight"), F.max("wish").alias("wish")), "place")
-        inside = (open_.join(first, "node").where("place = cut_place").withColumn("wish", F.col("wish") - F.col("below_place")))
-        second = nearest_cut(inside.groupBy("node", "bucket").agg(F.sum("weight").alias("weight"), F.max("wish").alias("wish")), "bucket")
-        close = inside.join(second, "node").where("bucket = cut_bucket").withColumn("wish", F.col("wish") - F.col("below_bucket"))
+        inside, cuts = open_, first
+        for at, deeper in (("place", "bucket"), ("bucket", "within"), ("within", None)):
+            inside = inside.join(F.broadcast(cuts.select("node", f"cut_{at}", f"below_{at}")), "node").where(f"{at} = cut_{at}")
+            inside = inside.withColumn("wish", F.col("wish") - F.col(f"below_{at}"))
+            if deeper:
+                found = nearest_cut(inside.groupBy("node", deeper).agg(F.sum("weight").alias("weight"), F.max("wish").alias("wish")), deeper)
+                cuts = cuts.join(F.broadcast(found), "node")
+        close = inside
         line = Window.partitionBy("node").orderBy("digest", "salt").rowsBetween(Window.unboundedPreceding, -1)
         last = (close.withColumn("before", F.coalesce(F.sum("weight").over(line), F.lit(0)))
                 .where(F.col("before") + F.col("weight") / 2 <= F.col("wish"))
                 .select("digest", "salt", F.lit(True).alias("below_cut")))
-        cuts = first.join(second, "node")
-        moved = (placed.join(cuts, "node", "left").join(last, ["digest", "salt"], "left")
-                 .withColumn("lower", (F.col("place") < F.col("cut_place"))
-                             | ((F.col("place") == F.col("cut_place")) & (F.col("bucket") < F.col("cut_bucket")))
-                             | F.coalesce("below_cut", F.lit(False))))
+        spot, cut = F.struct("place", "bucket", "within"), F.struct("cut_place", "cut_bucket", "cut_within")
+        moved = (placed.join(F.broadcast(cuts), "node", "left").join(last, ["digest", "salt"], "left")
+                 .withColumn("lower", (spot < cut) | F.coalesce("below_cut", F.lit(False))))
         half = F.floor(F.col("n_shards") / 2).cast("int")
         split = F.col("n_shards") > 1
         now = settle(moved.select(
