@@ -110,3 +110,10 @@ def test_many_variants_of_one_text_that_do_not_link(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(tuple(r) for r in ngram_join.cluster(docs).collect()) == brute(rows)
     assert sum(df.count() for df in made) < 8 * len(rows)
+
+
+def test_names_that_clash(spark):
+    rows = [(1, "a b c d e f", 1, 2), (2, "a b c d e f", 1, 2), (None, "a b c d e f", 1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, gone_id int, component_id int")
+    kept = ngram_join.one_of_each(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1]

@@ -99,3 +99,9 @@ def test_bits_against_dictionaries(spark):
     for i, t, lang in rows:
         want = models[lang or ""](t) if t else None
         assert found[i].bits is None if want is None else abs(found[i].bits - want) < 1e-9, i
+
+
+def test_names_that_clash(spark):
+    docs = spark.createDataFrame([(i, "ra mo ti lu", "en", 1, 2) for i in range(5)], "doc_id long, text string, lang string, rejected_id int, good int")
+    kept = quality.good_documents(docs, docs.select("doc_id"))
+    assert kept.columns == docs.columns and kept.count() == 5

@@ -110,11 +110,11 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 def dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """docs with one row of each group of equal texts, all columns as they are; of repeated rows one stays, any one."""
     found = exact_groups(docs, id_column, text_column).where("group_size > 1")
-    found = settle(found.select(F.col(id_column).alias("dedup_id"), F.col("digest").alias("dedup_digest"),
-                                F.col("kept").alias("dedup_kept")), "dedup-report")
-    marked = docs.withColumn("dedup_digest_of", sha256(text_bytes(text_column)))
-    same = docs[id_column].eqNullSafe(F.col("dedup_id")) & (F.col("dedup_digest_of") == F.col("dedup_digest"))
-    rest = marked.join(found, same, "left").where("dedup_kept IS NULL OR dedup_kept")
+    found = settle(found.select(F.col(id_column).alias("found_id"), F.col("digest").alias("found_digest"), "kept"), "dedup-report")
+    # Rows travel as one column, so no name of theirs can clash with those here.
+    marked = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"), sha256(text_bytes(text_column)).alias("digest"))
+    same = F.col("id").eqNullSafe(F.col("found_id")) & (F.col("digest") == F.col("found_digest"))
+    rest = marked.join(found, same, "left").where("kept IS NULL OR kept")
     # Only keepers of groups can be repeated rows.
-    once = rest.where("dedup_kept").dropDuplicates([id_column, "dedup_digest_of"])
-    return rest.where("dedup_kept IS NULL").unionByName(once).select(*docs.columns)
+    once = rest.where("kept").dropDuplicates(["id", "digest"])
+    return rest.where("kept IS NULL").unionByName(once).select("row.*")

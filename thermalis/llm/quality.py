@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from thermalis.llm.common import bounded_batches, settle, text_bytes
+from thermalis.llm.common import bounded_batches, settle, text_bytes, without
 from thermalis.llm.travel import home_of, number_of_homes, rows_at_home, sent_home
 
 ORDER = 3
@@ -238,6 +238,5 @@ def classify(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id", tex
 
 def good_documents(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """The rows of docs that are not rejected, with all their columns; rows without an id stay."""
-    rejected = (classify(docs, trusted, id_column).where("NOT good").select(F.col(id_column).alias("rejected_id"))
-                .where("rejected_id IS NOT NULL").distinct())
-    return docs.join(settle(rejected, "quality-rejected"), docs[id_column] == F.col("rejected_id"), "left_anti").select(*docs.columns)
+    rejected = classify(docs, trusted, id_column).where("NOT good").select(id_column).distinct()
+    return without(docs, rejected, id_column, "quality-rejected")
