@@ -28,6 +28,10 @@ EXTREME_HEAT_C = 45.0
 YOY_BAND = 0.1
 YOY_UP, YOY_DOWN, YOY_FLAT = "↑ Increasing", "↓ Decreasing", "→ Stable"
 
+# Index above which a map marker is red and orange, radius per °C and smallest radius.
+MARKER_RED, MARKER_ORANGE = 0.3, 0.0
+MARKER_SCALE, MARKER_LEAST = 15, 5.0
+
 # Raw band scale and offset to °C, quality bits, missing marker, ring width.
 DN_SCALE = 0.02
 KELVIN_OFFSET = 273.15

@@ -4,7 +4,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from thermalis.functions.fixed import (
-    CRITICAL_FACTOR, DECADE_YEARS, HIGH_FACTOR, MONTH_NAMES, SEASON_MONTHS, SEASON_ORDER,
+    CRITICAL_FACTOR, DECADE_YEARS, HIGH_FACTOR, MARKER_LEAST, MARKER_ORANGE, MARKER_RED, MARKER_SCALE, MONTH_NAMES,
+    SEASON_MONTHS, SEASON_ORDER,
     YOY_BAND, YOY_DOWN, YOY_FLAT, YOY_UP,
 )
 
@@ -69,8 +70,8 @@ def month_name(month) -> Column:
 
 
 def marker_color(uhi) -> Column:
-    return F.when(uhi > 0.3, F.lit("red")).when(uhi > 0, F.lit("orange")).otherwise(F.lit("blue"))
+    return F.when(uhi > MARKER_RED, F.lit("red")).when(uhi > MARKER_ORANGE, F.lit("orange")).otherwise(F.lit("blue"))
 
 
 def marker_radius(uhi) -> Column:
-    return F.greatest(F.abs(uhi) * 15, F.lit(5.0))
+    return F.greatest(F.abs(uhi) * MARKER_SCALE, F.lit(MARKER_LEAST))
