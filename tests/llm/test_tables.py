@@ -5,6 +5,7 @@ import hashlib
 import zlib
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from thermalis.llm import exact_dedup, sharding, urls, warc
@@ -73,7 +74,9 @@ def test_urls_with_nulls_repeats_and_clashing_columns(spark):
     assert urls.judge(pages.limit(0), model).collect() == []
 
 
-def test_equal_texts_even_where_digests_collide(spark):
+@pytest.mark.parametrize("bits", [3, 23])
+def test_equal_texts_even_where_digests_collide(spark, monkeypatch, bits):
+    monkeypatch.setattr(exact_dedup, "MAP_BITS", bits)
     rows = [(i, f"text {i % 6}") for i in range(40)] + [(50, None), (51, ""), (None, "text 1"), (7, "text 1")]
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, keep_id int")
     groups = {}

@@ -3,7 +3,8 @@
 Digests of the texts flow through a streaming aggregation whose state lives in RocksDB on the executors' disks,
 backed by the checkpoint folder, and never expires: per digest the keeper's identifier and content locator and the
 number of rows. The state is read back as a table. Rows that hit an existing digest are compared with the keeper's
-full bytes; rows that differ in spite of equal digests form groups of their own.
+full bytes; rows that differ in spite of equal digests form groups of their own. Texts without a hit do not travel: a bit
+map of fixed size holds them back.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,8 @@ from thermalis.llm.common import scratch_path, settle, text_bytes
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Files of fingerprints per micro-batch.
 FILES_PER_BATCH = 64
+#: log2 of the bits of the map of digests with hits. A full map holds nothing back, and changes no result.
+MAP_BITS = 23
 
 
 def sha256(content: Column) -> Column:
@@ -63,6 +66,24 @@ def state_session(spark: SparkSession) -> SparkSession:
     return session
 
 
+def bit_of(digest: str) -> Column:
+    return F.xxhash64(digest).bitwiseAND(F.lit((1 << MAP_BITS) - 1))
+
+
+def hit_map(digests: DataFrame) -> Column:
+    """2**MAP_BITS bits as an array of numbers, set for the digests, as one value of a query."""
+    words = (digests.select(bit_of("digest").alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")).alias("mask")))
+    every = digests.sparkSession.range(max(1, 1 << MAP_BITS >> 6)).select(F.col("id").alias("word"))
+    filled = every.join(words, "word", "left").select(F.struct("word", F.coalesce("mask", F.lit(0)).alias("mask")).alias("entry"))
+    return settle(filled.agg(F.transform(F.array_sort(F.collect_list("entry")), lambda e: e["mask"]).alias("map")), "dedup-map").scalar()
+
+
+def may_hit(digest: str, table: Column) -> Column:
+    bit = bit_of(digest)
+    return F.getbit(F.element_at(table, (F.shiftright(bit, 6) + 1).cast("int")), bit.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
 def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", digest=sha256,
                  files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """id, keep_id, group_size, kept, digest: a row for each distinct pair of id and text.
@@ -85,7 +106,7 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
                        .select("digest", "keep_id", "group_size"), "dedup-groups")
     # Full bytes of all rows that share a digest, once; the keeper's are compared with the rest.
     shared = state.where("group_size > 1")
-    hits = settle(rows.join(shared, "digest"), "dedup-hits")
+    hits = settle(rows.where(may_hit("digest", hit_map(shared))).join(shared, "digest"), "dedup-hits")
     keeper = settle(hits.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest")
                     .agg(F.max("content").alias("kept_content")), "dedup-keepers")
     other = hits.join(keeper, "digest").where("content != kept_content").select("id", "digest", "content")
