@@ -36,7 +36,7 @@ REPORTED, ORDERED = 4, 100_000
 MAP_BITS = 23
 #: So often every set is compared with a leader. Lists of at most SHORT sets are compared pair by pair, and all that are left
 #: after MOST turns of differences. SAMPLE sets make a reference. Any numbers give the same components.
-TURNS, SHORT, MOST, SAMPLE = 2, 8, 12, 9
+TURNS, SHORT, MOST, SAMPLE = 1, 8, 12, 9
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -203,10 +203,11 @@ def short_pairs(lists: DataFrame, part: int, whole: int) -> DataFrame:
 
 
 def size_blocks(lists: DataFrame, part: int, whole: int) -> DataFrame:
-    """The rows of long lists in lists of two neighbouring blocks of sizes each; sets that can link are in one of them."""
+    """The rows of long lists in lists of two neighbouring blocks of sizes each; sets that can link are in one of them.
+    Equal lists are merged again."""
     block = F.floor(F.log("n") / math.log(whole / part)) if part < whole else F.col("n").cast("long")
-    return (lists.withColumn("block", F.explode(F.array(block, block - 1))).withColumn("list", F.xxhash64("list", "block"))
-            .select("list", "rep", "n", "at", "m"))
+    return merged(lists.withColumn("block", F.explode(F.array(block, block - 1)))
+                  .select(F.xxhash64("list", "block").alias("token"), "rep", "n", "at"))
 
 
 def grouped(lists: DataFrame, turn: int) -> DataFrame:
@@ -261,11 +262,12 @@ def nearest_links(found: DataFrame) -> DataFrame:
 
 
 def difference_lists(found: DataFrame, turn: int) -> DataFrame:
-    """list, rep, n, at, m: the index of the differences of all groups. Places say nothing here."""
+    """list, rep, n, at, m: the index of the differences of all groups, equal lists merged. Places say nothing here."""
     entries = found.select("leader", "rep", "n", F.explode("first").alias("token"))
     common = entries.groupBy("leader", "token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("leader", "token")
-    return (entries.join(common, ["leader", "token"])
-            .select(F.xxhash64(F.lit(turn), "leader", "token").alias("list"), "rep", "n", F.lit(0).alias("at"), F.lit(1).alias("m")))
+    lists = (entries.join(common, ["leader", "token"])
+             .select(F.xxhash64(F.lit(turn), "leader", "token").alias("token"), "rep", "n", F.lit(0).alias("at")))
+    return merged(settle(lists, "difference-index"))
 
 
 def plausible(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
