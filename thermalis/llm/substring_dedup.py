@@ -23,6 +23,8 @@ WINDOW = 13
 SEED = 5
 #: A minimiser of more documents is hot.
 HOT = 2000
+#: Windows of a super-k-mer at most. Only a minimiser that repeats has longer runs; their pieces are often equal, and travel once.
+RUN = 64
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -40,9 +42,13 @@ def super_kmers(words: list[bytes], window: int, seed: int) -> tuple[np.ndarray,
     least = seeds[:n]
     for i in range(1, window - seed + 1):
         least = np.minimum(least, seeds[i:i + n])
-    cuts = np.flatnonzero(least[1:] != least[:-1]) + 1
-    starts = np.concatenate(([0], cuts))
-    return least[starts].view(np.int64), starts.tolist(), [*cuts.tolist(), n]
+    starts = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1))
+    lengths = np.diff(starts, append=n)
+    if lengths.max() > RUN:
+        pieces = -(-lengths // RUN)
+        piece = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        starts = np.repeat(starts, pieces) + piece * RUN
+    return least[starts].view(np.int64), starts.tolist(), [*starts[1:].tolist(), n]
 
 
 def signed(value: int) -> int:
