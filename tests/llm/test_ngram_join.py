@@ -85,8 +85,8 @@ def test_turns_and_list_lengths_change_nothing(spark, monkeypatch):
     rows = groups()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute(rows)
-    for turns, short, most, sample in ((0, 1, 3, 1), (1, 2, 12, 3)):
-        for name, value in (("TURNS", turns), ("SHORT", short), ("MOST", most), ("SAMPLE", sample)):
+    for turns, short, later, most in ((0, 1, 1, 3), (2, 2, 4, 12)):
+        for name, value in (("TURNS", turns), ("SHORT", short), ("LATER", later), ("MOST", most)):
             monkeypatch.setattr(ngram_join, name, value)
         assert sorted(tuple(r) for r in ngram_join.cluster(docs).collect()) == want
 

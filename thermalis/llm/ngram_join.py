@@ -34,9 +34,9 @@ WORDS, PART, WHOLE = 4, 85, 100
 REPORTED, ORDERED = 4, 100_000
 #: log2 of the bit map of classes that have a candidate.
 MAP_BITS = 23
-#: So often every set is compared with a leader. Lists of at most SHORT sets are compared pair by pair, and all that are left
-#: after MOST turns of differences. SAMPLE sets make a reference. Any numbers give the same components.
-TURNS, SHORT, MOST, SAMPLE = 1, 8, 12, 9
+#: So often every set is compared with a leader. Lists of at most SHORT sets are compared pair by pair, after the first turn of
+#: differences those of LATER, and all that are left after MOST turns. Any numbers give the same components.
+TURNS, SHORT, LATER, MOST = 1, 8, 32, 12
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -219,13 +219,12 @@ def grouped(lists: DataFrame, turn: int) -> DataFrame:
 
 
 def references(groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """leader, reference: the shingles of most of a group's first SAMPLE sets, by hash."""
+    """leader, reference: the shingles that two of a group's first three sets have, by hash."""
     place = F.row_number().over(Window.partitionBy("leader").orderBy(F.xxhash64("rep"), "rep"))
-    some = groups.withColumn("place", place).where(F.col("place") <= SAMPLE).select("leader", "rep")
-    sizes = some.groupBy("leader").agg(F.count(F.lit(1)).alias("of"))
-    counts = (some.join(sets, "rep").select("leader", F.explode("tokens").alias("token")).groupBy("leader", "token").agg(F.count(F.lit(1)).alias("c"))
-              .join(sizes, "leader").where("2 * c > of"))
-    return settle(counts.groupBy("leader").agg(F.collect_list("token").alias("reference")), "references")
+    three = groups.withColumn("place", place).where("place <= 3").select("leader", "rep").join(sets, "rep")
+    one, two, other = (F.coalesce(F.get("three", F.lit(i)), F.array().cast("array<long>")) for i in range(3))
+    most = F.array_union(F.array_union(F.array_intersect(one, two), F.array_intersect(one, other)), F.array_intersect(two, other))
+    return three.groupBy("leader").agg(F.collect_list("tokens").alias("three")).select("leader", most.alias("reference"))
 
 
 def differences(groups: DataFrame, sets: DataFrame, last: list[int], part: int, whole: int) -> DataFrame:
@@ -354,11 +353,11 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         lists = mixed_lists(lists, labels, "lists-left")
         if lists.isEmpty():
             break
-        short, long = lists, None
-        if turn < MOST:
-            blocks = mixed_lists(size_blocks(lists.where(F.col("size") > SHORT), part, whole), labels, "size-blocks")
-            short = lists.where(F.col("size") <= SHORT).unionByName(blocks.where(F.col("size") <= SHORT))
-            long = grouped(blocks.where(F.col("size") > SHORT), turn)
+        short, long, few = lists, None, LATER if turn else SHORT
+        if turn < MOST and not lists.where(F.col("size") > few).isEmpty():
+            blocks = mixed_lists(size_blocks(lists.where(F.col("size") > few), part, whole), labels, "size-blocks")
+            short = lists.where(F.col("size") <= few).unionByName(blocks.where(F.col("size") <= few))
+            long = grouped(blocks.where(F.col("size") > few), turn)
         pairs = settle(plausible(short_pairs(short, part, whole), known, part, whole), "short-candidates")
         wanted = ends_of(pairs) if long is None else ends_of(pairs).unionByName(long.select("rep"))
         whole_texts = whole_sets(rows, wanted, k, MAP_BITS)
