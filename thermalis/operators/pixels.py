@@ -81,10 +81,9 @@ def filled_composite(composite: DataFrame, years: tuple[int, int], fill: float =
 
     Reads the composite three times, so settle it first; the pixels themselves are not read again.
     """
-    spots = composite.select("lon", "lat").distinct().withColumn("every", F.lit(True))
     # At most twelve months a year, and none at all where every month has an image.
-    gaps = month_gaps(composite, years).agg(F.collect_list(F.struct("year", "month")).alias("gaps")).withColumn("every", F.lit(True))
-    filled = (spots.join(F.broadcast(gaps), "every").select("lon", "lat", F.inline("gaps"))
+    gaps = month_gaps(composite, years).agg(F.collect_list(F.struct("year", "month")))
+    filled = (composite.select("lon", "lat").distinct().select("lon", "lat", F.inline(gaps.scalar()))
               .withColumns({DAY: F.lit(fill), NIGHT: F.lit(fill)}))
     return composite.unionByName(filled)
 
