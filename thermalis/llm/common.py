@@ -1,5 +1,6 @@
 """Helpers that several operators share."""
 
+import gc
 import hashlib
 
 import numpy as np
@@ -10,7 +11,7 @@ from xxhash import xxh3_64_intdigest
 
 from thermalis.sources.durable import scratch_path, settle
 
-__all__ = ["BATCH_BYTES", "bounded_batches", "documents", "mix", "pages", "scratch_path", "settle", "streamed_sha256",
+__all__ = ["BATCH_BYTES", "bounded_batches", "documents", "mix", "pages", "release", "scratch_path", "settle", "streamed_sha256",
            "text_bytes", "without", "word_hashes"]
 
 #: Bytes of a pack of contents that are hashed together.
@@ -36,6 +37,12 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished queries now; they stay until the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_bytes(text: str | Column) -> Column:
     """UTF-8 bytes of a text; null counts as empty."""
     column = F.col(text) if isinstance(text, str) else text

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from thermalis.llm.common import bounded_batches, mix, settle, text_bytes, without, word_hashes
+from thermalis.llm.common import bounded_batches, mix, release, settle, text_bytes, without, word_hashes
 
 WORDS, PART, WHOLE = 4, 85, 100
 #: Shingles of this many documents of one batch are reported, and those of most documents are ordered last. Any choice
@@ -36,7 +36,7 @@ REPORTED, ORDERED = 4, 100_000
 MAP_BITS = 23
 #: So often every set is compared with a leader. Lists of at most SHORT sets are compared pair by pair, after the first turn of
 #: differences those of LATER, and all that are left after MOST turns. Any numbers give the same components.
-TURNS, SHORT, LATER, MOST = 1, 8, 32, 12
+TURNS, SHORT, LATER, MOST = 1, 8, 32, 3
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -337,10 +337,12 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     lists = settle(entries.join(shared, "token"), "shingle-index")
     lists = settle(merged(lists.join(copies, F.col("rep") == F.col("doc"), "left_anti")), "shingle-merged")
     links = labels = None
+    release(spark)
 
     def join_up(found):
         nonlocal links, labels
         found = settle(found, "links")
+        release(spark)
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             labels = components(spark, links)
