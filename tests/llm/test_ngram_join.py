@@ -117,3 +117,22 @@ def test_names_that_clash(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, gone_id int, component_id int")
     kept = ngram_join.one_of_each(docs)
     assert kept.columns == docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1]
+
+
+def test_lines_that_many_texts_have_make_no_pairs(spark, monkeypatch):
+    """Texts of unlike words with the same lines in them: places and counts of common shingles rule their pairs out."""
+    rng = random.Random(2)
+    lines = [f"the line {i} again" for i in range(10)]
+    rows = []
+    for d in range(80):
+        words = [f"t{d}x{i}" for i in range(50)]
+        rows.append((d, " ".join(f"{line} {' '.join(words[5 * i:5 * i + 5])}" for i, line in enumerate(rng.sample(lines, 10)))))
+    rows += [(200 + d, rows[d][1] + " more") for d in range(0, 80, 8)]
+    made = []
+    plain = ngram_join.short_pairs
+    monkeypatch.setattr(ngram_join, "short_pairs", lambda *a: made.append(plain(*a)) or made[-1])
+    for name, value in (("ORDERED", 1), ("TURNS", 0), ("SHORT", 1000)):
+        monkeypatch.setattr(ngram_join, name, value)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in ngram_join.cluster(docs).collect()) == brute(rows)
+    assert 10 <= sum(df.count() for df in made) < 30

@@ -4,8 +4,9 @@ Documents with equal shingle sets are one class. A class's shingles have one ord
 the frequent ones by their counts), and only the first of them, enough for the threshold, are indexed. The index's lists are skipped in four ways:
 
 * by equality: shingles that the same documents have are one list;
-* by position and size: long lists are cut in blocks of similar set sizes, only blocks that can hold links meet, and the
-  places of the common shingle bound the overlap;
+* by position and size: long lists are cut in blocks of similar set sizes and only blocks that can hold links meet. All
+  before the places of the first common shingle is different, which bounds the overlap; rows that no other row of their list
+  could bear are left out. Linked sets of similar sizes have many indexed shingles in common: a set with few meets none;
 * by leaders: first every set is compared with the one pivot of its lists that shares most indexed shingles with it. Lists
   whose sets these answers already connect need no comparison;
 * by differences: the sets of a long list that is left are compared with a reference set that most of them resemble. Let
@@ -22,6 +23,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
@@ -36,7 +38,7 @@ REPORTED, ORDERED = 4, 100_000
 MAP_BITS = 23
 #: So often every set is compared with a leader. Lists of at most SHORT sets are compared pair by pair, after the first turn of
 #: differences those of LATER, and all that are left after MOST turns. Any numbers give the same components.
-TURNS, SHORT, LATER, MOST = 1, 8, 32, 3
+TURNS, SHORT, LATER, MOST = 1, 64, 64, 3
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -130,15 +132,38 @@ def prefixes(rows: DataFrame, k: int, part: int, whole: int, last: list[int]) ->
     return settle(rows.mapInArrow(run, "doc long, n long, digest binary, sketch binary, first array<long>"), "shingle-prefixes")
 
 
-def whole_sets(rows: DataFrame, wanted: DataFrame, k: int, bits: int) -> DataFrame:
-    """rep, tokens for the wanted documents and some others: a bit map of fixed size spares most of them."""
+def bit_map(wanted: DataFrame, bits: int) -> Broadcast:
+    """The places of the wanted rep, as a bit map of fixed size."""
     low = (1 << bits) - 1
     words = (wanted.select(F.xxhash64("rep").bitwiseAND(F.lit(low)).alias("place"))
              .groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(place & 63 AS INT))")).alias("mask")))
     table = np.zeros(1 << bits >> 6, np.int64)
     for r in words.toLocalIterator():
         table[r.word] = r.mask
-    shared = rows.sparkSession.sparkContext.broadcast(table.tobytes())
+    return wanted.sparkSession.sparkContext.broadcast(table.tobytes())
+
+
+def place_of(column: str, bits: int) -> Column:
+    return F.xxhash64(column).bitwiseAND(F.lit((1 << bits) - 1)).alias("place")
+
+
+def marked(rows: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
+    """rows and marked: true if doc is wanted, and for some others."""
+    shared = bit_map(wanted, bits)
+
+    def run(batches):
+        table = np.unpackbits(np.frombuffer(shared.value, np.uint8), bitorder="little")
+        for batch in batches:
+            found = pa.array(table[batch.column(batch.num_columns - 1).to_numpy()] == 1)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], names=[*batch.schema.names[:-1], "marked"])
+
+    kinds = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+    return rows.select("*", place_of("doc", bits)).mapInArrow(run, f"{kinds}, marked boolean")
+
+
+def whole_sets(rows: DataFrame, wanted: DataFrame, k: int, bits: int) -> DataFrame:
+    """rep, tokens for the wanted documents and some others: the bit map spares most of them."""
+    shared = bit_map(wanted, bits)
 
     def run(batches):
         table = np.unpackbits(np.frombuffer(shared.value, np.uint8), bitorder="little")
@@ -149,55 +174,84 @@ def whole_sets(rows: DataFrame, wanted: DataFrame, k: int, bits: int) -> DataFra
                 [pa.array([keys[i] for i in keep], pa.int64()),
                  pa.array([shingles(texts[i].as_py(), k).view(np.int64) for i in keep], pa.list_(pa.int64()))], names=["rep", "tokens"])
 
-    placed = rows.where("doc IS NOT NULL").select("doc", "content", F.xxhash64("doc").bitwiseAND(F.lit(low)).alias("place"))
+    placed = rows.where("doc IS NOT NULL").select("doc", "content", place_of("doc", bits))
     return settle(placed.mapInArrow(run, "rep long, tokens array<long>"), "shingle-sets")
 
 
+def behind(part: int, whole: int) -> Column:
+    """The weight of what two sets have in common from the place of a shingle on, taken off: see can_link."""
+    return 2 * (whole + part) * F.col("at") - F.col("weight") - 2 * (whole - part) * F.col("n")
+
+
 def can_link(part: int, whole: int) -> Column:
-    """Whether sizes and the places of a common shingle allow a link of a (n, at) and b (b_n, b_at)."""
-    overlap = F.least("at", "b_at") + F.least(F.col("n") - F.col("at"), F.col("b_n") - F.col("b_at"))
-    return ((whole * F.least("n", "b_n") >= part * F.greatest("n", "b_n"))
-            & ((part + whole) * overlap >= part * (F.col("n") + F.col("b_n"))))
+    """Whether sizes, places and counts allow that a (n, weight, behind, met) and b link and have this as first common shingle.
+
+    With D as in differences, or the whole set, D differ at least in what stands before the places and in what is longer behind
+    them. That is (weight + b_behind) / (whole + part) or the like with a and b exchanged over what links bear. Besides, the first of
+    the common shingles are in both indexed parts; met is how many of a set's indexed shingles another set has.
+    """
+    n, b_n = F.col("n").cast("long"), F.col("b_n").cast("long")
+    common = part * whole * (n + b_n) - part * (part + whole) * F.greatest(n, b_n)
+    return ((whole * F.least(n, b_n) >= part * F.greatest(n, b_n)) & (F.col("weight") + F.col("b_behind") <= 0)
+            & (F.col("b_weight") + F.col("behind") <= 0) & ((part + whole) * whole * F.least("met", "b_met") >= common))
 
 
 def merged(lists: DataFrame) -> DataFrame:
-    """list, rep, n, at, m: shingles that the same documents have become one list.
+    """list, leader, rep, n, weight, met, at, m: shingles that the same documents have become one list, for each leader.
 
-    m is the number of its shingles, at the place of the last one. Lists are numbered by hashes; two that get one
+    m is the number of its shingles, at the place of the first. Lists are numbered by hashes; two that get one
     number are compared together, which changes no result.
     """
     one, two = F.xxhash64("rep"), F.xxhash64(F.lit(7), "rep")
-    members = (lists.groupBy("token").agg(F.bit_xor(one).alias("x"), F.bit_xor(two).alias("y"), F.count(F.lit(1)).alias("c"))
-               .where("c > 1").select("token", F.xxhash64("x", "y", "c").alias("list")))
-    return lists.join(members, "token").groupBy("list", "rep", "n").agg(F.max("at").alias("at"), F.count(F.lit(1)).cast("int").alias("m"))
+    members = (lists.groupBy("token").agg(F.bit_xor(one).alias("x"), F.bit_xor(two).alias("y"), F.count(F.lit(1)).alias("c"), F.min("leader").alias("l"))
+               .where("c > 1").select("token", F.xxhash64("x", "y", "c", "l").alias("list")))
+    return (lists.join(members, "token").groupBy("list", "leader", "rep", "n", "weight", "met")
+            .agg(F.min("at").alias("at"), F.sum("m").cast("int").alias("m")))
+
+
+def with_met(lists: DataFrame) -> DataFrame:
+    """met becomes the number of a set's shingles in the lists."""
+    met = lists.groupBy("rep").agg(F.sum("m").cast("int").alias("met"))
+    return lists.drop("met").join(met, "rep")
+
+
+#: What two rows of a list need to meet.
+MEETING = ["n", "weight", "behind", "met", "component"]
+ROW = ["list", "leader", "rep", "n", "weight", "met", "at", "m", "component"]
 
 
-def mixed_lists(lists: DataFrame, labels: DataFrame | None, label: str) -> DataFrame:
-    """list, rep, n, at, m, size: the lists that hold different components, with their number of sets; without labels all
-    that hold two sets."""
-    own = lists.select("list", "rep", "n", "at", "m")
-    marked = own.withColumn("component", F.col("rep"))
+def mixed_lists(lists: DataFrame, labels: DataFrame | None, label: str, part: int, whole: int) -> DataFrame:
+    """ROW, size: the lists that hold different components, with their number of sets; without labels all that hold two
+    sets. Rows that can link with none of their list are left out."""
+    own = lists.select(*[c for c in ROW if c != "component"])
+    rows = own.withColumn("component", F.col("rep"))
     if labels is not None:
-        marked = own.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = (marked.groupBy("list").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"))
-             .where("lo < hi").select("list", "size"))
-    return settle(marked.join(mixed, "list").select("list", "rep", "n", "at", "m", "component", "size"), label)
+        rows = own.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    least = (rows.groupBy("list").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("weight").alias("least_weight"),
+                                        F.min(behind(part, whole)).alias("least_behind")).where("lo < hi"))
+    fit = (rows.join(least, "list").where((F.col("weight") + F.col("least_behind") <= 0) & (behind(part, whole) + F.col("least_weight") <= 0))
+           .select(*ROW))
+    whole_list = Window.partitionBy("list")
+    sized = fit.select(*ROW, F.count(F.lit(1)).over(whole_list).cast("int").alias("size"), F.min("component").over(whole_list).alias("lo"),
+                       F.max("component").over(whole_list).alias("hi"))
+    return settle(sized.where("lo < hi").select(*ROW, "size"), label)
 
 
 def leaders(lists: DataFrame, turn: int, part: int, whole: int) -> DataFrame:
     """a, b: every set with that pivot of its lists that has most indexed shingles in common with it, others each turn."""
-    first = F.min(F.struct(F.xxhash64(F.lit(turn), "rep"), "n", "rep", "at", "component")).alias("pivot")
-    pivots = lists.groupBy("list").agg(first).select("list", *[F.col(f"pivot.{c}").alias(name) for c, name in (
-        ("n", "b_n"), ("rep", "b"), ("at", "b_at"), ("component", "b_component"))])
-    met = lists.join(pivots, "list").where((F.col("component") != F.col("b_component")) & can_link(part, whole))
+    rows = lists.withColumn("behind", behind(part, whole))
+    first = F.min(F.struct(F.xxhash64(F.lit(turn), "rep"), "rep", *MEETING)).alias("pivot")
+    pivots = rows.groupBy("list").agg(first).select("list", F.col("pivot.rep").alias("b"), *[F.col(f"pivot.{c}").alias(f"b_{c}") for c in MEETING])
+    met = rows.join(pivots, "list").where((F.col("component") != F.col("b_component")) & can_link(part, whole))
     common = met.groupBy(F.col("rep").alias("a"), "b").agg(F.sum("m").alias("m"))
     return settle(common.groupBy("a").agg(F.max_by("b", F.struct("m", "b")).alias("b")), "leader-pairs")
 
 
 def short_pairs(lists: DataFrame, part: int, whole: int) -> DataFrame:
     """a, b: the pairs of different components in the same list that sizes and places allow. For short lists."""
-    other = lists.select("list", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("at").alias("b_at"), F.col("component").alias("b_component"))
-    return (lists.join(other, "list")
+    rows = lists.withColumn("behind", behind(part, whole)).select("list", "rep", *MEETING)
+    other = rows.select("list", F.col("rep").alias("b"), *[F.col(c).alias(f"b_{c}") for c in MEETING])
+    return (rows.join(other, "list")
             .where((F.col("rep") < F.col("b")) & (F.col("component") != F.col("b_component")) & can_link(part, whole))
             .select(F.col("rep").alias("a"), "b").distinct())
 
@@ -207,7 +261,7 @@ def size_blocks(lists: DataFrame, part: int, whole: int) -> DataFrame:
     Equal lists are merged again."""
     block = F.floor(F.log("n") / math.log(whole / part)) if part < whole else F.col("n").cast("long")
     return merged(lists.withColumn("block", F.explode(F.array(block, block - 1)))
-                  .select(F.xxhash64("list", "block").alias("token"), "rep", "n", "at"))
+                  .select(F.xxhash64("list", "block").alias("token"), "leader", "rep", "n", "weight", "met", "at", "m"))
 
 
 def grouped(lists: DataFrame, turn: int) -> DataFrame:
@@ -231,7 +285,8 @@ def differences(groups: DataFrame, sets: DataFrame, last: list[int], part: int,
     """leader, rep, n, weight, first: the first shingles of each set's difference D to the reference of its group.
 
     Two sets of sizes n link if, and without common shingles of D only if, their weights (whole + part) * |D| -
-    (whole - part) * n sum up to 0 or less. Else D must share |D| - n * (whole - part) / part shingles or more, and one.
+    (whole - part) * n sum up to 0 or less. Else D must share |D| - n * (whole - part) / part shingles or more, and one;
+    and half of the sum of weights / (whole + part).
     """
     shared = groups.sparkSession.sparkContext.broadcast(Order(last))
 
@@ -260,12 +315,17 @@ def nearest_links(found: DataFrame) -> DataFrame:
     return met.select(F.col("nearest.rep").alias("a"), F.col("rep").alias("b"))
 
 
-def difference_lists(found: DataFrame, turn: int) -> DataFrame:
-    """list, rep, n, at, m: the index of the differences of all groups, equal lists merged. Places say nothing here."""
-    entries = found.select("leader", "rep", "n", F.explode("first").alias("token"))
+def difference_lists(found: DataFrame, turn: int, part: int, whole: int) -> DataFrame:
+    """The index of the differences of all groups, equal lists of a group merged: columns of merged; met says nothing here."""
+    least = found.groupBy("leader").agg(F.min("weight").alias("least"))
+    # At most |D| less half of the least sum of weights.
+    needed = F.floor((F.col("weight") + 2 * (whole - part) * F.col("n") - F.col("least")) / (2 * (whole + part))).cast("int") + 1
+    entries = (found.join(least, "leader")
+               .select("leader", "rep", "n", "weight", F.posexplode(F.slice("first", F.lit(1), F.greatest(needed, F.lit(0)))).alias("at", "token")))
     common = entries.groupBy("leader", "token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("leader", "token")
     lists = (entries.join(common, ["leader", "token"])
-             .select(F.xxhash64(F.lit(turn), "leader", "token").alias("token"), "rep", "n", F.lit(0).alias("at")))
+             .select(F.xxhash64(F.lit(turn), "leader", "token").alias("token"), "leader", "rep", "n", "weight", F.col("n").alias("met"), "at",
+                     F.lit(1).alias("m")))
     return merged(settle(lists, "difference-index"))
 
 
@@ -277,6 +337,7 @@ def plausible(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataF
                     for n, b_n, x, y in zip(*(c.to_pylist() for c in batch.columns[2:])) for d in (least_difference(x, y),)]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
+    sets = marked(sets.select("doc", "n", "sketch"), ends_of(pairs), MAP_BITS).where("marked")
     met = (pairs.join(sets.select(F.col("doc").alias("a"), "n", F.col("sketch").alias("x")), "a")
            .join(sets.select(F.col("doc").alias("b"), F.col("n").alias("b_n"), F.col("sketch").alias("y")), "b"))
     return met.select("a", "b", "n", "b_n", "x", "y").mapInArrow(run, "a long, b long").distinct()
@@ -331,11 +392,16 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     known = sets.where("doc IS NOT NULL AND n > 0")
     classes = settle(known.groupBy("digest").agg(F.min("doc").alias("rep")), "shingle-classes")
     copies = settle(known.select("doc", "digest").join(classes, "digest").where("doc != rep").select("doc"), "shingle-copies")
+    # Only those that may be copies travel to their names.
+    seen = settle(marked(known.select("doc", "n", "first"), copies.select(F.col("doc").alias("rep")), MAP_BITS), "marked-prefixes")
+    single = settle(seen.where("marked").join(copies, "doc", "left_anti"), "marked-classes")
+    firsts = seen.where("NOT marked").unionByName(single).select("doc", F.col("n").cast("int").alias("n"), "first")
     # Most shingles are in one document only: find the others by counts before anything else travels.
-    shared = known.select(F.explode("first").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
-    entries = known.select(F.col("doc").alias("rep"), F.col("n").cast("int").alias("n"), F.posexplode("first").alias("at", "token"))
+    shared = firsts.select(F.explode("first").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
+    entries = firsts.select(F.col("doc").alias("rep"), "n", F.posexplode("first").alias("at", "token"))
     lists = settle(entries.join(shared, "token"), "shingle-index")
-    lists = settle(merged(lists.join(copies, F.col("rep") == F.col("doc"), "left_anti")), "shingle-merged")
+    lists = lists.withColumns({"leader": F.lit(0).cast("long"), "weight": 2 * part * F.col("n").cast("long"), "met": F.lit(0), "m": F.lit(1)})
+    lists = settle(with_met(settle(merged(lists), "shingle-merged")), "shingle-counted")
     links = labels = None
     release(spark)
 
@@ -348,26 +414,26 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
             labels = components(spark, links)
 
     for turn in range(TURNS):
-        lists = mixed_lists(lists, labels, "shingle-lists")
+        lists = mixed_lists(lists, labels, "shingle-lists", part, whole)
         pairs = settle(plausible(leaders(lists, turn, part, whole), known, part, whole), "leader-candidates")
         join_up(linked(pairs, whole_sets(rows, ends_of(pairs), k, MAP_BITS), part, whole))
     for turn in range(MOST + 1):
-        lists = mixed_lists(lists, labels, "lists-left")
+        lists = mixed_lists(lists, labels, "lists-left", part, whole)
         if lists.isEmpty():
             break
         short, long, few = lists, None, LATER if turn else SHORT
         if turn < MOST and not lists.where(F.col("size") > few).isEmpty():
-            blocks = mixed_lists(size_blocks(lists.where(F.col("size") > few), part, whole), labels, "size-blocks")
+            blocks = mixed_lists(size_blocks(lists.where(F.col("size") > few), part, whole), labels, "size-blocks", part, whole)
             short = lists.where(F.col("size") <= few).unionByName(blocks.where(F.col("size") <= few))
             long = grouped(blocks.where(F.col("size") > few), turn)
-        pairs = settle(plausible(short_pairs(short, part, whole), known, part, whole), "short-candidates")
+        pairs = settle(plausible(settle(short_pairs(short, part, whole), "short-pairs"), known, part, whole), "short-candidates")
         wanted = ends_of(pairs) if long is None else ends_of(pairs).unionByName(long.select("rep"))
         whole_texts = whole_sets(rows, wanted, k, MAP_BITS)
         found = linked(pairs, whole_texts, part, whole)
         if long is not None:
             apart = differences(long, whole_texts, last, part, whole)
             found = found.unionByName(nearest_links(apart))
-            lists = settle(difference_lists(apart, turn), "difference-lists")
+            lists = settle(difference_lists(apart, turn, part, whole), "difference-lists")
         join_up(found)
         if long is None:
             break
