@@ -220,3 +220,15 @@ def test_the_composite_reads_the_pixels_once(spark, tmp_path):
     px = pix.to_celsius(pix.qa_mask(spark.read.parquet(str(tmp_path / "p"))))
     text = pix.monthly_composite(px, (2003, 2003))._jdf.queryExecution().executedPlan().toString()
     assert text.count("FileScan parquet") == 1
+
+
+def test_shares_are_found_once_per_place(spark, monkeypatch):
+    """Not once per image; a region that is listed twice changes nothing."""
+    regions = spark.createDataFrame([("one", 10.0, 20.0, 10.3, 20.2)], REGIONS)
+    images = [(f"2003-{m:02}-{d:02}", lon, 20.1, 1.0 * m * d, 2.0) for m in (1, 2) for d in range(1, 9) for lon in (9.9, 10.0, 10.1, 40.0)]
+    px = spark.createDataFrame(images, "t string, lon double, lat double, LST_Day_C double, LST_Night_C double")
+    asked, plain = [], pix.zones
+    monkeypatch.setattr(pix, "zones", lambda rows, *a, **b: asked.append(rows.count()) or plain(rows, *a, **b))
+    once = sorted(tuple(r) for r in pix.zone_composite(px, regions, (2003, 2003), footprint=(0.1, 0.05)).collect())
+    assert asked == [3] and len(once) == 8
+    assert sorted(tuple(r) for r in pix.zone_composite(px, regions.union(regions), (2003, 2003), footprint=(0.1, 0.05)).collect()) == once

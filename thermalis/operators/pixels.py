@@ -171,6 +171,14 @@ def in_tiles(px: DataFrame, covered: DataFrame, cell: float = CELL_DEG, tile: fl
     return px.join(tiles, ["tile_x", "tile_y"], "left_semi")
 
 
+def _in_cells(px: DataFrame, covered: DataFrame, cell: float = CELL_DEG) -> DataFrame:
+    """Pixels in the box around all regions and, of a tiled table, in their tiles; cx and cy are their grid cells."""
+    rows = clipped(px, covered)
+    if "tile_x" in px.columns:
+        rows = in_tiles(rows, covered, cell)
+    return rows.withColumns({"cx": _on_circle(F.floor(F.col("lon") / cell), _circle(cell)), "cy": F.floor(F.col("lat") / cell)})
+
+
 def _ring_share(lon: Column, footprint: tuple[float, float], buffer_m: float, steps: int) -> Column:
     """The share of a footprint in the ring, by a grid of points."""
     found = F.lit(0)
@@ -201,12 +209,8 @@ def zones(px: DataFrame, regions: DataFrame, buffer_m: float = RING_M, cell: flo
     share as its weight: the exact area in the rectangle, and steps x steps points in the ring.
     """
     covered = regions if "cx" in regions.columns else region_cells(regions, buffer_m, cell, footprint or (0.0, 0.0))
-    rows = clipped(px, covered)
-    if "tile_x" in px.columns:
-        rows = in_tiles(rows, covered, cell)
     lat, turned = F.col("lat"), F.col("turned")
-    met = (rows.withColumns({"cx": _on_circle(F.floor(F.col("lon") / cell), _circle(cell)), "cy": F.floor(lat / cell)})
-           .join(covered, ["cx", "cy"]).withColumn("turned", _around(F.col("lon"), F.col("x0"), F.col("x1"))))
+    met = _in_cells(px, covered, cell).join(covered, ["cx", "cy"]).withColumn("turned", _around(F.col("lon"), F.col("x0"), F.col("x1")))
     if footprint is None:
         near = _distance_m(turned, lat, F.greatest(F.least(turned, F.col("x1")), F.col("x0")),
                            F.greatest(F.least(lat, F.col("y1")), F.col("y0")))
@@ -244,11 +248,17 @@ def zone_composite(px: DataFrame, regions: DataFrame, years: tuple[int, int],
     """Monthly means of masked °C pixels, for the pixels of each city's zones only.
 
     Pixels outside all zones are dropped by the join, before anything is shuffled. A pixel-month
-    without a valid value stays as a row of nulls. With a footprint each row has its weight.
+    without a valid value stays as a row of nulls. With a footprint each row has its weight: shares are found once per
+    place instead of once per image, and pixels in no cell of a region are dropped before any shuffle.
     """
-    rows = zones(_in_years(px, years), regions, buffer_m, footprint=footprint)
-    weight = [] if footprint is None else ["weight"]
-    return _means(_with_months(rows), "city", "zone", "lon", "lat", *weight, "year", "month")
+    rows = _in_years(px, years)
+    if footprint is None:
+        return _means(_with_months(zones(rows, regions, buffer_m)), "city", "zone", "lon", "lat", "year", "month")
+    covered = regions if "cx" in regions.columns else region_cells(regions, buffer_m, footprint=footprint)
+    near = _in_cells(rows, covered).join(covered.select("cx", "cy").distinct(), ["cx", "cy"], "left_semi")
+    shares = zones(near.select("lon", "lat").distinct(), covered, buffer_m, footprint=footprint).distinct()
+    return (_means(_with_months(near), "lon", "lat", "year", "month").join(shares, ["lon", "lat"])
+            .select("city", "zone", "lon", "lat", "weight", "year", "month", DAY, NIGHT))
 
 
 def zonal_series(composite: DataFrame, years: tuple[int, int], fill: float | None = None,
