@@ -2,10 +2,13 @@
 
 import random
 import re
+from pathlib import Path
 
 import numpy as np
+import pytest
 
 from thermalis.llm import ngram_join
+from thermalis.sources import durable
 
 
 def lower(text):
@@ -136,3 +139,37 @@ def test_lines_that_many_texts_have_make_no_pairs(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(tuple(r) for r in ngram_join.cluster(docs).collect()) == brute(rows)
     assert 10 <= sum(df.count() for df in made) < 30
+
+
+@pytest.fixture
+def many_partitions(spark):
+    """Shuffles of 40 partitions that are not joined."""
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_the_bit_map_comes_in_one_job(spark, many_partitions):
+    context = spark.sparkContext
+    wanted = spark.createDataFrame([(i,) for i in range(0, 3000, 3)], "rep long")
+    context.setJobGroup("bit-map", "bit map")
+    table = np.unpackbits(np.frombuffer(ngram_join.bit_map(wanted, 16).value, np.uint8), bitorder="little")
+    context.setLocalProperty("spark.jobGroup.id", None)
+    places = {r.place for r in wanted.select(ngram_join.place_of("rep", 16)).collect()}
+    assert set(np.flatnonzero(table).tolist()) == places
+    assert not np.any(np.frombuffer(ngram_join.bit_map(wanted.limit(0), 16).value, np.uint8))
+    assert len(context.statusTracker().getJobIdsForGroup("bit-map")) <= 5
+
+
+def test_small_tables_are_few_files(spark, many_partitions, tmp_path, monkeypatch):
+    rows = groups()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(durable, "scratch_root", lambda spark: str(tmp_path))
+    got = sorted(tuple(r) for r in ngram_join.cluster(docs.repartition(5)).collect())
+    assert got == brute(rows)
+    files = {table.name[:-33]: len(list(table.glob("part-*"))) for table in Path(tmp_path).iterdir()}
+    assert "labels" in files and max(files.values()) <= max(5, spark.sparkContext.defaultParallelism), files

@@ -40,6 +40,10 @@ MAP_BITS = 23
 #: differences those of LATER, and all that are left after MOST turns. Any numbers give the same components.
 TURNS, SHORT, LATER, MOST = 1, 64, 64, 3
 STEP = np.uint64(0x9E3779B97F4A7C15)
+#: A table is written by a task for so many of its rows, and by as many as there are cores at least.
+TASK_ROWS = 50_000
+#: So many shingles weigh as much as a row.
+HEAVY = 16
 
 
 def shingles(text: bytes, k: int) -> np.ndarray:
@@ -132,14 +136,24 @@ def prefixes(rows: DataFrame, k: int, part: int, whole: int, last: list[int]) ->
     return settle(rows.mapInArrow(run, "doc long, n long, digest binary, sketch binary, first array<long>"), "shingle-prefixes")
 
 
+def settled(df: DataFrame, label: str, rows: int) -> DataFrame:
+    """df as a table, given how many rows it has at most (or so many as weigh as much).
+
+    Every file of a table costs the time to make it and its rights, and on a local disk a process that the executor forks
+    for that, so small tables of many partitions are written by few tasks. That only joins partitions: no row moves.
+    """
+    return settle(df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))), label)
+
+
 def bit_map(wanted: DataFrame, bits: int) -> Broadcast:
-    """The places of the wanted rep, as a bit map of fixed size."""
+    """The places of the wanted rep, as a bit map of fixed size. Its words, of which there are 2**bits / 64 at most, come to
+    the driver in one job, not in one for each partition."""
     low = (1 << bits) - 1
     words = (wanted.select(F.xxhash64("rep").bitwiseAND(F.lit(low)).alias("place"))
              .groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(place & 63 AS INT))")).alias("mask")))
     table = np.zeros(1 << bits >> 6, np.int64)
-    for r in words.toLocalIterator():
-        table[r.word] = r.mask
+    found = words.toArrow()
+    table[found.column("word").to_numpy()] = found.column("mask").to_numpy()
     return wanted.sparkSession.sparkContext.broadcast(table.tobytes())
 
 
@@ -220,9 +234,9 @@ MEETING = ["n", "weight", "behind", "met", "component"]
 ROW = ["list", "leader", "rep", "n", "weight", "met", "at", "m", "component"]
 
 
-def mixed_lists(lists: DataFrame, labels: DataFrame | None, label: str, part: int, whole: int) -> DataFrame:
+def mixed_lists(lists: DataFrame, labels: DataFrame | None, label: str, part: int, whole: int, n: int) -> DataFrame:
     """ROW, size: the lists that hold different components, with their number of sets; without labels all that hold two
-    sets. Rows that can link with none of their list are left out."""
+    sets. Rows that can link with none of their list are left out. n: rows of lists, at most."""
     own = lists.select(*[c for c in ROW if c != "component"])
     rows = own.withColumn("component", F.col("rep"))
     if labels is not None:
@@ -234,17 +248,18 @@ def mixed_lists(lists: DataFrame, labels: DataFrame | None, label: str, part: in
     whole_list = Window.partitionBy("list")
     sized = fit.select(*ROW, F.count(F.lit(1)).over(whole_list).cast("int").alias("size"), F.min("component").over(whole_list).alias("lo"),
                        F.max("component").over(whole_list).alias("hi"))
-    return settle(sized.where("lo < hi").select(*ROW, "size"), label)
+    return settled(sized.where("lo < hi").select(*ROW, "size"), label, n)
 
 
-def leaders(lists: DataFrame, turn: int, part: int, whole: int) -> DataFrame:
-    """a, b: every set with that pivot of its lists that has most indexed shingles in common with it, others each turn."""
+def leaders(lists: DataFrame, turn: int, part: int, whole: int, n: int) -> DataFrame:
+    """a, b: every one of at most n sets with that pivot of its lists that has most indexed shingles in common with it, others
+    each turn."""
     rows = lists.withColumn("behind", behind(part, whole))
     first = F.min(F.struct(F.xxhash64(F.lit(turn), "rep"), "rep", *MEETING)).alias("pivot")
     pivots = rows.groupBy("list").agg(first).select("list", F.col("pivot.rep").alias("b"), *[F.col(f"pivot.{c}").alias(f"b_{c}") for c in MEETING])
     met = rows.join(pivots, "list").where((F.col("component") != F.col("b_component")) & can_link(part, whole))
     common = met.groupBy(F.col("rep").alias("a"), "b").agg(F.sum("m").alias("m"))
-    return settle(common.groupBy("a").agg(F.max_by("b", F.struct("m", "b")).alias("b")), "leader-pairs")
+    return settled(common.groupBy("a").agg(F.max_by("b", F.struct("m", "b")).alias("b")), "leader-pairs", n)
 
 
 def short_pairs(lists: DataFrame, part: int, whole: int) -> DataFrame:
@@ -264,12 +279,13 @@ def size_blocks(lists: DataFrame, part: int, whole: int) -> DataFrame:
                   .select(F.xxhash64("list", "block").alias("token"), "leader", "rep", "n", "weight", "met", "at", "m"))
 
 
-def grouped(lists: DataFrame, turn: int) -> DataFrame:
-    """leader, rep, n: the sets of all long lists of the index that have the same pivot; later, of each long list."""
+def grouped(lists: DataFrame, turn: int, n: int) -> DataFrame:
+    """leader, rep, n: the sets of all long lists of the index that have the same pivot; later, of each long list. n: rows of
+    lists, at most."""
     if turn:
-        return settle(lists.select(F.col("list").alias("leader"), "rep", "n"), "difference-groups")
+        return settled(lists.select(F.col("list").alias("leader"), "rep", "n"), "difference-groups", n)
     pivots = lists.groupBy("list").agg(F.min(F.struct(F.xxhash64("rep"), "rep")).alias("pivot"))
-    return settle(lists.join(pivots, "list").select(F.col("pivot.rep").alias("leader"), "rep", "n").distinct(), "difference-groups")
+    return settled(lists.join(pivots, "list").select(F.col("pivot.rep").alias("leader"), "rep", "n").distinct(), "difference-groups", n)
 
 
 def references(groups: DataFrame, sets: DataFrame) -> DataFrame:
@@ -305,7 +321,8 @@ def differences(groups: DataFrame, sets: DataFrame, last: list[int], part: int,
                                              names=["leader", "rep", "n", "weight", "first"])
 
     rows = groups.join(sets, "rep").join(references(groups, sets), "leader", "left").select("leader", "rep", "n", "tokens", "reference")
-    return settle(rows.mapInArrow(run, "leader long, rep long, n int, weight long, first array<long>"), "differences")
+    heavy = groups.agg(F.sum("n")).first()[0] // HEAVY
+    return settled(rows.mapInArrow(run, "leader long, rep long, n int, weight long, first array<long>"), "differences", heavy)
 
 
 def nearest_links(found: DataFrame) -> DataFrame:
@@ -316,7 +333,8 @@ def nearest_links(found: DataFrame) -> DataFrame:
 
 
 def difference_lists(found: DataFrame, turn: int, part: int, whole: int) -> DataFrame:
-    """The index of the differences of all groups, equal lists of a group merged: columns of merged; met says nothing here."""
+    """The index of the differences of all groups, equal lists of a group merged, as a table: columns of merged; met says
+    nothing here."""
     least = found.groupBy("leader").agg(F.min("weight").alias("least"))
     # At most |D| less half of the least sum of weights.
     needed = F.floor((F.col("weight") + 2 * (whole - part) * F.col("n") - F.col("least")) / (2 * (whole + part))).cast("int") + 1
@@ -326,7 +344,8 @@ def difference_lists(found: DataFrame, turn: int, part: int, whole: int) -> Data
     lists = (entries.join(common, ["leader", "token"])
              .select(F.xxhash64(F.lit(turn), "leader", "token").alias("token"), "leader", "rep", "n", "weight", F.col("n").alias("met"), "at",
                      F.lit(1).alias("m")))
-    return merged(settle(lists, "difference-index"))
+    most = found.agg(F.sum(F.size("first"))).first()[0] or 0
+    return settled(merged(settled(lists, "difference-index", most)), "difference-lists", most)
 
 
 def plausible(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
@@ -358,8 +377,10 @@ def ends_of(pairs: DataFrame) -> DataFrame:
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """rep, component: the smallest rep that is reachable, for all ends of the edges a, b."""
-    both = settle(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
-    labels = settle(both.groupBy(F.col("a").alias("rep")).agg(F.least(F.min("b"), F.min("a")).alias("component")), "labels")
+    n = 2 * edges.count()
+    both = settled(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges", n)
+    labels = settled(both.groupBy(F.col("a").alias("rep")).agg(F.least(F.min("b"), F.min("a")).alias("component")), "labels", n)
+    n = labels.count()
     while True:
         heard = (both.join(labels, F.col("b") == F.col("rep")).groupBy(F.col("a").alias("h_rep"))
                  .agg(F.min("component").alias("heard")))
@@ -367,8 +388,8 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
                  .select("rep", F.col("component").alias("old"), F.least("component", "heard").alias("component")))
         # The label's own label is nearer to the least.
         jump = lower.select(F.col("rep").alias("j_rep"), F.col("component").alias("jump"))
-        now = settle(lower.join(jump, F.col("component") == F.col("j_rep"), "left")
-                     .select("rep", "old", F.least("component", "jump").alias("component")), "labels")
+        now = settled(lower.join(jump, F.col("component") == F.col("j_rep"), "left")
+                      .select("rep", "old", F.least("component", "jump").alias("component")), "labels", n)
         labels = now.select("rep", "component")
         if now.where("old != component").isEmpty():
             return labels
@@ -390,8 +411,11 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     last = frequent(rows, k)
     sets = prefixes(rows, k, part, whole, last)
     known = sets.where("doc IS NOT NULL AND n > 0")
-    classes = settle(known.groupBy("digest").agg(F.min("doc").alias("rep")), "shingle-classes")
-    copies = settle(known.select("doc", "digest").join(classes, "digest").where("doc != rep").select("doc"), "shingle-copies")
+    n, total = (x or 0 for x in known.agg(F.count(F.lit(1)), F.sum("n")).first())
+    # So long are the first shingles of all sets together, at most.
+    indexed = total * (whole - part) // whole + n
+    classes = settled(known.groupBy("digest").agg(F.min("doc").alias("rep")), "shingle-classes", n)
+    copies = settled(known.select("doc", "digest").join(classes, "digest").where("doc != rep").select("doc"), "shingle-copies", n)
     # Only those that may be copies travel to their names.
     seen = settle(marked(known.select("doc", "n", "first"), copies.select(F.col("doc").alias("rep")), MAP_BITS), "marked-prefixes")
     single = settle(seen.where("marked").join(copies, "doc", "left_anti"), "marked-classes")
@@ -399,42 +423,45 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     # Most shingles are in one document only: find the others by counts before anything else travels.
     shared = firsts.select(F.explode("first").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
     entries = firsts.select(F.col("doc").alias("rep"), "n", F.posexplode("first").alias("at", "token"))
-    lists = settle(entries.join(shared, "token"), "shingle-index")
+    lists = settled(entries.join(shared, "token"), "shingle-index", indexed)
     lists = lists.withColumns({"leader": F.lit(0).cast("long"), "weight": 2 * part * F.col("n").cast("long"), "met": F.lit(0), "m": F.lit(1)})
-    lists = settle(with_met(settle(merged(lists), "shingle-merged")), "shingle-counted")
+    lists = settled(with_met(settled(merged(lists), "shingle-merged", indexed)), "shingle-counted", indexed)
     links = labels = None
     release(spark)
 
-    def join_up(found):
+    def join_up(found, n):
         nonlocal links, labels
-        found = settle(found, "links")
+        found = settled(found, "links", n)
         release(spark)
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             labels = components(spark, links)
 
     for turn in range(TURNS):
-        lists = mixed_lists(lists, labels, "shingle-lists", part, whole)
-        pairs = settle(plausible(leaders(lists, turn, part, whole), known, part, whole), "leader-candidates")
-        join_up(linked(pairs, whole_sets(rows, ends_of(pairs), k, MAP_BITS), part, whole))
+        lists = mixed_lists(lists, labels, "shingle-lists", part, whole, indexed)
+        pairs = settled(plausible(leaders(lists, turn, part, whole, n), known, part, whole), "leader-candidates", n)
+        join_up(linked(pairs, whole_sets(rows, ends_of(pairs), k, MAP_BITS), part, whole), total // HEAVY)
     for turn in range(MOST + 1):
-        lists = mixed_lists(lists, labels, "lists-left", part, whole)
-        if lists.isEmpty():
+        lists = mixed_lists(lists, labels, "lists-left", part, whole, lists.count())
+        left = lists.count()
+        if not left:
             break
         short, long, few = lists, None, LATER if turn else SHORT
         if turn < MOST and not lists.where(F.col("size") > few).isEmpty():
-            blocks = mixed_lists(size_blocks(lists.where(F.col("size") > few), part, whole), labels, "size-blocks", part, whole)
+            blocks = mixed_lists(size_blocks(lists.where(F.col("size") > few), part, whole), labels, "size-blocks", part, whole, 2 * left)
             short = lists.where(F.col("size") <= few).unionByName(blocks.where(F.col("size") <= few))
-            long = grouped(blocks.where(F.col("size") > few), turn)
-        pairs = settle(plausible(settle(short_pairs(short, part, whole), "short-pairs"), known, part, whole), "short-candidates")
+            long = grouped(blocks.where(F.col("size") > few), turn, 2 * left)
+        met = (short.agg(F.sum("size")).first()[0] or 0) // 2
+        met = settled(short_pairs(short, part, whole), "short-pairs", met)
+        pairs = settled(plausible(met, known, part, whole), "short-candidates", met.count())
         wanted = ends_of(pairs) if long is None else ends_of(pairs).unionByName(long.select("rep"))
         whole_texts = whole_sets(rows, wanted, k, MAP_BITS)
         found = linked(pairs, whole_texts, part, whole)
         if long is not None:
             apart = differences(long, whole_texts, last, part, whole)
             found = found.unionByName(nearest_links(apart))
-            lists = settle(difference_lists(apart, turn, part, whole), "difference-lists")
-        join_up(found)
+            lists = difference_lists(apart, turn, part, whole)
+        join_up(found, total // HEAVY)
         if long is None:
             break
     if labels is None:
