@@ -33,7 +33,9 @@ def benchmark_passages(spark, docs, sf_dir):
 def tokens(spark, docs, sf_dir):
     """doc_id, n_tokens, ids (little-endian 32-bit), decoded_sha256 of the bytes that the ids decode to."""
     vocabulary = registry.vocabulary()
-    back = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
+    # A table between the two: else every task has a Python worker for each, and both keep their memory for the next stages.
+    coded = settle(bpe.encode(docs, vocabulary), "tokens")
+    back = bpe.decode(coded, vocabulary)
     return back.select("doc_id", "n_tokens", "ids", F.sha2("text_bytes", 256).alias("decoded_sha256"))
 
 

@@ -1,6 +1,8 @@
 """Byte-level BPE against the tiktoken library."""
 
+import pickle
 import random
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -57,3 +59,26 @@ def test_round_trip_with_nulls_repeats_and_clashing_columns(spark, vocab, refere
     assert sorted(r.text_bytes.decode() for r in back) == sorted(t or "" for _, t, _, _ in rows)
     assert sorted(r.n_tokens for r in back) == sorted(len(reference.encode_ordinary(t or "")) for _, t, _, _ in rows)
     assert bpe.round_trip(docs.limit(0), vocab).count() == 0
+
+
+def test_a_worker_holds_little_while_it_encodes(vocab):
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("etaoinshrdlu", k=rng.randint(3, 16))) for _ in range(400)) for _ in range(1000)]
+    coder, size = bpe.Encoder(vocab), 0
+    tracemalloc.start()
+    for part in bpe.slices(texts):
+        size += sum(map(len, coder.encode(texts[part])))
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert size and len(coder.known) <= bpe.CACHED
+    assert held < 50 << 20 and peak < 90 << 20
+
+
+def test_decoding_takes_along_the_pieces_alone(spark, vocab, monkeypatch):
+    sent = []
+    whole = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value) or whole(self, value))
+    docs = spark.createDataFrame([(1, "the cat")], "doc_id long, text string")
+    back = bpe.decode(bpe.encode(docs, vocab), vocab)
+    assert bytes(back.first().text_bytes) == b"the cat"
+    assert len(pickle.dumps(sent[-1], 5)) < len(pickle.dumps(vocab, 5)) / 3

@@ -52,3 +52,10 @@ def test_stages(spark, tmp_path):
 def test_order_of_stages():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "exact dedup", "n-gram Jaccard join", "benchmark decontamination", "byte-level BPE"]
+
+
+def test_a_task_of_the_last_stage_has_one_python_worker(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "the cat"), (2, None)], "doc_id long, text string")
+    found = corpus_pipeline.tokens(spark, docs, str(tmp_path))
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted((r.doc_id, r.n_tokens) for r in found.collect()) == [(1, 2), (2, 0)]

@@ -26,11 +26,11 @@ NONE = np.int64(1) << np.int64(40)
 #: Pre-tokens of more bytes have a tree of their own.
 SHORT = 64
 #: Rows that go through their trees side by side, so that they stay in the processor's cache.
-TOGETHER = 8192
+TOGETHER = 2048
 #: Cached pieces per worker, of about 200 bytes each.
-CACHED = 400_000
+CACHED = 150_000
 #: Characters of texts that are encoded together.
-SLICE = 2 << 20
+SLICE = 512 << 10
 
 
 class Vocabulary:
@@ -277,10 +277,10 @@ def decode(coded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """
     spark = coded.sparkSession
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(vocabulary)
+    shared = spark.sparkContext.broadcast(vocabulary.pieces)
 
     def run(batches):
-        get = shared.value.pieces.__getitem__
+        get = shared.value.__getitem__
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("ids"))
             found = [b"".join(map(get, np.frombuffer(i or b"", "<u4").tolist())) for i in ids.to_pylist()]
