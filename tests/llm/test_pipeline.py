@@ -1,10 +1,17 @@
 """The stages in a row against plain versions, on a small corpus."""
 
+import ctypes
 import random
+import re
+from pathlib import Path
 
 import corpus_pipeline
+import pytest
 from test_ngram_join import brute
 
+from thermalis.llm.common import handed_back, handed_back_by_group
+from thermalis.llm.travel import sent_home
+
 
 def corpus():
     rng = random.Random(8)
@@ -59,3 +66,34 @@ def test_a_task_of_the_last_stage_has_one_python_worker(spark, tmp_path):
     found = corpus_pipeline.tokens(spark, docs, str(tmp_path))
     assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
     assert sorted((r.doc_id, r.n_tokens) for r in found.collect()) == [(1, 2), (2, 0)]
+
+
+def test_workers_give_freed_memory_back():
+    libc = ctypes.CDLL(None)
+    if not hasattr(libc, "malloc_trim"):
+        pytest.skip("not glibc")
+
+    def held():
+        return int(re.search(r"VmRSS:\s+(\d+)", Path("/proc/self/status").read_text())[1]) >> 10
+
+    def run(batches):
+        for batch in batches:
+            # The last of many blocks stays, so the allocator keeps the rest of its heap.
+            blocks = [bytes(4000) for _ in range(20_000)]
+            kept.append(blocks.pop())
+            yield batch
+
+    kept, before = [], held()
+    assert list(handed_back(run)(iter([1, 2]))) == [1, 2]
+    assert held() - before < 30
+    assert handed_back_by_group(lambda left, right: (left, right))(1, 2) == (1, 2)
+
+
+def test_python_stages_give_memory_back(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(1, "the cat"), (2, None)], "doc_id long, text string")
+    runs, plain = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, *how: runs.append(run) or plain(self, run, *how))
+    corpus_pipeline.tokens(spark, docs, str(tmp_path))
+    sent_home(docs.selectExpr("1 AS home", "doc_id"))
+    assert len(runs) == 3
+    assert all(run.__module__.startswith("thermalis.") and hasattr(run, "__wrapped__") for run in runs)

@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thermalis.llm.common import bounded_batches, text_bytes
+from thermalis.llm.common import bounded_batches, handed_back, text_bytes
 
 #: No pair here can merge.
 NONE = np.int64(1) << np.int64(40)
@@ -266,7 +266,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_column: str = "doc_id", t
 
     rows = docs.select(F.col(id_column).alias("key"), F.col(text_column).cast("string").alias("text"))
     key_type = rows.schema["key"].dataType.simpleString()
-    coded = rows.mapInArrow(run, f"key {key_type}, n_tokens long, ids binary")
+    coded = rows.mapInArrow(handed_back(run), f"key {key_type}, n_tokens long, ids binary")
     return coded.select(F.col("key").alias(id_column), "n_tokens", "ids")
 
 
@@ -288,7 +288,7 @@ def decode(coded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                                              names=[*batch.schema.names, "text_bytes"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in coded.schema.fields)
-    return coded.mapInArrow(run, f"{fields}, text_bytes binary")
+    return coded.mapInArrow(handed_back(run), f"{fields}, text_bytes binary")
 
 
 def round_trip(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:

@@ -1,7 +1,10 @@
 """Helpers that several operators share."""
 
+import ctypes
 import gc
 import hashlib
+from collections.abc import Callable
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +14,7 @@ from xxhash import xxh3_64_intdigest
 
 from thermalis.sources.durable import scratch_path, settle
 
-__all__ = ["BATCH_BYTES", "bounded_batches", "documents", "mix", "pages", "release", "scratch_path", "settle", "streamed_sha256",
+__all__ = ["BATCH_BYTES", "bounded_batches", "documents", "handed_back", "handed_back_by_group", "mix", "pages", "release", "scratch_path", "settle", "streamed_sha256",
            "text_bytes", "without", "word_hashes"]
 
 #: Bytes of a pack of contents that are hashed together.
@@ -29,6 +32,36 @@ def bounded_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
         spark.conf.set(key, str(size))
 
 
+def hand_back() -> None:
+    """Give memory that this Python worker has freed back to the system, so that it is not held while other stages run."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def handed_back(run: Callable) -> Callable:
+    """A function of mapInArrow whose worker gives memory back once a task's batches are done; workers stay for later stages."""
+    @wraps(run)
+    def whole(batches):
+        yield from run(batches)
+        hand_back()
+
+    return whole
+
+
+def handed_back_by_group(run: Callable) -> Callable:
+    """The same for a function of two cogrouped tables, once each group is done."""
+    @wraps(run)
+    def whole(left, right):
+        found = run(left, right)
+        hand_back()
+        return found
+
+    return whole
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

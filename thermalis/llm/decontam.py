@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from thermalis.llm.common import bounded_batches, mix, settle, without
+from thermalis.llm.common import bounded_batches, handed_back, mix, settle, without
 
 WINDOW = 8
 #: Windows with fewer tokens that are no placeholders are compared word by word.
@@ -36,7 +36,7 @@ RUN = 6
 #: log2 of the bit map's size.
 MAP_BITS = 22
 #: Distinct words that a worker keeps.
-CACHED = 400_000
+CACHED = 150_000
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/%]*\Z")
@@ -205,7 +205,7 @@ def item_windows(benchmark: DataFrame, id_column: str, text_column: str, window:
             yield batch_of(rows, ITEM_SCHEMA)
 
     return (benchmark.select(F.col(id_column).cast("long").alias("key"), F.col(text_column).cast("string").alias("text"))
-            .mapInArrow(run, ITEM_SCHEMA))
+            .mapInArrow(handed_back(run), ITEM_SCHEMA))
 
 
 def bit_map(windows: DataFrame, bits: int) -> bytes:
@@ -242,7 +242,7 @@ def matches(docs: DataFrame, windows: DataFrame, id_column: str, text_column: st
 
     bounded_batches(spark)
     found = (docs.select(F.col(id_column).cast("long").alias("key"), F.col(text_column).cast("string").alias("text"))
-             .mapInArrow(run, SCHEMA))
+             .mapInArrow(handed_back(run), SCHEMA))
     items = windows.select(F.col("key").alias("item"), F.col("place").alias("item_place"), "hash",
                            F.col("template").alias("item_template"), F.col("slots").alias("item_slots"), "lacking", "starts")
     own = F.size(F.filter("starts", lambda i: F.get("item_slots", i) == F.get("slots", i)))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from thermalis.llm.common import bounded_batches, mix, release, settle, text_bytes, without, word_hashes
+from thermalis.llm.common import bounded_batches, handed_back, mix, release, settle, text_bytes, without, word_hashes
 
 WORDS, PART, WHOLE = 4, 85, 100
 #: Shingles of this many documents of one batch are reported, and those of most documents are ordered last. Any choice
@@ -94,7 +94,7 @@ def frequent(rows: DataFrame, k: int) -> list[int]:
             yield pa.RecordBatch.from_arrays([pa.array(tokens[often].view(np.int64)), pa.array(counts[often], pa.int64())],
                                              names=["token", "n"])
 
-    counted = rows.select("content").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counted = rows.select("content").mapInArrow(handed_back(run), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     return [r.token for r in counted.orderBy(F.desc("n"), "token").limit(ORDERED).collect()]
 
 
@@ -133,7 +133,7 @@ def prefixes(rows: DataFrame, k: int, part: int, whole: int, last: list[int]) ->
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=["doc", "n", "digest", "sketch", "first"])
 
-    return settle(rows.mapInArrow(run, "doc long, n long, digest binary, sketch binary, first array<long>"), "shingle-prefixes")
+    return settle(rows.mapInArrow(handed_back(run), "doc long, n long, digest binary, sketch binary, first array<long>"), "shingle-prefixes")
 
 
 def settled(df: DataFrame, label: str, rows: int) -> DataFrame:
@@ -172,7 +172,7 @@ def marked(rows: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], names=[*batch.schema.names[:-1], "marked"])
 
     kinds = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
-    return rows.select("*", place_of("doc", bits)).mapInArrow(run, f"{kinds}, marked boolean")
+    return rows.select("*", place_of("doc", bits)).mapInArrow(handed_back(run), f"{kinds}, marked boolean")
 
 
 def whole_sets(rows: DataFrame, wanted: DataFrame, k: int, bits: int) -> DataFrame:
@@ -189,7 +189,7 @@ def whole_sets(rows: DataFrame, wanted: DataFrame, k: int, bits: int) -> DataFra
                  pa.array([shingles(texts[i].as_py(), k).view(np.int64) for i in keep], pa.list_(pa.int64()))], names=["rep", "tokens"])
 
     placed = rows.where("doc IS NOT NULL").select("doc", "content", place_of("doc", bits))
-    return settle(placed.mapInArrow(run, "rep long, tokens array<long>"), "shingle-sets")
+    return settle(placed.mapInArrow(handed_back(run), "rep long, tokens array<long>"), "shingle-sets")
 
 
 def behind(part: int, whole: int) -> Column:
@@ -322,7 +322,7 @@ def differences(groups: DataFrame, sets: DataFrame, last: list[int], part: int,
 
     rows = groups.join(sets, "rep").join(references(groups, sets), "leader", "left").select("leader", "rep", "n", "tokens", "reference")
     heavy = groups.agg(F.sum("n")).first()[0] // HEAVY
-    return settled(rows.mapInArrow(run, "leader long, rep long, n int, weight long, first array<long>"), "differences", heavy)
+    return settled(rows.mapInArrow(handed_back(run), "leader long, rep long, n int, weight long, first array<long>"), "differences", heavy)
 
 
 def nearest_links(found: DataFrame) -> DataFrame:
@@ -359,7 +359,7 @@ def plausible(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataF
     sets = marked(sets.select("doc", "n", "sketch"), ends_of(pairs), MAP_BITS).where("marked")
     met = (pairs.join(sets.select(F.col("doc").alias("a"), "n", F.col("sketch").alias("x")), "a")
            .join(sets.select(F.col("doc").alias("b"), F.col("n").alias("b_n"), F.col("sketch").alias("y")), "b"))
-    return met.select("a", "b", "n", "b_n", "x", "y").mapInArrow(run, "a long, b long").distinct()
+    return met.select("a", "b", "n", "b_n", "x", "y").mapInArrow(handed_back(run), "a long, b long").distinct()
 
 
 def linked(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from thermalis.llm.common import bounded_batches, settle, text_bytes, without
+from thermalis.llm.common import bounded_batches, handed_back_by_group, settle, text_bytes, without
 from thermalis.llm.travel import home_of, number_of_homes, rows_at_home, sent_home
 
 ORDER = 3
@@ -97,7 +97,7 @@ def home_counts(packs: DataFrame, trusted: DataFrame) -> DataFrame:
         return pa.concat_tables(parts) if parts else schema.empty_table()
 
     return (packs.groupBy("home").cogroup(trusted.groupBy("home"))
-            .applyInArrow(run, "lang string, gram long, counted long"))
+            .applyInArrow(handed_back_by_group(run), "lang string, gram long, counted long"))
 
 
 def discount(count: Column) -> Column:
@@ -170,7 +170,7 @@ def scored(packs: DataFrame, answers: DataFrame) -> DataFrame:
         return pa.table({name: pa.array(values, kind) for (name, values), kind in zip(out.items(), kinds)})
 
     return (packs.groupBy("home").cogroup(answers.groupBy("home"))
-            .applyInArrow(run, "id long, lang string, n_chars long, text_hash long, bits double"))
+            .applyInArrow(handed_back_by_group(run), "id long, lang string, n_chars long, text_hash long, bits double"))
 
 
 def perplexities(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id", text_column: str = "text",

@@ -10,6 +10,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from thermalis.llm.common import handed_back
+
 #: Text bytes of a home, and the fewest homes, so that small inputs use all cores too.
 HOME_BYTES = 8 << 20
 LEAST_HOMES = 48
@@ -57,7 +59,7 @@ def sent_home(rows: DataFrame) -> DataFrame:
         if sizes:
             yield packed(list(sizes))
 
-    return rows.mapInArrow(run, "home int, pack binary")
+    return rows.mapInArrow(handed_back(run), "home int, pack binary")
 
 
 def rows_at_home(packs: pa.Table):
