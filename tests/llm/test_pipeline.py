@@ -9,6 +9,7 @@ import corpus_pipeline
 import pytest
 from test_ngram_join import brute
 
+from thermalis.llm import exact_dedup
 from thermalis.llm.common import handed_back, handed_back_by_group
 from thermalis.llm.travel import sent_home
 
@@ -97,3 +98,19 @@ def test_python_stages_give_memory_back(spark, tmp_path, monkeypatch):
     sent_home(docs.selectExpr("1 AS home", "doc_id"))
     assert len(runs) == 3
     assert all(run.__module__.startswith("thermalis.") and hasattr(run, "__wrapped__") for run in runs)
+
+
+def test_texts_without_copies_do_not_travel(spark):
+    rows = [(i, f"text {i}") for i in range(400)] + [(500, "text 7"), (501, "text 7"), (501, "text 7"), (None, ""), (None, None), (502, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = exact_dedup.dedup(docs)
+        found = sorted(map(tuple, kept.collect()), key=str)
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == sorted([*((i, f"text {i}") for i in range(400) if i != 7), (501, "text 7"), (502, "")], key=str)
+    # Two joins, of the rows that may be copies; the others come by a branch without one.
+    assert plan.count("Join LeftOuter") + plan.count("Join Inner") == 2 and plan.lower().count("getbit") >= 3

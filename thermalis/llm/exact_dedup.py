@@ -134,8 +134,9 @@ def dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     found = settle(found.select(F.col(id_column).alias("found_id"), F.col("digest").alias("found_digest"), "kept"), "dedup-report")
     # Rows travel as one column, so no name of theirs can clash with those here.
     marked = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"), sha256(text_bytes(text_column)).alias("digest"))
+    hit = may_hit("digest", hit_map(found.select(F.col("found_digest").alias("digest"))))
     same = F.col("id").eqNullSafe(F.col("found_id")) & (F.col("digest") == F.col("found_digest"))
-    rest = marked.join(found, same, "left").where("kept IS NULL OR kept")
+    rest = marked.where(hit).join(found, same, "left").where("kept IS NULL OR kept")
     # Only keepers of groups can be repeated rows.
     once = rest.where("kept").dropDuplicates(["id", "digest"])
-    return rest.where("kept IS NULL").unionByName(once).select("row.*")
+    return marked.where(~hit).unionByName(rest.where("kept IS NULL").select(marked.columns)).unionByName(once.select(marked.columns)).select("row.*")
